@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Java's \s is ASCII only; the rest are the Unicode spaces.
-SPACE = (
-    r"[\s\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The Unicode white space: the characters below U+0100 and those above it.
+_LOW = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
+_HIGH = (
+    "\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
+_SPACES = " " + _LOW + _HIGH
+# As pattern classes. The range in front lets most characters fail after one look.
+_NOT_BLANK = rf"[{_LOW}[\u1680-\u3000&&[{_HIGH}]]]"
+SPACE = rf"[\x20{_LOW}[\u1680-\u3000&&[{_HIGH}]]]"
 _LINE_END = r"(?:\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}])"
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing white space, Unicode spaces included."""
-    return F.regexp_replace(c, rf"\A{SPACE}++|{SPACE}++\z", "")
+    return F.btrim(c, F.lit(_SPACES))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -28,8 +33,11 @@ def strip_html(c: Column) -> Column:
 
 
 def dedup_key(c: Column) -> Column:
-    """Lower-cased text with every run of white space collapsed to one space."""
-    return F.regexp_replace(F.lower(strip(c)), rf"{SPACE}++", " ")
+    """Lower-cased text with every run of white space collapsed to one space.
+
+    The pattern leaves single blanks alone, so ordinary text is copied, not edited.
+    """
+    return F.regexp_replace(F.lower(strip(c)), rf"\x20{SPACE}++|{_NOT_BLANK}{SPACE}*+", " ")
 
 
 def fingerprint(c: Column) -> Column:

@@ -59,10 +59,14 @@ def duplicate_body(df: DataFrame, text: str = "body", order: str = "row_seq",
     """``(order, flag)`` per row: another row has the same text after folding.
 
     Folding lowers case and collapses white space; texts of 20 characters or
-    fewer, and nulls, never count.
+    fewer, and nulls, never count. Fingerprints are written down once; the texts
+    are not read again for the count and the join.
     """
     key = dedup_key(F.col(text))
-    prints = df.select(order, F.when(F.length(key) > DUPLICATE_MIN, fingerprint(key)).alias("_fp"))
+    prints = materialize(
+        df.select(order, F.when(F.length(key) > DUPLICATE_MIN, fingerprint(key)).alias("_fp")),
+        "fingerprints",
+    )
     return _flag_repeated(prints, order, flag).drop("_fp")
 
 

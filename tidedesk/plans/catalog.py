@@ -63,18 +63,19 @@ def tickets(spark: SparkSession, d: str) -> DataFrame:
     return nrm.normalize(raw_tickets(spark, d), PROCESSED_AT)
 
 
-def view(spark: SparkSession, d: str, sql: str) -> DataFrame:
+def stored_replies(spark: SparkSession, d: str, sql: str) -> DataFrame:
+    """Model replies as a written table, the way a scoring job leaves them."""
     raw_tickets(spark, d).createOrReplaceTempView("tickets")
-    return spark.sql(sql)
+    return materialize(spark.sql(sql), "replies")
 
 
 def tier(spark: SparkSession, d: str, n: int) -> DataFrame:
-    parsed = sco.classified_replies(view(spark, d, views.RESPONSES).filter(F.col("tier") == n))
+    parsed = sco.classified_replies(stored_replies(spark, d, views.RESPONSES).filter(F.col("tier") == n))
     return materialize(parsed.drop("tier"), f"tier{n}")
 
 
 def usage(spark: SparkSession, d: str) -> DataFrame:
-    return sco.classified_replies(view(spark, d, views.RESPONSES))
+    return sco.classified_replies(stored_replies(spark, d, views.RESPONSES))
 
 
 def merged(spark: SparkSession, d: str) -> DataFrame:
@@ -83,10 +84,10 @@ def merged(spark: SparkSession, d: str) -> DataFrame:
 
 
 def enrich_results(spark: SparkSession, d: str) -> DataFrame:
-    e = view(spark, d, views.ENRICHMENTS)
+    e = stored_replies(spark, d, views.ENRICHMENTS)
     full = e.withColumnsRenamed({"full_text": "raw_text", "full_stop": "stop_reason"})
     simple = e.withColumnRenamed("simple_text", "raw_text").withColumn("stop_reason", F.lit("end_turn"))
-    return enr.enrichment_results(full, simple)
+    return materialize(enr.enrichment_results(full, simple), "enrichment-results")
 
 
 def enriched(spark: SparkSession, d: str) -> DataFrame:
@@ -111,7 +112,7 @@ def stored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def verdicts(spark: SparkSession, d: str) -> DataFrame:
-    return view(spark, d, views.VERDICTS)
+    return stored_replies(spark, d, views.VERDICTS)
 
 
 def found(spark: SparkSession, d: str) -> DataFrame:
@@ -392,33 +393,33 @@ def d1_scoring_input(spark, d):
     return sco.scoring_input(tickets(spark, d)).select("row_seq", "prompt")
 
 
-class LexicalScorer:
-    """Stand-in for a model client: decides by a word in the prompt."""
-
-    def __call__(self, batch: pd.DataFrame) -> pd.DataFrame:
-        hit = batch["prompt"].str.lower().str.contains("the", regex=False)
-        return pd.DataFrame({
-            "row_seq": batch["row_seq"],
-            "category": hit.map({True: "technical", False: "general"}),
-            "prompt_chars": batch["prompt"].str.len().astype("int64"),
-        })
-
-
 @query
 def d2_score_batch(spark, d):
+    # A stand-in for a model client: decides by a word in the prompt.
+    def make_scorer():
+        def score(batch: pd.DataFrame) -> pd.DataFrame:
+            hit = batch["prompt"].str.lower().str.contains("the", regex=False)
+            return pd.DataFrame({
+                "row_seq": batch["row_seq"],
+                "category": hit.map({True: "technical", False: "general"}),
+                "prompt_chars": batch["prompt"].str.len().astype("int64"),
+            })
+
+        return score
+
     prompts = sco.scoring_input(tickets(spark, d)).select("row_seq", "prompt")
-    return sco.score_batch(prompts, LexicalScorer, "row_seq long, category string, prompt_chars long")
+    return sco.score_batch(prompts, make_scorer, "row_seq long, category string, prompt_chars long")
 
 
 @query
 def d3_strip_fences(spark, d):
-    return view(spark, d, views.RESPONSES).select(
+    return stored_replies(spark, d, views.RESPONSES).select(
         "row_seq", F.col("tier").cast("long").alias("tier"), strip_fences(F.col("raw_text")).alias("json_text"))
 
 
 @query
 def d4_parse_classification(spark, d):
-    r = replies.parse_replies(view(spark, d, views.RESPONSES).withColumn("stop_reason", F.lit("end_turn")),
+    r = replies.parse_replies(stored_replies(spark, d, views.RESPONSES).withColumn("stop_reason", F.lit("end_turn")),
                               replies.CLASSIFICATION)
     return r.select("row_seq", F.col("tier").cast("long").alias("tier"), "reply.category", "reply.priority",
                     "reply.confidence", F.col("reply").isNotNull().alias("ok"))
@@ -426,7 +427,7 @@ def d4_parse_classification(spark, d):
 
 @query
 def d5_refusals(spark, d):
-    return view(spark, d, views.RESPONSES).filter(~replies.reply_ok(F.col("raw_text"), F.col("stop_reason"))).select(
+    return stored_replies(spark, d, views.RESPONSES).filter(~replies.reply_ok(F.col("raw_text"), F.col("stop_reason"))).select(
         "row_seq", F.col("tier").cast("long").alias("tier"))
 
 
@@ -492,7 +493,7 @@ def d15_cache_hit_rate(spark, d):
 
 @query
 def e1_parse_enrichment(spark, d):
-    e = replies.parse_replies(view(spark, d, views.ENRICHMENTS), replies.ENRICHMENT, raw="full_text", stop="full_stop")
+    e = replies.parse_replies(stored_replies(spark, d, views.ENRICHMENTS), replies.ENRICHMENT, raw="full_text", stop="full_stop")
     return e.select("row_seq", "answered", "reply.sentiment", "reply.sentiment_confidence", "reply.summary",
                     "reply.urgency_score", F.size("reply.entities.error_codes").cast("long").alias("error_codes"),
                     F.col("reply").isNotNull().alias("ok"))
@@ -510,7 +511,7 @@ def e4_entity_counts(spark, d):
 
 @query
 def e5_resume(spark, d):
-    again = view(spark, d, views.ENRICHMENTS).select(
+    again = stored_replies(spark, d, views.ENRICHMENTS).select(
         "row_seq",
         F.when(F.col("row_seq") % 3 == 0, F.lit("broken")).otherwise(F.concat(
             F.lit('{"sentiment": "positive", "sentiment_confidence": 1, "entities": {}, "summary": "Again ",'
