@@ -1,0 +1,128 @@
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tidedesk.operators import scoring as s
+from tidedesk.operators.budget import budget_cut
+
+PRICE = (0.8, 4.0)
+RESULT = "row_seq long, ok boolean, category string, priority string, confidence double, input_tokens long, output_tokens long, cache_read_tokens long"
+
+
+def results(spark, *rows):
+    return spark.createDataFrame([
+        (i, c is not None, cat if c is not None else None, pri if c is not None else None, c, 100, 10, 5)
+        for i, cat, pri, c in rows], RESULT)
+
+
+def test_prompt_and_blank_rows(make_tickets):
+    df = make_tickets({"subject": "s", "body": None}, {"subject": " ", "body": None}, {"subject": None, "body": "b"})
+    got = {r.row_seq: r.prompt for r in s.scoring_input(df).collect()}
+    assert got == {0: "Subject: s\n\nBody: ", 2: "Subject: \n\nBody: b"}
+
+
+def test_scorer_is_built_once_per_partition(spark):
+    def make():
+        seen = []
+
+        def score(batch: pd.DataFrame) -> pd.DataFrame:
+            seen.append(1)
+            return pd.DataFrame({"id": batch["id"], "calls": len(seen)})
+        return score
+
+    df = spark.range(0, 100, 1, 2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        out = s.score_batch(df, make, "id long, calls long").groupBy("calls").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r.calls: r["count"] for r in out} == {i: 20 for i in range(1, 6)}
+
+
+def test_tier_merge(spark, make_tickets):
+    t = make_tickets(*[{}] * 8)
+    t1 = results(spark, (0, "billing", "low", 0.9), (1, "billing", "low", 0.5), (2, "billing", "low", 0.5),
+                 (3, "billing", "low", 0.5), (4, None, None, None), (5, "billing", "low", 0.699), (6, "billing", "low", 0.7))
+    t2 = results(spark, (0, "other", "high", 0.99), (1, "other", "high", 0.85), (2, "other", "high", 0.84),
+                 (3, None, None, None), (6, "other", "high", 0.99))
+    got = [(r.llm_category, r.llm_confidence, r.needs_review, r.escalated)
+           for r in s.merge_tiers(t, t1, t2).orderBy("row_seq").collect()]
+    assert got == [
+        ("billing", 0.9, False, False), ("other", 0.85, False, True), ("billing", 0.5, True, True),
+        ("billing", 0.5, True, True), ("unknown", 0.0, False, False), ("billing", 0.699, True, False),
+        ("billing", 0.7, False, False), ("unknown", 0.0, False, False)]
+
+
+def brute(rows, cap, price, batch, spent=0.0):
+    """Row by row, the way a serial run stops."""
+    out, ti, to = [], 0, 0
+    rows = sorted(rows)
+    for start in range(0, len(rows), batch):
+        if spent + ti / 1e6 * price[0] + to / 1e6 * price[1] >= cap:
+            break
+        for k, a, b in rows[start:start + batch]:
+            out.append(k)
+            ti, to = ti + a, to + b
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("batch", [1, 10])
+def test_budget_equals_serial_run(spark, seed, batch):
+    rnd = random.Random(seed)
+    step = rnd.choice([1, 7, 40_000, 3_000_000_000, 10**13])
+    keys = sorted(rnd.sample(range(-300, 900), 400))
+    rows = [(k * step, rnd.choice([0, 50, 500]), rnd.choice([0, 10])) for k in keys]
+    df = spark.createDataFrame(rows, "row_seq long, input_tokens long, output_tokens long").repartition(3)
+    total = sum(a for _, a, _ in rows) / 1e6 * 0.8 + sum(b for _, _, b in rows) / 1e6 * 4
+    cap, spent = rnd.choice([0.3, 0.5, 0.97]) * total, rnd.choice([0.0, total / 10])
+    got = [r.row_seq for r in budget_cut(df, cap, price=PRICE, batch=batch, spent=spent).orderBy("row_seq").collect()]
+    assert got == brute(rows, cap, PRICE, batch, spent)
+
+
+def test_budget_edges(spark):
+    df = spark.range(25).select(F.col("id").alias("row_seq"), F.lit(1_000_000).alias("input_tokens"), F.lit(0).alias("output_tokens"))
+    n = lambda cap, **kw: budget_cut(df, cap, price=(1.0, 1.0), **kw).count()
+    assert n(0) == 0 and n(None) == 25 and n(1000) == 25
+    assert n(3) == 3 and n(2.5) == 3 and n(3, batch=10) == 10 and n(10, batch=10) == 10 and n(10.5, batch=10) == 20
+    assert n(21, batch=10) == 25 and n(3, spent=3.0) == 0 and n(3, spent=2.0) == 1
+    assert budget_cut(df.limit(0), 1, price=(1.0, 1.0)).count() == 0
+
+
+def test_budget_does_not_shuffle_rows(spark):
+    df = spark.range(1000).select(F.col("id").alias("row_seq"), F.lit(1000).alias("input_tokens"), F.lit(0).alias("output_tokens"))
+    plan = budget_cut(df, 0.1, price=PRICE)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_tier_budgets(spark, make_tickets):
+    t = make_tickets(*[{}] * 30)
+    t1 = results(spark, *[(i, "billing", "low", 0.5) for i in range(25)])
+    one = s.tier1_within_budget(t, t1, 0.0013)  # 0.00012 a row: the second batch starts at 0.0012
+    assert one.count() == 20
+    t2 = results(spark, *[(i, "other", "low", 0.9) for i in range(30)])
+    two = s.tier2_within_budget(one, t2, 0.003)  # 0.0024 spent, 0.00045 a row
+    assert sorted(r.row_seq for r in two.collect()) == [0, 1]
+
+
+def test_costs_and_reports(spark, make_tickets):
+    t = make_tickets(*[{}] * 4)
+    t1 = results(spark, (0, "billing", "low", 0.95), (1, None, None, None), (2, "other", "high", 0.5))
+    usage = t1.withColumn("tier", F.lit(1)).unionByName(t1.limit(1).withColumn("tier", F.lit(2)))
+    cost = {r.tier: r.cost_usd for r in s.usage_cost(usage).collect()}
+    assert cost == {1: 0.00036, 2: 0.00045}
+    assert s.total_cost(s.usage_cost(usage)).first()[0] == 0.0008
+    m = s.merge_tiers(t, t1, t1.limit(0))
+    rep = {(r.section, r.name): r.value for r in s.classification_report(m, t1).collect()}
+    assert rep[("totals", "classified")] == 2 and rep[("totals", "failed")] == 1 and rep[("totals", "total_tickets")] == 4
+    assert rep[("category_distribution", "technical")] == 0 and rep[("category_distribution", "billing")] == 1
+    b = {r.name: r.value for r in s.confidence_buckets(m).collect()}
+    assert b == {"0.0-0.5": 2, "0.5-0.7": 1, "0.7-0.9": 0, "0.9-1.0": 1}
+    assert s.cache_hit_rate(t1).first()[0] == round(15 / 315, 4)
+    assert s.cache_hit_rate(t1.limit(0)).first()[0] == 0.0
+
+
+def test_first_n(make_tickets):
+    assert [r.row_seq for r in s.first_n(make_tickets(*[{}] * 9).repartition(3), 4).collect()] == [0, 1, 2, 3]

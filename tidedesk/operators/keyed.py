@@ -22,6 +22,9 @@ def attach_by_key(
     go through the shuffle of the second join under a per-row salt that spreads
     them evenly. Any other key holds less than 1/HEAVY_KEYS of the rows.
 
+    The salt of other rows is a hash of their key on both sides. (A constant would
+    be folded into the condition, and the shuffle would go by the key alone.)
+
     ``weights`` may give ``(key, n)`` counts of ``rows`` when they exist already.
     """
     if weights is None:
@@ -33,11 +36,11 @@ def attach_by_key(
     salted = rows.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left").withColumn(
         "_salt",
         F.when(F.col("_hk").isNotNull() | F.col(key).isNull(), F.xxhash64(spread)).otherwise(
-            F.lit(0).cast("long")
+            F.xxhash64(key)
         ),
     )
     cold = per_key.select(
-        F.col(key).alias("_ck"), F.lit(0).cast("long").alias("_csalt"),
+        F.col(key).alias("_ck"), F.xxhash64(key).alias("_csalt"),
         *[F.col(v).alias(f"_c_{v}") for v in values],
     )
     joined = salted.join(
