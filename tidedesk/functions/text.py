@@ -32,12 +32,17 @@ def strip_html(c: Column) -> Column:
     return F.when(c.contains(">"), F.regexp_replace(c, "<[^>]++>", "")).otherwise(c)
 
 
-def dedup_key(c: Column) -> Column:
-    """Lower-cased text with every run of white space collapsed to one space.
+def folded(c: Column) -> Column:
+    """Stripped and lower-cased."""
+    return F.lower(strip(c))
+
+
+def collapse(c: Column) -> Column:
+    """Every run of white space becomes one blank.
 
     The pattern leaves single blanks alone, so ordinary text is copied, not edited.
     """
-    return F.regexp_replace(F.lower(strip(c)), rf"\x20{SPACE}++|{_NOT_BLANK}{SPACE}*+", " ")
+    return F.regexp_replace(c, rf"\x20{SPACE}++|{_NOT_BLANK}{SPACE}*+", " ")
 
 
 def fingerprint(c: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidedesk.functions.replies import VERDICT, parse_replies
-from tidedesk.functions.text import dedup_key, fingerprint, strip
+from tidedesk.functions.text import collapse, fingerprint, folded
 from tidedesk.operators.keyed import attach_by_key, count_by_key
 from tidedesk.operators.quality import join_flags
 from tidedesk.operators.scoring import tally
@@ -62,14 +62,17 @@ def duplicate_body(df: DataFrame, text: str = "body", order: str = "row_seq",
     fewer, and nulls, never count. Fingerprints are written down once; the texts
     are not read again for the count and the join.
     """
-    key = dedup_key(F.col(text))
-    prints = materialize(
-        df.select(order, F.when(F.length(key) > DUPLICATE_MIN, fingerprint(key)).alias("_fp")),
-        "fingerprints",
-    )
+    keyed = df.select(order, folded(F.col(text)).alias("_folded")).withColumn(
+        "_key", collapse(F.col("_folded")))
+    prints = materialize(keyed.select(order, _duplicate_print().alias("_fp")), "fingerprints")
     return _flag_repeated(prints, order, flag).drop("_fp")
 
 
+def _duplicate_print() -> Column:
+    """Fingerprint of ``_key``, for texts long enough to count."""
+    return F.when(F.length("_key") > DUPLICATE_MIN, fingerprint(F.col("_key")))
+
+
 def _flag_repeated(rows: DataFrame, order: str, flag: str) -> DataFrame:
     counts = count_by_key(rows, "_fp")
     repeated = counts.filter(F.col("n") >= 2).withColumn(flag, F.lit(True))
@@ -108,16 +111,17 @@ def anomaly_flags(df: DataFrame, z: float = SPIKE_Z) -> DataFrame:
     none = F.lit(False)
     mood = F.col("sentiment")
     repeat = F.coalesce(F.col("repeat_contact"), none) if "repeat_contact" in df.columns else none
-    key = dedup_key(F.col("body"))
-    narrow = materialize(df.select(
+    # Each folded text is a column of its own: used twice, computed once.
+    texts = df.withColumn("_folded", folded(F.col("body"))).withColumn("_key", collapse(F.col("_folded")))
+    narrow = materialize(texts.select(
         "row_seq",
         F.coalesce(F.col("ticket_id").cast("string"), F.lit("None")).alias("ticket_id"),
         F.length("body").alias("_len"),
         F.coalesce(mood == "frustrated", none).alias("_frustrated"),
         F.coalesce(F.col("llm_category") == UNKNOWN, none).alias("_unclassified"),
         (repeat & F.coalesce(mood.isin("frustrated", "negative"), none)).alias("_repeat"),
-        F.when(F.length(key) > DUPLICATE_MIN, fingerprint(key)).alias("_fp"),
-        fingerprint(F.lower(strip(F.col("body")))).alias("body_key"),
+        _duplicate_print().alias("_fp"),
+        fingerprint(F.col("_folded")).alias("body_key"),
     ), "ticket-signals")
     marked = _flag_repeated(narrow, "row_seq", "_dup").crossJoin(
         F.broadcast(_stats_of(narrow, F.col("_len"))))
