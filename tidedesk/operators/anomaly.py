@@ -224,7 +224,11 @@ def chosen_candidates(tickets: DataFrame, by: str = "ticket_id", z: float = SPIK
 def anomalies(tickets: DataFrame, responses: DataFrame, by: str = "ticket_id",
               z: float = SPIKE_Z) -> DataFrame:
     """Anomaly table: ``row_seq`` plus the seven text columns."""
-    cands = chosen_candidates(tickets, by, z)
+    return anomalies_of(chosen_candidates(tickets, by, z), responses)
+
+
+def anomalies_of(cands: DataFrame, responses: DataFrame) -> DataFrame:
+    """The anomaly table for chosen candidates."""
     found = statistical_only(cands).unionByName(merge_verdict(cands, responses))
     return found.select("row_seq", *[F.col(c).cast("string").alias(c) for c in ANOMALY_COLUMNS])
 
@@ -257,8 +261,14 @@ def alerts(found: DataFrame) -> DataFrame:
 
 def anomaly_trend(current: DataFrame, previous: DataFrame) -> DataFrame:
     """``(name, delta)``: total, and each type whose count changed."""
-    now = current.groupBy("anomaly_type").agg(F.count("*").alias("now"))
-    before = previous.groupBy("anomaly_type").agg(F.count("*").alias("before"))
+    return summary_trend(anomaly_summary(current), anomaly_summary(previous))
+
+
+def summary_trend(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """The same from two stored summaries."""
+    of_type = F.col("section") == "by_type"
+    now = current.filter(of_type).select(F.col("name").alias("anomaly_type"), F.col("value").alias("now"))
+    before = previous.filter(of_type).select(F.col("name").alias("anomaly_type"), F.col("value").alias("before"))
     both = now.join(before, "anomaly_type", "full").select(
         "anomaly_type", (F.coalesce("now", F.lit(0)) - F.coalesce("before", F.lit(0))).alias("delta")
     )

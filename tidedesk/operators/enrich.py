@@ -48,6 +48,11 @@ def enrichment_results(full: DataFrame, simple: DataFrame) -> DataFrame:
     )
 
 
+def unusable_replies(full: DataFrame) -> DataFrame:
+    """``row_seq`` of answered full replies that failed validation: the simple prompt is due."""
+    return parse_replies(full, ENRICHMENT).filter(F.col("answered") & F.col("reply").isNull()).select("row_seq")
+
+
 def _with_defaults() -> dict[str, Column]:
     got = F.coalesce(F.col("_r.ok"), F.lit(False))
     default = {

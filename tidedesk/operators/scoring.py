@@ -12,6 +12,7 @@ from tidedesk.functions.text import strip
 from tidedesk.operators.budget import budget_cut, token_cost
 from tidedesk.schema import ACCEPT_TIER2_FROM, CATEGORIES, PRICES, PRIORITIES, REVIEW_BELOW, UNKNOWN
 
+TIER1_BATCH = 10
 TOKENS = ["input_tokens", "output_tokens", "cache_read_tokens"]
 
 
@@ -64,7 +65,7 @@ def first_n(df: DataFrame, n: int, order: str = "row_seq") -> DataFrame:
 
 
 def tier1_within_budget(tickets: DataFrame, tier1: DataFrame, cap: float | None,
-                        batch: int = 10) -> DataFrame:
+                        batch: int = TIER1_BATCH) -> DataFrame:
     """Tier-1 results (one row per ticket) that a capped run reaches.
 
     Tickets without a reply still take their place in a batch, at no cost.

@@ -1,26 +1,52 @@
-"""Stages that write their outputs before they judge them."""
+"""Stages that write their outputs below a folder and return readers over them.
+
+Each takes and returns DataFrames; call them in the order of your own job. A scorer
+is any function from prompts (row_seq, prompt) to replies (row_seq, raw_text,
+stop_reason, input_tokens, output_tokens, cache_read_tokens) - usually
+``score_batch`` over a model client, or a stored table.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidedesk.operators import actions, anomaly, enrich, normalize, quality, scoring
+from tidedesk.operators.budget import token_cost
+from tidedesk.schema import PRICES, REVIEW_BELOW
+from tidedesk.session import materialize
+from tidedesk.sources.sinks import replace_rows, report_json, write_by_channel, write_table
+from tidedesk.sources.tickets import read_tickets
 
-from tidedesk.operators import quality
-from tidedesk.sources.sinks import report_json, write_table
+Scorer = Callable[[DataFrame], DataFrame]
 
 
-def _previous(df: DataFrame, path: str, columns: DataFrame) -> DataFrame | None:
-    """The report of the run before, held in memory: its file is replaced later."""
-    spark = df.sparkSession
+def _previous(path: str, like: DataFrame) -> DataFrame | None:
+    """The small report of the run before, held in memory: its file is replaced later."""
+    spark = like.sparkSession
     try:
-        rows = spark.read.schema(columns.schema).json(path).collect()
+        rows = spark.read.schema(like.schema).json(path).collect()
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
         return None
-    return spark.createDataFrame(rows, columns.schema)
+    return spark.createDataFrame(rows, like.schema)
+
+
+def ingest_stage(spark: SparkSession, source: str | list[str], path: str, **options) -> DataFrame:
+    """CSV files to the raw table, with ``row_seq``."""
+    return write_table(read_tickets(spark, source, **options), f"{path}/raw")
+
+
+def transform_stage(raw: DataFrame, path: str, processed_at: str, strict: bool = False) -> DataFrame:
+    """Normalised table, its channel-partitioned copy and the profile report."""
+    out = write_table(normalize.normalize(raw, processed_at, strict), f"{path}/normalized")
+    write_by_channel(out, f"{path}/partitioned")
+    report_json(quality.profile(out), f"{path}/profile")
+    return out
 
 
 def quality_stage(df: DataFrame, path: str, as_of: dt.datetime | str) -> DataFrame:
@@ -31,8 +57,116 @@ def quality_stage(df: DataFrame, path: str, as_of: dt.datetime | str) -> DataFra
     """
     validated = write_table(quality.quality_flags(df, as_of), f"{path}/validated")
     checks = quality.quality_report(validated, as_of)
-    report = quality.with_trend(checks, _previous(df, f"{path}/report", checks))
+    report = quality.with_trend(checks, _previous(f"{path}/report", checks))
     write_table(quality.dead_letter(validated), f"{path}/rejected")
     written = report_json(report, f"{path}/report")
     quality.enforce(written)
     return written
+
+
+def score_under_cap(tickets: DataFrame, scorer: Scorer, cap: float | None, price: tuple[float, float],
+                    spent: float = 0.0, slice_rows: int = 100_000, batch: int = 1) -> DataFrame:
+    """Parsed replies for a written ``tickets`` table in ``row_seq`` order, slice by slice.
+
+    A slice is one distributed job over ``slice_rows`` rows, rounded up to whole
+    batches so that the batch crossing the cap is complete. Scoring stops after the
+    slice in which the cost reaches ``cap``; the exact cut is left to
+    ``scoring.tier1_within_budget`` and ``tier2_within_budget``.
+    """
+    prompts = scoring.scoring_input(tickets).select("row_seq", "prompt")
+    if cap is None:
+        return materialize(scoring.classified_replies(scorer(prompts)), "replies")
+    slice_rows = -(-slice_rows // batch) * batch
+    done = scoring.classified_replies(scorer(prompts.limit(0)))
+    after, cost = F.lit(True), spent
+    while cost < cap:
+        ahead = tickets.filter(after).select("row_seq").orderBy("row_seq").limit(slice_rows)
+        high = ahead.agg(F.max("row_seq")).first()[0]
+        if high is None:
+            break
+        part = prompts.filter(after & (F.col("row_seq") <= F.lit(high)))
+        got = materialize(scoring.classified_replies(scorer(part)), "replies")
+        done = done.unionByName(got)
+        cost = _spent(got, price, cost)
+        after = F.col("row_seq") > F.lit(high)
+    return done
+
+
+def _spent(replies: DataFrame, price: tuple[float, float], before: float = 0.0) -> float:
+    return replies.agg(token_cost(
+        F.coalesce(F.sum("input_tokens"), F.lit(0)), F.coalesce(F.sum("output_tokens"), F.lit(0)), price, before,
+    )).first()[0]
+
+
+def classify_stage(tickets: DataFrame, tier1: Scorer, tier2: Scorer, path: str,
+                   sample: int | None = None, cap: float | None = None, slice_rows: int = 100_000) -> DataFrame:
+    """Classified table and report. Only rows under review reach the second scorer."""
+    if sample is not None:
+        tickets = materialize(scoring.first_n(tickets, sample), "sample")
+    t1 = score_under_cap(tickets, tier1, cap, PRICES[1], slice_rows=slice_rows, batch=scoring.TIER1_BATCH)
+    t1 = materialize(scoring.tier1_within_budget(tickets, t1, cap), "tier1")
+    review = t1.filter(F.col("ok") & (F.col("confidence") < REVIEW_BELOW)).select("row_seq")
+    t2 = score_under_cap(materialize(tickets.join(review, "row_seq", "left_semi"), "review"), tier2, cap,
+                         PRICES[2], _spent(t1, PRICES[1]), slice_rows)
+    t2 = materialize(scoring.tier2_within_budget(t1, t2, cap), "tier2")
+    out = write_table(scoring.merge_tiers(tickets, t1, t2), f"{path}/classified")
+    usage = t1.withColumn("tier", F.lit(1)).unionByName(t2.withColumn("tier", F.lit(2)))
+    costs = scoring.usage_cost(usage)
+    report = scoring.classification_report(out, t1).unionByName(scoring.confidence_buckets(out))
+    report = report.unionByName(costs.select(
+        F.lit("cost").alias("section"), F.concat(F.lit("tier"), F.col("tier").cast("string")).alias("name"),
+        F.col("cost_usd").alias("value")))
+    report = report.unionByName(scoring.total_cost(costs).select(
+        F.lit("cost").alias("section"), F.lit("total").alias("name"), F.col("total_cost_usd").alias("value")))
+    report_json(report, f"{path}/classification_report")
+    return out
+
+
+def enrich_stage(tickets: DataFrame, full: Scorer, simple: Scorer, path: str,
+                 previous: DataFrame | None = None) -> DataFrame:
+    """Enriched table and report. The simple scorer sees only what the full one failed.
+
+    With ``previous`` (an earlier output, at another path) only its failed rows are
+    scored again.
+    """
+    todo = tickets if previous is None else previous.filter("enrichment_failed")
+    prompts = scoring.scoring_input(todo).select("row_seq", "prompt")
+    first = materialize(full(prompts), "full-replies")
+    unusable = enrich.unusable_replies(first)
+    second = materialize(simple(prompts.join(unusable, "row_seq", "left_semi")), "simple-replies")
+    results = materialize(enrich.enrichment_results(first, second), "enrichment-results")
+    if previous is None:
+        merged = materialize(enrich.merge_enrichment(tickets, results), "merged")
+        out = write_table(enrich.repeat_contact(merged), f"{path}/enriched")
+    else:
+        out = write_table(enrich.resume(previous, results), f"{path}/enriched")
+    report_json(enrich.enrichment_report(out), f"{path}/enrichment_report")
+    report_json(enrich.usage_by_model(results), f"{path}/usage")
+    return out
+
+
+def detect_stage(tickets: DataFrame, scorer: Scorer, path: str, by: str = "ticket_id") -> DataFrame:
+    """Anomaly table, summary with trend, sensitivity and alerts."""
+    chosen = anomaly.chosen_candidates(tickets, by)
+    replies = materialize(scorer(anomaly.anomaly_input(chosen, tickets).select("row_seq", "prompt")), "verdicts")
+    out = write_table(anomaly.anomalies_of(chosen, replies), f"{path}/anomalies")
+    report_json(anomaly.threshold_sensitivity(tickets), f"{path}/threshold_analysis")
+    replace_rows(anomaly.alerts(out), f"{path}/high_severity_alerts")
+    summary = anomaly.anomaly_summary(out)
+    before = _previous(f"{path}/anomaly_report", summary)
+    trend = None if before is None else anomaly.summary_trend(summary, before)
+    report_json(summary, f"{path}/anomaly_report")
+    if trend is not None:
+        report_json(trend, f"{path}/anomaly_trend")
+    return out
+
+
+def action_stage(calls: DataFrame, anomalies: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Action, pending and journal logs of this run (earlier ones are replaced) and the summary."""
+    kept = materialize(actions.check_calls(actions.cap_steps(calls)), "calls")
+    done, waiting = actions.gate(kept)
+    replace_rows(done, f"{path}/actions")
+    replace_rows(waiting, f"{path}/pending_approval")
+    replace_rows(actions.journal(kept), f"{path}/reasoning")
+    report_json(actions.action_summary(kept, anomalies), f"{path}/agent_summary")
+    return done, waiting
