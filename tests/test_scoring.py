@@ -124,5 +124,14 @@ def test_costs_and_reports(spark, make_tickets):
     assert s.cache_hit_rate(t1.limit(0)).first()[0] == 0.0
 
 
+def test_first_n_beyond_one_task(spark, monkeypatch):
+    monkeypatch.setattr(s, "TOP_K_ROWS", 3)
+    df = spark.range(100_000).select((F.col("id") * 3).alias("row_seq"))
+    for n in (4, 7, 65_536, 99_999, 100_000, 100_001):
+        want = min(n, 100_000)
+        got = s.first_n(df, n).agg(F.count("*"), F.max("row_seq")).first()
+        assert tuple(got) == (want, (want - 1) * 3)
+
+
 def test_first_n(make_tickets):
     assert [r.row_seq for r in s.first_n(make_tickets(*[{}] * 9).repartition(3), 4).collect()] == [0, 1, 2, 3]

@@ -24,6 +24,15 @@ def test_columns_are_matched_by_name(spark, tmp_path):
     assert list_files(spark, str(tmp_path)).count() == 2
 
 
+def test_empty_files_have_no_rows(spark, tmp_path):
+    put(tmp_path, "a.csv", "")
+    with pytest.raises(NoInputError):
+        read_tickets(spark, str(tmp_path))
+    put(tmp_path, "b.csv", "ticket_id\n1\n")
+    put(tmp_path, "c.csv", "ticket_id\n")
+    assert [r.ticket_id for r in read_tickets(spark, str(tmp_path)).collect()] == ["1"]
+
+
 def test_no_files(spark, tmp_path):
     put(tmp_path, "readme.txt", "x")
     with pytest.raises(NoInputError):

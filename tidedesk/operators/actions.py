@@ -3,6 +3,7 @@
 Input frames:
 ``calls``  (call_id, anomaly_id, step, pos, tool, input map<string,string>, anomaly_type)
 ``turns``  (conv_id, turn, role, text)
+The ids, ``step``, ``pos`` and ``turn`` are never null.
 """
 
 from __future__ import annotations

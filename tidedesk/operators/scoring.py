@@ -9,10 +9,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidedesk.functions.replies import CLASSIFICATION, parse_replies
 from tidedesk.functions.text import strip
-from tidedesk.operators.budget import budget_cut, token_cost
+from tidedesk.operators.budget import budget_cut, first_rows, token_cost
 from tidedesk.schema import ACCEPT_TIER2_FROM, CATEGORIES, PRICES, PRIORITIES, REVIEW_BELOW, UNKNOWN
 
 TIER1_BATCH = 10
+TOP_K_ROWS = 10_000
 TOKENS = ["input_tokens", "output_tokens", "cache_read_tokens"]
 
 
@@ -60,8 +61,14 @@ def classified_replies(responses: DataFrame) -> DataFrame:
 
 
 def first_n(df: DataFrame, n: int, order: str = "row_seq") -> DataFrame:
-    """The first ``n`` rows in order (a top-k, not a full sort)."""
-    return df.orderBy(order).limit(n)
+    """The first ``n`` rows in order.
+
+    A top-k for small ``n``; it merges in one task, so beyond that the last order
+    value is looked up and used as a filter.
+    """
+    if n <= TOP_K_ROWS:
+        return df.orderBy(order).limit(n)
+    return first_rows(df, n, order)
 
 
 def tier1_within_budget(tickets: DataFrame, tier1: DataFrame, cap: float | None,

@@ -68,26 +68,30 @@ def score_under_cap(tickets: DataFrame, scorer: Scorer, cap: float | None, price
                     spent: float = 0.0, slice_rows: int = 100_000, batch: int = 1) -> DataFrame:
     """Parsed replies for a written ``tickets`` table in ``row_seq`` order, slice by slice.
 
-    A slice is one distributed job over ``slice_rows`` rows, rounded up to whole
-    batches so that the batch crossing the cap is complete. Scoring stops after the
+    The first slice has ``slice_rows`` rows; later ones are as long as the money left
+    would last at the cost per row so far, so a run takes few slices. Slices hold
+    whole batches: the batch that crosses the cap is complete. Scoring stops after the
     slice in which the cost reaches ``cap``; the exact cut is left to
     ``scoring.tier1_within_budget`` and ``tier2_within_budget``.
     """
     prompts = scoring.scoring_input(tickets).select("row_seq", "prompt")
     if cap is None:
         return materialize(scoring.classified_replies(scorer(prompts)), "replies")
-    slice_rows = -(-slice_rows // batch) * batch
     done = scoring.classified_replies(scorer(prompts.limit(0)))
-    after, cost = F.lit(True), spent
+    after, cost, rows = F.lit(True), spent, 0
     while cost < cap:
-        ahead = tickets.filter(after).select("row_seq").orderBy("row_seq").limit(slice_rows)
+        size = slice_rows
+        if cost > spent:
+            size = max(size, int((cap - cost) / (cost - spent) * rows))
+        size = -(-size // batch) * batch
+        ahead = scoring.first_n(tickets.filter(after).select("row_seq"), size)
         high = ahead.agg(F.max("row_seq")).first()[0]
         if high is None:
             break
         part = prompts.filter(after & (F.col("row_seq") <= F.lit(high)))
         got = materialize(scoring.classified_replies(scorer(part)), "replies")
         done = done.unionByName(got)
-        cost = _spent(got, price, cost)
+        cost, rows = _spent(got, price, cost), rows + size
         after = F.col("row_seq") > F.lit(high)
     return done
 

@@ -104,7 +104,10 @@ def read_tickets(
     else:
         with ThreadPoolExecutor(32) as pool:
             for name, head in zip(names, pool.map(lambda n: _header(spark, n), names)):
-                groups.setdefault(head, []).append(name)
+                if head:
+                    groups.setdefault(head, []).append(name)
+        if not groups:
+            raise NoInputError(f"every file below {path} is empty")
 
     every, *rest = [_scan(spark, head, group, multi_line) for head, group in groups.items()]
     for more in rest:
