@@ -74,9 +74,8 @@ def _duplicate_print() -> Column:
 
 
 def _flag_repeated(rows: DataFrame, order: str, flag: str) -> DataFrame:
-    counts = count_by_key(rows, "_fp")
-    repeated = counts.filter(F.col("n") >= 2).withColumn(flag, F.lit(True))
-    return attach_by_key(rows, "_fp", repeated, [flag], weights=counts, spread=order).withColumn(
+    counts = count_by_key(rows, "_fp").withColumn(flag, F.col("n") >= 2)
+    return attach_by_key(rows, "_fp", counts, [flag], spread=order, keep=F.col(flag)).withColumn(
         flag, F.coalesce(flag, F.lit(False))
     )
 
@@ -149,8 +148,7 @@ def candidates(flags: DataFrame, by: str = "ticket_id") -> DataFrame:
         F.max_by("statistical_flags", F.when(has, F.col("row_seq"))).alias("id_flags"),
     )
     spoken = attach_by_key(
-        flags, "ticket_id", per_id.filter(F.col("id_flags").isNotNull()), ["id_flags"],
-        weights=per_id.select("ticket_id", "n"),
+        flags, "ticket_id", per_id, ["id_flags"], keep=F.col("id_flags").isNotNull()
     )
     return spoken.filter(F.col("id_flags").isNotNull()).withColumn(
         "statistical_flags", F.col("id_flags")

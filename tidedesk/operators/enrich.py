@@ -108,11 +108,10 @@ def entity_counts(df: DataFrame) -> DataFrame:
 
 def repeat_contact(df: DataFrame, k: int = 3, key: str = "customer_id") -> DataFrame:
     """Add ``repeat_contact``: the customer occurs in at least ``k`` rows."""
-    counts = count_by_key(df, key)
-    repeaters = counts.filter(F.col("n") >= k).withColumn("repeat_contact", F.lit(True))
+    counts = count_by_key(df, key).withColumn("repeat_contact", F.col("n") >= k)
     rows = df.drop("repeat_contact")
     return attach_by_key(
-        rows, key, repeaters, ["repeat_contact"], weights=counts
+        rows, key, counts, ["repeat_contact"], keep=F.col("repeat_contact")
     ).withColumn("repeat_contact", F.coalesce("repeat_contact", F.lit(False)))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 HEAVY_KEYS = 1000
 
@@ -14,6 +14,7 @@ def attach_by_key(
     values: list[str],
     weights: DataFrame | None = None,
     spread: str = "row_seq",
+    keep: Column | None = None,
 ) -> DataFrame:
     """Left-join ``values`` of ``per_key`` (one row per key) onto ``rows``.
 
@@ -25,14 +26,22 @@ def attach_by_key(
     The salt of other rows is a hash of their key on both sides. (A constant would
     be folded into the condition, and the shuffle would go by the key alone.)
 
-    ``weights`` may give ``(key, n)`` counts of ``rows`` when they exist already.
+    When ``per_key`` counts the rows of every present key in a column ``n``, the heavy
+    keys and their values are read off it; ``keep`` then picks the keys that the second
+    join needs. Otherwise ``weights`` may give those ``(key, n)`` counts, and by default
+    they are computed.
     """
-    if weights is None:
-        weights = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
-    top = weights.orderBy(F.desc("n"), key).limit(HEAVY_KEYS).select(F.col(key).alias("_hk"))
-    heavy = F.broadcast(top).join(per_key, F.col("_hk") == per_key[key], "left").select(
-        "_hk", *[F.col(v).alias(f"_h_{v}") for v in values]
-    )
+    heavy_values = [F.col(v).alias(f"_h_{v}") for v in values]
+    if "n" in per_key.columns:
+        top = per_key.orderBy(F.desc("n"), key).limit(HEAVY_KEYS)
+        heavy = top.select(F.col(key).alias("_hk"), *heavy_values)
+    else:
+        if weights is None:
+            weights = count_by_key(rows, key)
+        top = weights.orderBy(F.desc("n"), key).limit(HEAVY_KEYS).select(F.col(key).alias("_hk"))
+        heavy = top.join(per_key, F.col("_hk") == per_key[key], "left").select("_hk", *heavy_values)
+    if keep is not None:
+        per_key = per_key.filter(keep)
     salted = rows.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left").withColumn(
         "_salt",
         F.when(F.col("_hk").isNotNull() | F.col(key).isNull(), F.xxhash64(spread)).otherwise(
