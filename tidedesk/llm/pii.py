@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "shortcard")
@@ -169,7 +169,5 @@ def redacted(docs: DataFrame) -> DataFrame:
         for part in parts:
             yield part.map(lambda t: redact(t, find_spans(t)) if isinstance(t, str) else None)
 
-    from pyspark.sql.functions import pandas_udf
-
-    mask = pandas_udf(run, "string")
+    mask = F.pandas_udf(run, "string")
     return docs.select(*[mask("text").alias("text") if n == "text" else docs[n] for n in names])
