@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidedesk.llm import mixing, pii, sql, warc
+from tidedesk.llm import decontaminate, mixing, pii, sql, toxicity, warc
 from tidedesk.session import materialize, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,14 @@ def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op8_pii(spark: SparkSession, d: str) -> DataFrame:
     return pii.detect(table(spark, d, "documents"))
+
+
+@query
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, d, "labels")))
+
+
+@query
+def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.scan(table(spark, d, "documents"), table(spark, d, "benchmark"))

@@ -52,3 +52,32 @@ WITH RECURSIVE weights(source, weight) AS (
 """
 
 TWINS["op3_mix_sources"] = MIX_CTES.format(docs="documents") + "SELECT * FROM mixed"
+
+CONTAMINATION_CTES = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {docs}
+), bw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bwin AS (
+  SELECT DISTINCT item_id, w[t.i:t.i + 9] AS win FROM bw, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(i) WHERE len(w) > 0
+), lens AS (
+  SELECT DISTINCT len(win) AS n FROM bwin
+), dwin AS (
+  SELECT doc_id, t.i AS start, n, w[t.i:t.i + n - 1] AS win FROM dw, lens, unnest(range(1, len(w) - n + 2)) t(i) WHERE len(w) >= n
+), hits AS (
+  SELECT d.doc_id, d.start, d.n, b.item_id FROM dwin d JOIN bwin b ON d.win = b.win
+), pos AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(start, start + n)) t(p) GROUP BY doc_id
+), its AS (
+  SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS l FROM hits GROUP BY doc_id
+)
+"""
+
+TWINS["op6_decontaminate"] = CONTAMINATION_CTES.format(docs="documents") + """
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(l), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+"""
