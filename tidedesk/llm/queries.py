@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidedesk.llm import decontaminate, mixing, pii, sql, toxicity, warc
+from tidedesk.llm import decontaminate, html, mixing, pii, sql, toxicity, warc
 from tidedesk.session import materialize, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.scan(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op4_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return html.extract(table(spark, d, "pages"))
