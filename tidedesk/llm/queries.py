@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidedesk.llm import decontaminate, html, mixing, pii, sql, toxicity, warc
+from tidedesk.llm import decontaminate, html, mixing, ngram_join, pii, sql, toxicity, warc
 from tidedesk.session import materialize, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op6_decontaminate(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op4_main_text(spark: SparkSession, d: str) -> DataFrame:
     return html.extract(table(spark, d, "pages"))
+
+
+@query
+def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.join(table(spark, d, "documents"))

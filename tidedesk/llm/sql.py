@@ -81,3 +81,30 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 """
+
+NEAR_CTES = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM {docs}
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[t.i:t.i + 4], ' ') AS g
+  FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)
+), e AS (
+  SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+), r(id, reach) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT r.id, e.b FROM r JOIN e ON e.a = r.reach
+), component AS (
+  SELECT id AS doc_id, min(reach) AS component_id FROM r GROUP BY id
+)
+"""
+
+TWINS["op5_ngram_join"] = NEAR_CTES.format(docs="documents") + """
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN component USING (doc_id)
+"""
