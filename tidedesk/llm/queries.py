@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidedesk.llm import decontaminate, html, mixing, ngram_join, pii, sql, toxicity, warc
+from tidedesk.llm import cross_entropy, decontaminate, html, mixing, ngram_join, pii, sql, substring, toxicity, warc, winnow
 from tidedesk.session import materialize, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,18 @@ def op4_main_text(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.join(table(spark, d, "documents"))
+
+
+@query
+def op7_cross_entropy(spark: SparkSession, d: str) -> DataFrame:
+    return cross_entropy.score(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@query
+def op9_winnowing(spark: SparkSession, d: str) -> DataFrame:
+    return winnow.compare_with_edits(table(spark, d, "documents"))
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return substring.deduplicate(table(spark, d, "documents")).drop("kept")

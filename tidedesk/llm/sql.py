@@ -108,3 +108,69 @@ TWINS["op5_ngram_join"] = NEAR_CTES.format(docs="documents") + """
 SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM w LEFT JOIN n USING (doc_id) JOIN component USING (doc_id)
 """
+
+TWINS["op7_cross_entropy"] = r"""
+WITH tok AS (
+  SELECT 't' AS model, item_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM benchmark
+  UNION ALL
+  SELECT 'b', doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM documents
+), vocab AS (
+  SELECT word FROM (SELECT unnest(w) AS word FROM tok WHERE model = 't') GROUP BY word HAVING count(*) >= 2
+  ORDER BY count(*) DESC, word LIMIT 4096
+), width AS (
+  SELECT count(*) + 2 AS v FROM vocab
+), sym AS (
+  SELECT t.model, t.id, g.i, coalesce(v.word, '<unk> ') AS s
+  FROM tok t, unnest(range(1, len(t.w) + 1)) g(i) LEFT JOIN vocab v ON v.word = t.w[g.i]
+), steps AS (
+  SELECT model, id, i, s, coalesce(lag(s) OVER (PARTITION BY model, id ORDER BY i), '<edge> ') AS h FROM sym
+  UNION ALL
+  SELECT model, id, max(i) + 1, '<edge> ', arg_max(s, i) FROM sym GROUP BY model, id
+), big AS (
+  SELECT model, h, s, count(*) AS c FROM steps GROUP BY ALL
+), hist AS (
+  SELECT model, h, sum(c) AS c FROM big GROUP BY ALL
+), uni AS (
+  SELECT model, s, sum(c) AS c FROM big GROUP BY ALL
+), n AS (
+  SELECT model, sum(c) AS c FROM big GROUP BY ALL
+), cell AS (
+  SELECT DISTINCT h, s FROM steps WHERE model = 'b'
+), loss AS (
+  SELECT m.model, cell.h, cell.s,
+    -ln(CASE WHEN hist.c IS NULL THEN 0 ELSE 0.6::DOUBLE * coalesce(big.c, 0)::DOUBLE / hist.c::DOUBLE END
+        + (1::DOUBLE - CASE WHEN hist.c IS NULL THEN 0::DOUBLE ELSE 0.6::DOUBLE END)
+          * ((coalesce(uni.c, 0) + 1)::DOUBLE / (coalesce(n.c, 0) + width.v)::DOUBLE)) AS x
+  FROM cell CROSS JOIN (VALUES ('t'), ('b')) m(model) CROSS JOIN width
+  LEFT JOIN big ON big.model = m.model AND big.h = cell.h AND big.s = cell.s
+  LEFT JOIN hist ON hist.model = m.model AND hist.h = cell.h
+  LEFT JOIN uni ON uni.model = m.model AND uni.s = cell.s
+  LEFT JOIN n ON n.model = m.model
+), sums AS (
+  SELECT steps.id, count(*) FILTER (loss.model = 't') AS k, sum(x) FILTER (loss.model = 't') AS t, sum(x) FILTER (loss.model = 'b') AS b
+  FROM steps JOIN loss USING (h, s) WHERE steps.model = 'b' GROUP BY steps.id
+)
+SELECT d.doc_id, CAST(coalesce(k - 1, 0) AS BIGINT) AS n_tokens, round(t / k, 6) AS target_loss, round(b / k, 6) AS background_loss,
+       round(t / k - b / k, 6) AS score
+FROM documents d LEFT JOIN sums ON sums.id = d.doc_id
+"""
+
+TWINS["op2_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, t.i, array_to_string(w[t.i:t.i + 12], ' ') AS g FROM w, unnest(range(1, len(w) - 11)) t(i) WHERE len(w) >= 13
+), f AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM win
+), gone AS (
+  SELECT DISTINCT doc_id, p FROM f, unnest(range(i, i + 13)) t(p) WHERE first < doc_id
+), kept AS (
+  SELECT w.doc_id, string_agg(w.w[t.i], ' ' ORDER BY t.i) AS k, count(*) AS n
+  FROM w, unnest(range(1, len(w) + 1)) t(i) LEFT JOIN gone ON gone.doc_id = w.doc_id AND gone.p = t.i
+  WHERE gone.p IS NULL GROUP BY w.doc_id
+)
+SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
