@@ -17,9 +17,9 @@ least ``percent`` / 100; a component holds all documents that links reach.
    that do not link with it are searched against the whole cluster, block by block.
 
 Defined cases: a null or empty text has an empty set and links with nothing; fewer than ``k`` words
-make one shingle; rows that repeat an id are one document with the links of all its rows; a row
-without id is no link between others, its component is that of an equal set or else null. Other
-input columns are ignored.
+make one shingle; rows that repeat an id have a set each, and sets of one id that can have partners
+are tied together; a row without id is no link between others, its component is that of an equal set
+or else null. Other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidedesk.llm import hashing
 from tidedesk.llm.components import components
@@ -86,14 +86,14 @@ def low_keys(text: pa.Array, k: int, percent: int) -> tuple[np.ndarray, np.ndarr
 
 
 def document_sets(docs: DataFrame, seen: Filter, k: int, percent: int) -> DataFrame:
-    """``doc_id, n, sig, keys`` of every document; ``keys`` and ``sig`` are null where no partner is possible."""
+    """``doc_id, text_hash, n, sig, keys`` of every row; ``keys`` and ``sig`` are null where no partner is possible."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            for at, stop in hashing.slices(batch.column(1)):
-                keys, first = shingle_sets(batch.column(1).slice(at, stop - at), k)
+            for at, stop in hashing.slices(batch.column(2)):
+                keys, first = shingle_sets(batch.column(2).slice(at, stop - at), k)
                 n = np.diff(first)
                 doc = np.repeat(np.arange(len(n)), n)
                 low = np.arange(len(keys)) - first[doc] < np.minimum(n, missing(n, percent) + sure(n))[doc]
@@ -103,10 +103,11 @@ def document_sets(docs: DataFrame, seen: Filter, k: int, percent: int) -> DataFr
                           for i in range(len(n))]
                 sig = [hashlib.blake2b(p, digest_size=16).digest() if p else None for p in packed]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(at, stop - at), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(packed, pa.binary())],
-                    ["doc_id", "n", "sig", "keys"])
+                    [batch.column(0).slice(at, stop - at), batch.column(1).slice(at, stop - at), pa.array(n, pa.int64()),
+                     pa.array(sig, pa.binary()), pa.array(packed, pa.binary())], ["doc_id", "text_hash", "n", "sig", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n long, sig binary, keys binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, sig binary, keys binary")
 
 
 def key_counts(sets: DataFrame) -> DataFrame:
@@ -381,8 +382,8 @@ def links(sets: DataFrame, order: Order, repeated: Filter, percent: int = 75) ->
     return found.union(direct).union(_unit_links(rest.union(whole), order, percent))
 
 
-def join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
+def join_rows(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, component_id`` of every row of ``docs``."""
     seen = repeated_filter(docs, lambda text: low_keys(text, k, percent), "join-low-keys")
     every = materialize(document_sets(docs, seen, k, percent), "join-sets")
     candidates = every.filter(F.col("sig").isNotNull())
@@ -392,10 +393,28 @@ def join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     sets = classes.filter(F.col("id").isNotNull())
     counts = materialize(key_counts(sets), "join-counts")
     found = materialize(links(sets, frequent_order(counts), build_filter(counts), percent), "join-links")
-    # ids that several classes share tie these classes together
     labels = components(found)
     named = classes.select("sig", "id").join(labels.select(F.col("id").alias("_l"), "label"), F.col("id") == F.col("_l"), "left").select(
         F.col("sig").alias("_sig"), F.coalesce("label", "id").alias("_component"))
-    single = every.filter(F.col("sig").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    grouped = candidates.join(named, F.col("sig") == F.col("_sig")).select("doc_id", F.col("n").alias("n_shingles"), F.col("_component").alias("component_id"))
+    own = ["doc_id", "text_hash", F.col("n").alias("n_shingles")]
+    single = every.filter(F.col("sig").isNull()).select(*own, F.col("doc_id").alias("component_id"))
+    grouped = candidates.join(named, F.col("sig") == F.col("_sig")).select(*own, F.col("_component").alias("component_id"))
     return single.unionByName(grouped)
+
+
+def join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row of ``docs``."""
+    return join_rows(docs, k, percent).drop("text_hash")
+
+
+def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """The document with the smallest id of each component, once, all columns as they were; rows without id stay."""
+    known = docs.filter(F.col("doc_id").isNotNull())
+    rows = join_rows(known, k, percent)
+    chosen = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("c")).select(
+        F.col("c.doc_id").alias("_d"), F.col("c.text_hash").alias("_h")).distinct()
+    marked = known.withColumn("_hash", F.xxhash64("text")).withColumn("_key", F.col("doc_id").cast("long"))
+    kept = marked.join(chosen, (F.col("_key") == F.col("_d")) & (F.col("_hash") == F.col("_h")), "left_semi")
+    order = Window.partitionBy("_key", "_hash").orderBy("_key")
+    once = kept.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1")
+    return once.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
