@@ -143,6 +143,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10)
     """The documents that hold no window of the benchmark, all columns as they were."""
     index, anchors = build(docs, benchmark, width)
     hit = materialize(phrase_matches(index, anchors), "phrase-matches").select(
-        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h"))
-    return docs.join(hit, same, "left_anti")
+        F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("hash") == F.col("hit_hash"))
+    return packed.join(hit, same, "left_anti").select("row.*")

@@ -32,8 +32,8 @@ MIN_PAGES, MIN_SHARE = 4, 0.05
 BROADCAST_ROWS = 1_000_000
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attrs>(?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)>|<[!?/][^>]*>"
-    r"|<(?P<loose_end>/?)(?P<loose>[A-Za-z][^\s/>]*)[^>]*>", re.S)
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/<>]*)(?P<attrs>(?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>|<[!?/][^<>]*>"
+    r"|<(?P<loose_end>/?)(?P<loose>[A-Za-z][^\s/<>]*)[^<>]*>", re.S)
 _ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _WORD = re.compile(r"[a-z0-9]+")
 

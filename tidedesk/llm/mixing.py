@@ -74,12 +74,12 @@ def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, epochs: floa
     and sorted by it within. The broadcast holds one row per weighted source.
     """
     docs = docs.drop("copy", "shuffle_key")
-    rates = repetition_rates(docs, weights, epochs).select(
-        F.col("source").alias("_source"), F.col("rate").alias("_rate"), _cdf(F.col("rate")).alias("_cdf"))
+    rates = repetition_rates(docs, weights, epochs).select("source", "rate", _cdf(F.col("rate")).alias("cdf"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    counted = docs.join(F.broadcast(rates), F.col("source") == F.col("_source")).withColumn(
-        "_count", F.when(F.col("_rate") > 0, poisson_count(F.col("_rate"), F.col("_cdf"), seed, key)).otherwise(F.lit(0)))
-    copies = counted.filter("_count > 0").select(
-        *docs.columns, F.explode(F.sequence(F.lit(1), F.col("_count"))).alias("copy"))
-    keyed = copies.withColumn("shuffle_key", _hash_long(F.lit(f"{seed}:order"), key, F.col("copy").cast("string")))
+    packed = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"), "source")
+    count = F.when(F.col("rate") > 0, poisson_count(F.col("rate"), F.col("cdf"), seed, F.col("key"))).otherwise(F.lit(0))
+    counted = packed.join(F.broadcast(rates), "source").select("row", "key", count.alias("count")).filter("count > 0")
+    copies = counted.select("row", "key", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
+    keyed = copies.select(
+        "row.*", "copy", _hash_long(F.lit(f"{seed}:order"), F.col("key"), F.col("copy").cast("string")).alias("shuffle_key"))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -412,9 +412,10 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     known = docs.filter(F.col("doc_id").isNotNull())
     rows = join_rows(known, k, percent)
     chosen = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("c")).select(
-        F.col("c.doc_id").alias("_d"), F.col("c.text_hash").alias("_h")).distinct()
-    marked = known.withColumn("_hash", F.xxhash64("text")).withColumn("_key", F.col("doc_id").cast("long"))
-    kept = marked.join(chosen, (F.col("_key") == F.col("_d")) & (F.col("_hash") == F.col("_h")), "left_semi")
-    order = Window.partitionBy("_key", "_hash").orderBy("_key")
-    once = kept.withColumn("_copy", F.row_number().over(order)).filter("_copy = 1")
-    return once.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+        F.col("c.doc_id").alias("id"), F.col("c.text_hash").alias("hash")).distinct()
+    packed = known.select(
+        F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    kept = packed.join(chosen, ["id", "hash"], "left_semi")
+    order = Window.partitionBy("id", "hash").orderBy("id")
+    once = kept.withColumn("copy", F.row_number().over(order)).filter("copy = 1")
+    return once.select("row.*").unionByName(docs.filter(F.col("doc_id").isNull()))

@@ -84,7 +84,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> Dat
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.max_train)
         .select(F.col("doc_id").alias("_id"), F.col("toxic").alias("_toxic"))
     )
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
     return materialize(rows.select("text", F.col("_toxic").alias("toxic")), "toxicity-train")
 
 
@@ -182,6 +182,5 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The documents that are not predicted toxic, all columns as they were."""
-    names = docs.columns
-    mark = "_toxicity_score"
-    return docs.withColumn(mark, _scores(docs, model)("text")).filter(F.col(mark) < THRESHOLD).select(*names)
+    scored = docs.select(F.struct(*docs.columns).alias("row"), _scores(docs, model)("text").alias("score"))
+    return scored.filter(F.col("score") < THRESHOLD).select("row.*")
