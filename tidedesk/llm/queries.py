@@ -32,7 +32,7 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 def op1_warc_transactions(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write_archive(warc.with_roles(table(spark, d, "pages")), path)
-    captures = warc.assemble(warc.read_archives(spark, path))
+    captures = warc.assemble(warc.measured(warc.read_archives(spark, path)))
     return warc.resolve_revisits(materialize(warc.page_roles(captures), "warc-roles"))
 
 

@@ -167,23 +167,41 @@ def assemble(records: DataFrame) -> DataFrame:
         F.coalesce("_c", "_m").alias("capture_id"), "response", "request", "metadata")
 
 
+def measured(records: DataFrame) -> DataFrame:
+    """``records`` with the digest and size of what is stored in place of the payload of responses.
+
+    For callers that need no bodies: taken before :func:`assemble`, no page crosses a shuffle.
+    """
+    body = F.col("warc_type").isin("response", "revisit")
+    return records.select(
+        *[c for c in records.columns if c != "payload"], F.when(~body, F.col("payload")).alias("payload"),
+        F.when(body, F.sha2("payload", 256)).alias("stored_digest"),
+        F.when(body, F.octet_length("payload").cast("long")).alias("stored_bytes"))
+
+
 def page_roles(captures: DataFrame) -> DataFrame:
-    """``capture_id, page_id, payload_bytes, payload_digest, record_type, original`` of each response or revisit,
-    measured on what the archive holds; a revisit has null bytes until its original is looked up."""
+    """``capture_id, page_id, payload_bytes, payload_digest, record_type, original`` of each response or revisit
+    among assembled :func:`measured` records; a revisit has null bytes until its original is looked up."""
     stored = F.col("response.warc_type") == "response"
     page = F.regexp_extract(F.decode(F.col("metadata.payload"), "UTF-8"), r"page-id: (-?[0-9]+)", 1)
     return captures.filter(F.col("response").isNotNull()).select(
         "capture_id", F.when(page != "", page).cast("long").alias("page_id"),
-        F.when(stored, F.octet_length("response.payload").cast("long")).alias("payload_bytes"),
-        F.when(stored, F.sha2("response.payload", 256)).alias("payload_digest"),
+        F.when(stored, F.col("response.stored_bytes")).alias("payload_bytes"),
+        F.when(stored, F.col("response.stored_digest")).alias("payload_digest"),
         F.col("response.warc_type").alias("record_type"), F.col("response.refers_to").alias("original"))
 
 
 def resolve_revisits(roles: DataFrame) -> DataFrame:
-    """Gives every revisit the size and digest of its original; ``roles`` should be a written table."""
-    originals = roles.filter("record_type = 'response'").groupBy(F.col("capture_id").alias("_o")).agg(
+    """Gives every revisit the size and digest of its original; ``roles`` should be a written table.
+
+    Only revisits are joined; an original with very many of them lies on the side that Spark can split.
+    """
+    responses = roles.filter("record_type = 'response'")
+    originals = responses.groupBy(F.col("capture_id").alias("_o")).agg(
         F.min("page_id").alias("_page"), F.min("payload_bytes").alias("_bytes"), F.min("payload_digest").alias("_digest"))
-    return roles.join(originals, F.col("original") == F.col("_o"), "left").select(
-        "page_id", F.coalesce("payload_bytes", "_bytes").alias("payload_bytes"),
-        F.coalesce("payload_digest", "_digest").alias("payload_digest"), "record_type",
-        F.when(F.col("record_type") == "revisit", F.col("_page")).alias("refers_to"))
+    revisits = roles.filter("record_type = 'revisit'").join(originals, F.col("original") == F.col("_o"), "left").select(
+        "page_id", F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest"), "record_type",
+        F.col("_page").alias("refers_to"))
+    return responses.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")
+    ).unionByName(revisits)
