@@ -85,7 +85,8 @@ def phrase_matches(index: DataFrame, anchors: DataFrame) -> DataFrame:
     place = start - F.col("first")
     found = index.join(_checked(anchors), "term").filter(place >= 0)
     both = found.filter(F.get("around", place + F.col("offset2")) == F.col("term2"))
-    exact = both.filter(F.slice("around", place + 1, F.size("window")) == F.col("window"))
+    # Spark may test this before the filters above; ``greatest`` keeps the start valid then
+    exact = both.filter(F.slice("around", F.greatest(place, F.lit(0)) + 1, F.size("window")) == F.col("window"))
     return exact.select("doc_id", "text_hash", start.alias("start"), F.size("window").alias("length"), "items")
 
 
