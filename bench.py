@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,7 +31,9 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",
-           "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"},
+           "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
+           # one machine: any folder is shared
+           "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-")},
     )
     spark.sparkContext.setLogLevel("OFF")
 

@@ -106,8 +106,8 @@ def test_empty_keeps_the_schema(spark, enriched):
 def test_prompt(spark, enriched):
     df = enriched({"sentiment": "frustrated", "llm_category": "unknown", "subject": None, "body": "b" * 600}, {"body": "a"}, {"body": "c"})
     p = a.anomaly_input(a.candidates(a.anomaly_flags(df)), df).first().prompt
-    assert p.splitlines()[1:] == ["subject: ", "body (first 500 chars): " + "b" * 500, "sentiment: frustrated",
-                                  "llm_category: unknown", "statistical_flags: frustrated_sentiment, unclassified"]
+    assert p.splitlines()[1:] == ["Subject line: ", "Beginning of the text: " + "b" * 500, "Mood: frustrated",
+                                  "Assigned category: unknown", "Flags raised: frustrated_sentiment, unclassified"]
 
 
 def test_sensitivity(spark):

@@ -107,7 +107,9 @@ def test_strict(make_tickets):
     bad = make_tickets({"channel": "Fax"}, {"status": ""}, {"priority": None})
     with pytest.raises(InvalidEnumError) as e:
         normalize(bad, AT, strict=True)
-    assert "channel='fax'" in str(e.value) and "status=''" in str(e.value) and "priority" not in str(e.value)
+    assert "channel: 1" in str(e.value) and "status: 1" in str(e.value) and "priority" not in str(e.value)
+    listed = bad.sparkSession.read.parquet(str(e.value).rsplit(" ", 1)[1])
+    assert {tuple(r) for r in listed.collect()} == {("channel", "fax"), ("status", "")}
     assert normalize(make_tickets({"priority": None}), AT, strict=True).count() == 1
     assert enum_violations(bad).count() == 2
 

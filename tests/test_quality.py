@@ -119,7 +119,7 @@ def test_profile(tickets):
     assert p[("totals", "total_records")] == 3
     assert p[("totals", "priority_nulled")] == 1 and p[("totals", "html_stripped")] == 1
     assert p[("totals", "parse_errors")] == 1 and p[("null_counts", "agent_id")] == 1
-    assert p[("channel_distribution", "unknown")] == 1 and p[("channel_distribution", "email")] == 2
+    assert p[("channel_distribution", "unknown")] == 1 and p[("channel_distribution", "web")] == 2
 
 
 def test_gate_scan_has_no_wide_shuffle(tickets):

@@ -124,8 +124,7 @@ def test_costs_and_reports(spark, make_tickets):
     assert s.cache_hit_rate(t1.limit(0)).first()[0] == 0.0
 
 
-def test_first_n_beyond_one_task(spark, monkeypatch):
-    monkeypatch.setattr(s, "TOP_K_ROWS", 3)
+def test_first_n_of_any_size(spark):
     df = spark.range(100_000).select((F.col("id") * 3).alias("row_seq"))
     for n in (4, 7, 65_536, 99_999, 100_000, 100_001):
         want = min(n, 100_000)
@@ -133,5 +132,13 @@ def test_first_n_beyond_one_task(spark, monkeypatch):
         assert tuple(got) == (want, (want - 1) * 3)
 
 
+@pytest.mark.parametrize("n", [2, 5, 9_999, 10_001])
+def test_first_n_with_ties_and_nulls(spark, n):
+    df = spark.range(12_000).select(F.when(F.col("id") >= 3, F.col("id") - F.col("id") % 4).alias("row_seq"))
+    got = sorted((r.row_seq for r in s.first_n(df, n).collect()), key=lambda x: (x is not None, x))
+    want = sorted((None if i < 3 else i - i % 4 for i in range(12_000)), key=lambda x: (x is not None, x or 0))
+    assert got == want[:n]
+
+
 def test_first_n(make_tickets):
     assert [r.row_seq for r in s.first_n(make_tickets(*[{}] * 9).repartition(3), 4).collect()] == [0, 1, 2, 3]

@@ -60,7 +60,7 @@ def test_null_tokens(spark):
 
 def test_channel_copy_is_replaced(spark, make_tickets, tmp_path):
     path = str(tmp_path / "by")
-    assert sinks.write_by_channel(make_tickets({}, {"channel": "web"}), path) == 2
+    assert sinks.write_by_channel(make_tickets({}, {"channel": "chat"}), path) == 2
     assert sinks.write_by_channel(make_tickets({"channel": "phone"}), path) == 1
     assert sorted(n for n in os.listdir(path) if n.startswith("channel=")) == ["channel=phone"]
 
@@ -82,7 +82,7 @@ def test_table_and_report(spark, make_tickets, tmp_path):
     t = sinks.write_table(make_tickets({}, {}), str(tmp_path / "t"))
     assert t.count() == 2
     r = sinks.report_json(t.groupBy("channel").count(), str(tmp_path / "r"))
-    assert [tuple(x) for x in r.collect()] == [("email", 2)]
+    assert [tuple(x) for x in r.collect()] == [("web", 2)]
     assert len([f for f in os.listdir(tmp_path / "r") if f.endswith(".json")]) == 1
 
 

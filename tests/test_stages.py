@@ -5,8 +5,11 @@ import json
 import pandas as pd
 import pytest
 
+from pyspark.sql import functions as F
+
 from tidedesk.operators import scoring
 from tidedesk.plans import stages
+from tidedesk.session import materialize
 
 REPLY = "row_seq long, raw_text string, stop_reason string, input_tokens long, output_tokens long, cache_read_tokens long"
 AT = "2024-02-01T00:00:00Z"
@@ -44,7 +47,7 @@ def run(spark, tmp_path_factory):
     one = answering(lambda p: {"category": "billing", "priority": "low", "confidence": 0.5 if "angry" in p else 0.9})
     two = answering(lambda p: {"category": "technical", "priority": "high", "confidence": 0.95})
     t["classified"] = stages.classify_stage(valid, one, two, out)
-    t["capped"] = stages.classify_stage(valid, one, two, f"{out}/capped", cap=0.0029, slice_rows=7)
+    t["capped"] = stages.classify_stage(valid, one, two, f"{out}/capped", cap=0.0029)
     t["sampled"] = stages.classify_stage(valid, one, two, f"{out}/sampled", sample=7)
     full = answering(lambda p: {"sentiment": "frustrated" if "angry" in p else "neutral", "sentiment_confidence": 0.8,
                                 "entities": {}, "summary": "s", "urgency_score": 0.9, "urgency_reason": "r"} if "case 3" not in p else {})
@@ -75,7 +78,7 @@ def test_cap(spark, run):
     assert c.filter("llm_category <> 'unknown'").count() == 30 and c.filter("escalated").count() == 0
     assert run["sampled"].count() == 7
     cost = {r.name: r.value for r in spark.read.json(f"{run['out']}/capped/classification_report").filter("section = 'cost'").collect()}
-    assert cost == {"tier1": 0.0036, "total": 0.0036}
+    assert cost == {"tier1": 0.0036, "total": 0.0036, "kept_tier1": 0.0036, "kept_total": 0.0036, "cache_hit_rate": 0.0}
 
 
 def test_fallback_and_resume(run):
@@ -102,3 +105,21 @@ def test_actions(spark, run, tmp_path):
     assert done.count() == 0 and waiting.count() == calls.count()
     assert spark.read.json(str(tmp_path / "pending_approval")).count() == calls.count()
     assert spark.read.json(str(tmp_path / "agent_summary")).filter("name = 'pending_approval'").first().value == calls.count()
+
+
+def test_a_cap_binds_what_the_scorer_is_sent(spark, make_tickets, tmp_path):
+    """Every reply costs 0.0012; a cap of 0.012 lets eleven batches' worth of money pass at most one batch over."""
+    tickets = materialize(make_tickets(*[{}] * 300), "cap-tickets")
+    sent = []
+
+    def scorer(prompts):
+        sent.append(prompts.count())
+        return prompts.select(
+            "row_seq", F.lit('{"category": "billing", "priority": "low", "confidence": 0.9}').alias("raw_text"), F.lit("end_turn").alias("stop_reason"),
+            F.lit(1000).alias("input_tokens"), F.lit(100).alias("output_tokens"), F.lit(0).alias("cache_read_tokens"))
+
+    got = stages.score_under_cap(tickets, scorer, 0.012 * 3, (0.8, 4.0), batch=10)
+    assert got.count() == sum(sent) == 30 and len(sent) < 6
+    sent.clear()
+    broken = lambda p: scorer(p).withColumn("raw_text", F.lit("no json"))
+    assert stages.score_under_cap(tickets, broken, 0.012, (0.8, 4.0), batch=10).count() == 300 and len(sent) < 8

@@ -33,6 +33,7 @@ def check_calls(calls: DataFrame) -> DataFrame:
     """
     tool, given = F.col("tool"), F.col("input")
     required = F.create_map(*[x for t, a in TOOL_ARGUMENTS.items() for x in (F.lit(t), _texts(a))])
+    given = F.coalesce(given, F.create_map().cast("map<string,string>"))
     missing = F.array_except(F.try_element_at(required, tool), F.map_keys(given))
     bad = F.filter(F.array(*[
         F.when((tool == t) & ~F.try_element_at(given, F.lit(arg)).isin(allowed), F.lit(arg))
@@ -54,6 +55,27 @@ def needs_approval() -> Column:
     )
 
 
+def steps_of(calls: DataFrame) -> DataFrame:
+    """``(anomaly_id, step, stop_reason)`` of the steps that made calls; the first call speaks for its step."""
+    return calls.groupBy("anomaly_id", "step").agg(F.min_by("stop_reason", "pos").alias("stop_reason"))
+
+
+def executed(calls: DataFrame, steps: DataFrame | None = None) -> DataFrame:
+    """Calls before the end of their anomaly's run.
+
+    A run ends at its first step that did not stop for tools: the calls of that step and of all later
+    ones are not executed. ``steps`` has a row per step, with or without calls; by default the steps
+    with calls.
+    """
+    ends = (
+        (steps_of(calls) if steps is None else steps)
+        .filter(F.coalesce(F.col("stop_reason") != "tool_use", F.lit(True)))
+        .groupBy("anomaly_id").agg(F.min("step").alias("_end"))
+    )
+    return attach_by_key(calls, "anomaly_id", ends, ["_end"], spread="call_id").filter(
+        F.col("_end").isNull() | (F.col("step") < F.col("_end"))).drop("_end")
+
+
 def gate(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split into (actions, pending): high-severity escalations wait for a human."""
     waiting = calls.filter(needs_approval()).withColumn(
@@ -63,9 +85,12 @@ def gate(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def customer_history(tickets: DataFrame, as_of: dt.datetime | str) -> DataFrame:
-    """Per customer: tickets, tickets per status, days since the last contact."""
+    """Per customer: tickets, tickets per status, days since the last contact.
+
+    Tickets without a date count; the last contact needs one and is null without.
+    """
     return (
-        tickets.filter(F.col("customer_id").isNotNull() & (F.col("created_at") <= as_of_literal(as_of)))
+        tickets.filter(F.col("customer_id").isNotNull() & F.coalesce(F.col("created_at") <= as_of_literal(as_of), F.lit(True)))
         .groupBy("customer_id")
         .agg(F.count("*").alias("prior_tickets"),
              *[F.count_if(F.col("status") == s).alias(f"{s}_tickets") for s in STATUSES],
@@ -151,13 +176,20 @@ def trim_context(turns: DataFrame, limit: int = TOKEN_LIMIT, last: int = 4) -> D
     return kept.unionByName(markers)
 
 
-def journal(calls: DataFrame) -> DataFrame:
-    """One row per step: the first tool called, its position, the stop reason."""
-    return calls.groupBy("anomaly_id", "step").agg(
+def journal(calls: DataFrame, steps: DataFrame | None = None) -> DataFrame:
+    """One row per step: the first tool called, its id, the stop reason.
+
+    ``steps`` (anomaly_id, step, stop_reason) adds the steps without a call, whose tool is null.
+    """
+    first = calls.groupBy("anomaly_id", "step").agg(
         F.min_by("tool", "pos").alias("tool_called"),
         F.min_by("call_id", "pos").alias("tool_use_id"),
-        F.min_by("stop_reason", "pos").alias("stop_reason"),
+        F.min_by("stop_reason", "pos").alias("_called_stop"),
     )
+    if steps is None:
+        return first.withColumnRenamed("_called_stop", "stop_reason")
+    return steps.select("anomaly_id", "step", "stop_reason").join(first, ["anomaly_id", "step"], "full").select(
+        "anomaly_id", "step", "tool_called", "tool_use_id", F.coalesce("stop_reason", "_called_stop").alias("stop_reason"))
 
 
 def action_summary(calls: DataFrame, anomalies: DataFrame, truncations: DataFrame | None = None) -> DataFrame:

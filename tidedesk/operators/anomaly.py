@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidedesk.functions.replies import VERDICT, parse_replies
 from tidedesk.functions.text import collapse, fingerprint, folded
+from tidedesk.operators.enrich import repeat_contact
 from tidedesk.operators.keyed import attach_by_key, count_by_key
 from tidedesk.operators.quality import join_flags
 from tidedesk.operators.scoring import tally
-from tidedesk.schema import ANOMALY_COLUMNS, UNKNOWN
+from tidedesk.schema import ALERT_TEXT, ANOMALY_COLUMNS, REASON_NO_BODY, REASON_NO_VERDICT, UNKNOWN
 from tidedesk.session import materialize
 
 # Fixed values.
@@ -98,18 +99,21 @@ def threshold_sensitivity(df: DataFrame, zs: list[float] = SENSITIVITY_ZS,
     )
 
 
-def anomaly_flags(df: DataFrame, z: float = SPIKE_Z) -> DataFrame:
+def anomaly_flags(df: DataFrame, z: float = SPIKE_Z, contacts: bool = False) -> DataFrame:
     """One narrow row per ticket: ``row_seq, ticket_id, has_body, body_key, statistical_flags``.
 
     ``body_key`` is the fingerprint used later to keep the first of equal bodies;
     it does not collapse white space, unlike the one behind ``duplicate_body``.
 
     Lengths and fingerprints are written to the scratch folder first, so the bodies
-    are read once however often the later steps come back to them.
+    are read once however often the later steps come back to them. With ``contacts``,
+    repeated customers are counted on those narrow rows; otherwise a column
+    ``repeat_contact`` is used if there is one.
     """
     none = F.lit(False)
     mood = F.col("sentiment")
-    repeat = F.coalesce(F.col("repeat_contact"), none) if "repeat_contact" in df.columns else none
+    given = "repeat_contact" in df.columns and not contacts
+    repeat = F.coalesce(F.col("repeat_contact"), none) if given else F.lit(contacts)
     # Each folded text is a column of its own: used twice, computed once.
     texts = df.withColumn("_folded", folded(F.col("body"))).withColumn("_key", collapse(F.col("_folded")))
     narrow = materialize(texts.select(
@@ -120,8 +124,10 @@ def anomaly_flags(df: DataFrame, z: float = SPIKE_Z) -> DataFrame:
         F.coalesce(F.col("llm_category") == UNKNOWN, none).alias("_unclassified"),
         (repeat & F.coalesce(mood.isin("frustrated", "negative"), none)).alias("_repeat"),
         _duplicate_print().alias("_fp"),
-        fingerprint(F.col("_folded")).alias("body_key"),
+        fingerprint(F.col("_folded")).alias("body_key"), *["customer_id"] * contacts,
     ), "ticket-signals")
+    if contacts:
+        narrow = repeat_contact(narrow).withColumn("_repeat", F.col("_repeat") & F.col("repeat_contact"))
     marked = _flag_repeated(narrow, "row_seq", "_dup").crossJoin(
         F.broadcast(_stats_of(narrow, F.col("_len"))))
     return marked.select(
@@ -177,7 +183,7 @@ def statistical_only(cands: DataFrame) -> DataFrame:
     return cands.filter(~F.col("has_body")).select(
         "row_seq", "ticket_id", "statistical_flags", _first_flag().alias("anomaly_type"),
         F.lit("low").alias("severity"),
-        F.lit("Ticket body is null; statistical flag only").alias("reason"),
+        F.lit(REASON_NO_BODY).alias("reason"),
         F.lit("manual_review").alias("recommended_action"),
         F.lit("statistical").alias("detection_method"),
     )
@@ -185,14 +191,16 @@ def statistical_only(cands: DataFrame) -> DataFrame:
 
 def anomaly_input(cands: DataFrame, tickets: DataFrame) -> DataFrame:
     """Prompt text for the candidates that have a body."""
-    wide = tickets.select("row_seq", "subject", "body", "sentiment", "llm_category")
+    # the bodies are cut in the scan; only the preview moves
+    wide = tickets.select(
+        "row_seq", "subject", F.substring("body", 1, PREVIEW).alias("preview"), "sentiment", "llm_category")
     text = F.concat(
-        F.lit("ticket_id: "), F.col("ticket_id"),
-        F.lit("\nsubject: "), F.coalesce("subject", F.lit("")),
-        F.lit("\nbody (first 500 chars): "), F.substring("body", 1, PREVIEW),
-        F.lit("\nsentiment: "), F.coalesce("sentiment", F.lit("")),
-        F.lit("\nllm_category: "), F.coalesce("llm_category", F.lit("")),
-        F.lit("\nstatistical_flags: "), F.replace("statistical_flags", F.lit("|"), F.lit(", ")),
+        F.lit("Ticket "), F.col("ticket_id"),
+        F.lit("\nSubject line: "), F.coalesce("subject", F.lit("")),
+        F.lit("\nBeginning of the text: "), "preview",
+        F.lit("\nMood: "), F.coalesce("sentiment", F.lit("")),
+        F.lit("\nAssigned category: "), F.coalesce("llm_category", F.lit("")),
+        F.lit("\nFlags raised: "), F.replace("statistical_flags", F.lit("|"), F.lit(", ")),
     )
     return cands.filter("has_body").join(wide, "row_seq").select(
         "row_seq", "ticket_id", "statistical_flags", text.alias("prompt")
@@ -204,7 +212,7 @@ def merge_verdict(cands: DataFrame, responses: DataFrame) -> DataFrame:
     v = parse_replies(responses, VERDICT).select("row_seq", F.col("reply").alias("_v"))
     fallback = {
         "anomaly_type": _first_flag(), "severity": F.lit("low"),
-        "reason": F.lit("Classification failed"), "recommended_action": F.lit("monitor"),
+        "reason": F.lit(REASON_NO_VERDICT), "recommended_action": F.lit("monitor"),
     }
     return cands.filter("has_body").join(v, "row_seq", "left").select(
         "row_seq", "ticket_id", "statistical_flags",
@@ -213,16 +221,17 @@ def merge_verdict(cands: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
-def chosen_candidates(tickets: DataFrame, by: str = "ticket_id", z: float = SPIKE_Z) -> DataFrame:
+def chosen_candidates(tickets: DataFrame, by: str = "ticket_id", z: float = SPIKE_Z,
+                      contacts: bool = False) -> DataFrame:
     """Candidates after keeping the first of equal bodies, written down between steps."""
-    flags = materialize(anomaly_flags(tickets, z), "ticket-flags")
+    flags = materialize(anomaly_flags(tickets, z, contacts), "ticket-flags")
     return materialize(first_duplicate(materialize(candidates(flags, by), "candidates")), "chosen")
 
 
 def anomalies(tickets: DataFrame, responses: DataFrame, by: str = "ticket_id",
-              z: float = SPIKE_Z) -> DataFrame:
+              z: float = SPIKE_Z, contacts: bool = False) -> DataFrame:
     """Anomaly table: ``row_seq`` plus the seven text columns."""
-    return anomalies_of(chosen_candidates(tickets, by, z), responses)
+    return anomalies_of(chosen_candidates(tickets, by, z, contacts), responses)
 
 
 def anomalies_of(cands: DataFrame, responses: DataFrame) -> DataFrame:
@@ -251,8 +260,7 @@ def alerts(found: DataFrame) -> DataFrame:
         F.when(action == "escalate", "slack").when(action == "create_task", "email")
         .otherwise("monitor").alias("alert_channel"),
         F.format_string(
-            "HIGH anomaly: ticket %s — %s. Action: %s. Reason: %s",
-            "ticket_id", "anomaly_type", "recommended_action", "reason",
+            ALERT_TEXT, "ticket_id", "anomaly_type", "recommended_action", "reason",
         ).alias("message"),
     )
 

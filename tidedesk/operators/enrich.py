@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidedesk.functions.replies import ENRICHMENT, ENTITY_TYPE, SIMPLE_ENRICHMENT, parse_replies
 from tidedesk.operators.keyed import attach_by_key, count_by_key
+from tidedesk.operators.budget import token_cost
 from tidedesk.operators.scoring import TOKENS, tally
-from tidedesk.schema import ENTITY_LISTS, SENTIMENTS, URGENCY_DEFAULT, URGENCY_DEFAULT_REASON
+from tidedesk.schema import ENTITY_LISTS, MODEL_PRICES, SENTIMENTS, URGENCY_DEFAULT, URGENCY_DEFAULT_REASON
 
 FIELDS = ["sentiment", "sentiment_confidence", "entities", "summary", "urgency_score", "urgency_reason"]
 
@@ -66,12 +67,20 @@ def _with_defaults() -> dict[str, Column]:
     }
 
 
-def merge_enrichment(tickets: DataFrame, results: DataFrame) -> DataFrame:
-    """Add the enrichment columns; tickets without a usable result get the defaults."""
+def merge_enrichment(tickets: DataFrame, results: DataFrame, contacts: bool = False) -> DataFrame:
+    """Add the enrichment columns; tickets without a usable result get the defaults.
+
+    ``contacts`` adds ``repeat_contact`` too. It is found on ids alone and joined with the results
+    first, so the tickets themselves move once.
+    """
     r = results.select("row_seq", F.struct("ok", *FIELDS).alias("_r"))
-    base = [c for c in tickets.columns if c not in (*FIELDS, "enrichment_failed")]
+    base = [c for c in tickets.columns if c not in (*FIELDS, "enrichment_failed", *["repeat_contact"] * contacts)]
+    more = []
+    if contacts:
+        r = repeat_contact(tickets.select("row_seq", "customer_id")).drop("customer_id").join(r, "row_seq", "left")
+        more = ["repeat_contact"]
     return tickets.select(*base).join(r, "row_seq", "left").select(
-        *base, *[c.alias(n) for n, c in _with_defaults().items()]
+        *base, *[c.alias(n) for n, c in _with_defaults().items()], *more
     )
 
 
@@ -82,8 +91,9 @@ def resume(previous: DataFrame, results: DataFrame) -> DataFrame:
     rows. Write the outcome to a new path: Spark reads ``previous`` while it writes.
     """
     columns = [c for c in previous.columns if c != "repeat_contact"]
-    kept = previous.filter(~F.col("enrichment_failed")).select(*columns)
-    again = previous.filter(F.col("enrichment_failed")).select(*columns)
+    failed = F.coalesce(F.col("enrichment_failed"), F.lit(True))
+    kept = previous.filter(~failed).select(*columns)
+    again = previous.filter(failed).select(*columns)
     redone = merge_enrichment(again, results).select(*columns)
     return repeat_contact(kept.unionByName(redone))
 
@@ -115,6 +125,23 @@ def repeat_contact(df: DataFrame, k: int = 3, key: str = "customer_id") -> DataF
     ).withColumn("repeat_contact", F.coalesce("repeat_contact", F.lit(False)))
 
 
+def run_cost(results: DataFrame) -> DataFrame:
+    """``(section, name, value)``: tokens used, dollars to 4 digits, and the cache-hit rate of the small model's
+    calls (the only ones that read a cache)."""
+    small = F.col("model") == "small"
+    tokens = {(m, t): F.coalesce(F.sum(F.when(F.col("model") == m, F.col(t))), F.lit(0)) for m in MODEL_PRICES for t in TOKENS[:2]}
+    cost = F.lit(0.0)
+    for m, price in MODEL_PRICES.items():
+        cost = cost + token_cost(tokens[m, "input_tokens"], tokens[m, "output_tokens"], price)
+    read = F.coalesce(F.sum(F.when(small, F.col("cache_read_tokens"))), F.lit(0))
+    served = tokens["small", "input_tokens"] + read
+    return tally(results, {
+        ("totals", "tokens_used"): sum(tokens.values(), F.lit(0)),
+        ("totals", "cost_usd"): F.round(cost, 4),
+        ("totals", "cache_hit_rate"): F.round(read / F.nullif(served, F.lit(0)), 4),
+    })
+
+
 def usage_by_model(results: DataFrame) -> DataFrame:
     """Billed tokens per model."""
     return results.filter(F.col("model").isNotNull()).groupBy("model").agg(
@@ -122,11 +149,14 @@ def usage_by_model(results: DataFrame) -> DataFrame:
     )
 
 
-def enrichment_report(df: DataFrame) -> DataFrame:
-    """Counts, zero-filled sentiment distribution, urgency buckets, failure share."""
+def enrichment_report(df: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """Counts, zero-filled sentiment distribution, urgency buckets, failure share.
+
+    ``results`` (:func:`enrichment_results`) adds tokens, dollars and the cache-hit rate of the run.
+    """
     u = F.col("urgency_score")
     failed = F.count_if("enrichment_failed")
-    return tally(df, {
+    report = tally(df, {
         ("totals", "total"): F.count("*"),
         ("totals", "enriched"): F.count_if(~F.col("enrichment_failed")),
         ("totals", "failed"): failed,
@@ -137,3 +167,4 @@ def enrichment_report(df: DataFrame) -> DataFrame:
         ("urgency_distribution", "medium (0.4-0.6)"): F.count_if((u > 0.3) & (u <= 0.6)),
         ("urgency_distribution", "high (0.7-1.0)"): F.count_if(u > 0.6),
     })
+    return report if results is None else report.unionByName(run_cost(results))

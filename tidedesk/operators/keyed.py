@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HEAVY_KEYS = 1000
+#: A key is heavy when it holds more than this share of a shuffle partition; so there are at most
+#: ``PER_PARTITION`` heavy keys per shuffle partition.
+PER_PARTITION = 16
 
 
 def attach_by_key(
@@ -18,10 +20,10 @@ def attach_by_key(
 ) -> DataFrame:
     """Left-join ``values`` of ``per_key`` (one row per key) onto ``rows``.
 
-    The ``HEAVY_KEYS`` most frequent keys are joined by broadcast, so at most
-    that many rows are ever broadcast. Their rows, and rows with a null key, then
-    go through the shuffle of the second join under a per-row salt that spreads
-    them evenly. Any other key holds less than 1/HEAVY_KEYS of the rows.
+    Keys that hold more rows than 1/16 of an even shuffle partition are joined by broadcast;
+    there are at most 16 of them per partition, whatever the data. Their rows, and rows with
+    a null key, then go through the shuffle of the second join under a per-row salt that
+    spreads them evenly.
 
     The salt of other rows is a hash of their key on both sides. (A constant would
     be folded into the condition, and the shuffle would go by the key alone.)
@@ -33,12 +35,9 @@ def attach_by_key(
     """
     heavy_values = [F.col(v).alias(f"_h_{v}") for v in values]
     if "n" in per_key.columns:
-        top = per_key.orderBy(F.desc("n"), key).limit(HEAVY_KEYS)
-        heavy = top.select(F.col(key).alias("_hk"), *heavy_values)
+        heavy = heavy_keys(per_key, key).select(F.col(key).alias("_hk"), *heavy_values)
     else:
-        if weights is None:
-            weights = count_by_key(rows, key)
-        top = weights.orderBy(F.desc("n"), key).limit(HEAVY_KEYS).select(F.col(key).alias("_hk"))
+        top = heavy_keys(count_by_key(rows, key) if weights is None else weights, key).select(F.col(key).alias("_hk"))
         heavy = top.join(per_key, F.col("_hk") == per_key[key], "left").select("_hk", *heavy_values)
     if keep is not None:
         per_key = per_key.filter(keep)
@@ -61,6 +60,14 @@ def attach_by_key(
     )
 
 
+def heavy_keys(counts: DataFrame, key: str) -> DataFrame:
+    """The rows of ``counts`` (``key, n``) whose ``n`` exceeds the total over 16 times the shuffle partitions."""
+    parts = PER_PARTITION * int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    total = counts.agg(F.sum("n").alias("_total"))  # one row
+    return counts.crossJoin(F.broadcast(total)).filter(
+        F.col(key).isNotNull() & (F.col("n") > F.col("_total") / parts)).drop("_total")
+
+
 def count_by_key(rows: DataFrame, key: str) -> DataFrame:
     """``(key, n)`` over rows whose key is present; combines before it shuffles."""
     return rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))

@@ -11,7 +11,8 @@ from tidedesk.functions.text import blank_to_null, strip, strip_html
 from tidedesk.schema import (
     CATEGORIES, CHANNELS, PRIORITIES, SCHEMA_VERSION, STATUSES, TICKET_COLUMNS,
 )
-from tidedesk.session import require_utc
+from tidedesk.session import require_utc, scratch_dir
+from tidedesk.sources.sinks import write_table
 
 ENUMS = {
     "channel": CHANNELS, "priority": PRIORITIES, "status": STATUSES, "category": CATEGORIES,
@@ -26,10 +27,13 @@ class InvalidEnumError(ValueError):
     """Strict mode found values outside an enumeration."""
 
 
+def missing_columns(df: DataFrame, columns: list[str] = TICKET_COLUMNS) -> list[str]:
+    return [c for c in columns if c not in df.columns]
+
+
 def require_columns(df: DataFrame, columns: list[str] = TICKET_COLUMNS) -> DataFrame:
     """Fail with the name of every missing column, before anything runs."""
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
+    if missing := missing_columns(df, columns):
         raise MissingColumnsError(f"missing column(s) {missing}; expected {columns}")
     return df
 
@@ -55,22 +59,27 @@ def with_meta(df: DataFrame, processed_at: str, version: str = SCHEMA_VERSION) -
     return df.withColumns({"_schema_version": F.lit(version), "_processed_at": F.lit(processed_at)})
 
 
-def normalize(df: DataFrame, processed_at: str, strict: bool = False,
-              strict_examples: int = 100) -> DataFrame:
+def check_enums(df: DataFrame) -> None:
+    """Raise if a value is outside its enumeration; the message counts the bad values per column
+    and names the table that lists every one of them."""
+    path = scratch_dir(df.sparkSession, "enum-violations")
+    bad = write_table(enum_violations(df), path)
+    counts = {r.column_name: r.n for r in bad.groupBy("column_name").agg(F.count("*").alias("n")).collect()}
+    if counts:
+        raise InvalidEnumError(
+            "values outside their enumeration: "
+            + ", ".join(f"{c}: {counts[c]}" for c in sorted(counts)) + f"; all are listed in {path}")
+
+
+def normalize(df: DataFrame, processed_at: str, strict: bool = False) -> DataFrame:
     """Apply every field rule; one row in, one row out, extra columns kept.
 
-    ``strict`` runs a pre-check and raises on the first bad values; the message
-    lists at most ``strict_examples`` of them in order (the check itself is whole).
+    ``strict`` runs :func:`check_enums` first.
     """
     require_utc(df.sparkSession)
     require_columns(df)
     if strict:
-        bad = enum_violations(df).orderBy("column_name", "bad_value").limit(strict_examples).collect()
-        if bad:
-            raise InvalidEnumError(
-                "values outside their enumeration: "
-                + ", ".join(f"{r.column_name}={r.bad_value!r}" for r in bad)
-            )
+        check_enums(df)
     text = {c: blank_to_null(F.col(c)) for c in ("subject", "body")}
     ids = {c: strip(F.col(c)) for c in ("ticket_id", "customer_id", "agent_id")}
     cleaned = df.withColumns({

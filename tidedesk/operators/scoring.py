@@ -11,9 +11,9 @@ from tidedesk.functions.replies import CLASSIFICATION, parse_replies
 from tidedesk.functions.text import strip
 from tidedesk.operators.budget import budget_cut, first_rows, token_cost
 from tidedesk.schema import ACCEPT_TIER2_FROM, CATEGORIES, PRICES, PRIORITIES, REVIEW_BELOW, UNKNOWN
+from tidedesk.session import materialize
 
 TIER1_BATCH = 10
-TOP_K_ROWS = 10_000
 TOKENS = ["input_tokens", "output_tokens", "cache_read_tokens"]
 
 
@@ -61,14 +61,24 @@ def classified_replies(responses: DataFrame) -> DataFrame:
 
 
 def first_n(df: DataFrame, n: int, order: str = "row_seq") -> DataFrame:
-    """The first ``n`` rows in order.
+    """The first ``n`` rows, sorted, the same way for every ``n``; ``order`` is a long, nulls first.
 
-    A top-k for small ``n``; it merges in one task, so beyond that the last order
-    value is looked up and used as a filter.
+    The last value is looked up and used as a filter. Of rows that tie at the cut, as many as fit
+    are taken, whichever.
     """
-    if n <= TOP_K_ROWS:
-        return df.orderBy(order).limit(n)
-    return first_rows(df, n, order)
+    if n <= 0:
+        return df.limit(0)
+    present = df.filter(F.col(order).isNotNull())
+    nulls = df.filter(F.col(order).isNull())
+    rest = n - nulls.count()
+    if rest <= 0:
+        return nulls.limit(n)
+    first = first_rows(present, rest, order)
+    got, last = first.agg(F.count("*"), F.max(order)).first()
+    if got > rest:
+        below = first.filter(F.col(order) < last)
+        first = below.unionByName(first.filter(F.col(order) == last).limit(rest - below.count()))
+    return nulls.unionByName(first).orderBy(order)
 
 
 def tier1_within_budget(tickets: DataFrame, tier1: DataFrame, cap: float | None,
@@ -77,23 +87,26 @@ def tier1_within_budget(tickets: DataFrame, tier1: DataFrame, cap: float | None,
 
     Tickets without a reply still take their place in a batch, at no cost.
     """
-    every = tickets.select("row_seq").join(tier1, "row_seq", "left")
+    every = materialize(tickets.select("row_seq").join(tier1, "row_seq", "left"), "tier1-attempts")
     return every if cap is None else budget_cut(every, cap, price=PRICES[1], batch=batch)
 
 
-def tier2_within_budget(tier1: DataFrame, tier2: DataFrame, cap: float | None) -> DataFrame:
+def tier2_within_budget(tier1: DataFrame, tier2: DataFrame, cap: float | None,
+                        spent: float | None = None) -> DataFrame:
     """Tier-2 results for the rows under review that a capped run reaches.
 
-    ``tier1`` are the attempted tier-1 rows; their cost counts against the cap.
+    ``tier1`` are the attempted tier-1 rows; their cost counts against the cap, or ``spent`` if given.
     """
     review = tier1.filter(F.col("ok") & (F.col("confidence") < REVIEW_BELOW)).select("row_seq")
     attempted = review.join(tier2, "row_seq", "left")
     if cap is None:
         return attempted
-    spent = tier1.agg(
-        token_cost(F.coalesce(F.sum("input_tokens"), F.lit(0)),
-                   F.coalesce(F.sum("output_tokens"), F.lit(0)), PRICES[1])
-    ).first()[0]
+    attempted = materialize(attempted, "tier2-attempts")
+    if spent is None:
+        spent = tier1.agg(
+            token_cost(F.coalesce(F.sum("input_tokens"), F.lit(0)),
+                       F.coalesce(F.sum("output_tokens"), F.lit(0)), PRICES[1])
+        ).first()[0]
     return budget_cut(attempted, cap, price=PRICES[2], spent=spent)
 
 
@@ -123,28 +136,28 @@ def merge_tiers(tickets: DataFrame, tier1: DataFrame, tier2: DataFrame) -> DataF
             F.coalesce(F.when(F.col("_ok1"), F.col(one)), F.lit(default))
         )
 
-    return (
-        tickets.join(t1, "row_seq", "left").join(t2, "row_seq", "left")
-        .select(
-            *[tickets[c] for c in tickets.columns],
-            pick("_c2", "_c1", UNKNOWN).alias("llm_category"),
-            pick("_p2", "_p1", UNKNOWN).alias("llm_priority"),
-            pick("_f2", "_f1", 0.0).alias("llm_confidence"),
-            (review1 & ~take2).alias("needs_review"),
-            tried2.alias("escalated"),
-        )
+    # the two result tables are merged first, so the tickets move once
+    verdict = t1.join(t2, "row_seq", "left").select(
+        "row_seq", pick("_c2", "_c1", UNKNOWN).alias("_c"), pick("_p2", "_p1", UNKNOWN).alias("_p"),
+        pick("_f2", "_f1", 0.0).alias("_f"), (review1 & ~take2).alias("_n"), tried2.alias("_e"),
+    )
+    return tickets.join(verdict, "row_seq", "left").select(
+        *[tickets[c] for c in tickets.columns],
+        F.coalesce("_c", F.lit(UNKNOWN)).alias("llm_category"), F.coalesce("_p", F.lit(UNKNOWN)).alias("llm_priority"),
+        F.coalesce("_f", F.lit(0.0)).alias("llm_confidence"), F.coalesce("_n", no).alias("needs_review"),
+        F.coalesce("_e", no).alias("escalated"),
     )
 
 
-def usage_cost(usage: DataFrame, prices: dict[int, tuple[float, float]] = PRICES) -> DataFrame:
-    """Per tier: token sums and dollars to 6 digits. Cache reads are not priced."""
-    sums = usage.groupBy("tier").agg(
+def usage_cost(usage: DataFrame, prices: dict = PRICES, key: str = "tier") -> DataFrame:
+    """Per ``key`` (a tier or a model): token sums and dollars to 6 digits. Cache reads are not priced."""
+    sums = usage.groupBy(key).agg(
         *[F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in TOKENS[:2]]
     )
     cost = F.lit(None).cast("double")
     for tier, price in prices.items():
         cost = F.when(
-            F.col("tier") == tier, token_cost(F.col("input_tokens"), F.col("output_tokens"), price)
+            F.col(key) == tier, token_cost(F.col("input_tokens"), F.col("output_tokens"), price)
         ).otherwise(cost)
     return sums.withColumn("cost_usd", F.round(cost, 6))
 

@@ -23,10 +23,10 @@ from tidedesk.operators import runs
 from tidedesk.operators import scoring as sco
 from tidedesk.operators.budget import budget_cut
 from tidedesk.plans import views
-from tidedesk.schema import CATEGORIES, CHANNELS, PRICES, PRIORITIES, STATUSES, TICKET_COLUMNS
+from tidedesk.schema import CATEGORIES, CHANNELS, MODEL_PRICES, PRICES, PRIORITIES, STATUSES, TICKET_COLUMNS
 from tidedesk.session import materialize, scratch_dir
 from tidedesk.sources.sinks import append_rows, read_rows, replace_rows, report_json, write_by_channel, write_table
-from tidedesk.sources.tickets import null_tokens, read_tickets
+from tidedesk.sources.tickets import NoInputError, null_tokens, read_tickets
 
 AS_OF = "2024-02-01 00:00:00"
 PROCESSED_AT = "2024-02-01T00:00:00Z"
@@ -91,8 +91,12 @@ def enrich_results(spark: SparkSession, d: str) -> DataFrame:
 
 
 def enriched(spark: SparkSession, d: str) -> DataFrame:
-    base = contacted(spark, d).drop("sentiment")
-    return enr.merge_enrichment(base, enrich_results(spark, d))
+    return with_contacts(spark, d)[0]
+
+
+def with_contacts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    results = enrich_results(spark, d)
+    return enr.merge_enrichment(tickets(spark, d).drop("sentiment"), results, contacts=True), results
 
 
 def flat(df: DataFrame, *more: str) -> DataFrame:
@@ -116,11 +120,11 @@ def verdicts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def found(spark: SparkSession, d: str) -> DataFrame:
-    return materialize(ano.anomalies(contacted(spark, d), verdicts(spark, d)), "anomalies")
+    return materialize(ano.anomalies(tickets(spark, d), verdicts(spark, d), contacts=True), "anomalies")
 
 
 def chosen(spark: SparkSession, d: str) -> DataFrame:
-    return ano.chosen_candidates(contacted(spark, d))
+    return ano.chosen_candidates(tickets(spark, d), contacts=True)
 
 
 CALL_INPUT = """
@@ -129,7 +133,7 @@ CASE tool
                              ELSE map('ticket_id', ticket_id, 'severity', severity, 'reason', 'r') END
  WHEN 'send_alert' THEN map('message', 'm', 'channel', CASE severity WHEN 'high' THEN 'slack' WHEN 'medium' THEN 'pagerduty' ELSE 'fax' END)
  WHEN 'create_task' THEN map('title', 't')
- WHEN 'get_ticket_history' THEN map('customer_id', 'c')
+ WHEN 'get_ticket_history' THEN CASE WHEN call_id % 7 = 0 THEN NULL ELSE map('customer_id', 'c') END
  WHEN 'update_ticket_status' THEN map('ticket_id', ticket_id, 'new_status', new_status, 'reason', 'r')
  ELSE map('x', 'y') END
 """
@@ -140,6 +144,17 @@ def calls(spark: SparkSession, d: str) -> DataFrame:
     return spark.sql(views.TOOL_CALLS).withColumn("input", F.expr(CALL_INPUT))
 
 
+def ran(spark: SparkSession, d: str) -> DataFrame:
+    """Executed calls: those before the end of their anomaly's run."""
+    return act.executed(calls(spark, d), steps(spark, d))
+
+
+def steps(spark: SparkSession, d: str) -> DataFrame:
+    table(spark, d, "events").createOrReplaceTempView("events")
+    calls(spark, d).createOrReplaceTempView("calls")
+    return spark.sql(views.STEPS)
+
+
 def micros(column: str = "created_at"):
     return F.unix_micros(column).alias(f"{column}_us")
 
@@ -181,6 +196,20 @@ def a3_null_tokens(spark, d):
     return null_tokens(o)
 
 
+@query
+def a4_no_input(spark, d):
+    # files per suffix; a suffix without files is an error
+    path = scratch_dir(spark, "csv")
+    table(spark, d, "orders").select(F.concat_ws(",", "o_orderkey", "o_orderstatus")).write.partitionBy().csv(f"{path}/in")
+    rows = []
+    for pattern in ("*.csv", "*.tsv"):
+        try:
+            rows.append((pattern, read_tickets(spark, path, pattern=pattern, columns=["a"], multi_line=False).count() >= 0))
+        except NoInputError:
+            rows.append((pattern, False))
+    return spark.createDataFrame(rows, "pattern string, has_input boolean")
+
+
 @query
 def a5_a6_parquet(spark, d):
     back = write_table(tickets(spark, d), scratch_dir(spark, "normalized"))
@@ -244,6 +273,33 @@ def b2_parse_ts(spark, d):
     return parsed.select("event_id", F.unix_micros("at").alias("at_us"), F.col("at").isNull().alias("parse_error"))
 
 
+#: Layouts of one time, and how much of it each keeps.
+LAYOUTS = [
+    ("MM/dd/yyyy hh:mm a", "minute"), ("MMM d, yyyy", "day"), ("MMMM d yyyy", "day"), ("dd-MMM-yyyy", "day"), ("MM-dd-yyyy", "day"),
+    ("yyyy.MM.dd", "day"), ("M/d/yy", "day"), ("yyyy/M/d", "day"), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "second"),
+    ("yyyyMMdd'T'HHmmss'Z'", "second"), ("yyyyMMddHHmmss", "second"), ("yyyy-MM-dd hh:mm a", "minute"), ("yyyy/MM/dd'T'HH:mm:ss'Z'", "second"),
+    ("yyyyMMdd", "day"), ("d MMMM yyyy H:mm", "minute"), ("MMM d yyyy h:mm:ss a", "second"), ("MM.dd.yyyy HH:mm", "minute"),
+    ("yyyy-MM-dd'T'HH:mm:ss", "second"), ("M/d/yyyy H:mm:ss", "second"), ("EEEE, MMMM d, yyyy", "day"), ("d MMM yyyy hh:mm a", "minute"),
+    ("yyyy-M-d H:mm", "minute"), ("MMM yyyy", "month"), ("dd MMM yyyy HH:mm:ss '+0000'", "second"),
+]
+
+
+@query
+def b2_layouts(spark, d):
+    n = F.col("event_id") % len(LAYOUTS)
+    text = F.coalesce(*[F.when(n == i, F.date_format("ts", p)) for i, (p, _) in enumerate(LAYOUTS)])
+    return table(spark, d, "events").select("event_id", F.unix_micros(parse_ts(text)).alias("at_us"))
+
+
+@query
+def b1_missing_columns(spark, d):
+    rows = []
+    for name in ("orders", "documents", "events"):
+        missing = nrm.missing_columns(table(spark, d, name).withColumnRenamed("text", "body"))
+        rows += [(name, c, table(spark, d, name).count()) for c in missing]
+    return spark.createDataFrame(rows, "table_name string, missing_column string, table_rows long")
+
+
 @query
 def b3_enums(spark, d):
     return raw_tickets(spark, d).select(
@@ -437,6 +493,23 @@ def d7_merge_tiers(spark, d):
         "row_seq", "llm_category", "llm_priority", "llm_confidence", "needs_review", "escalated")
 
 
+@query
+def d9_first_n_large(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("row_seq"), "o_custkey")
+    return sco.first_n(o, 10_007)
+
+
+@query
+def d12_enrichment_cost(spark, d):
+    results = enrich_results(spark, d).filter(F.col("model").isNotNull())
+    return sco.usage_cost(results, MODEL_PRICES, "model")
+
+
+@query
+def d15_enrichment_cache(spark, d):
+    return sco.cache_hit_rate(enrich_results(spark, d).filter("model = 'small'"))
+
+
 @query
 def d9_first_n(spark, d):
     return sco.first_n(raw_tickets(spark, d), 25).select("row_seq", "ticket_id")
@@ -525,7 +598,7 @@ def e5_resume(spark, d):
 
 @query
 def e6_repeat_contact(spark, d):
-    return contacted(spark, d).select("row_seq", "customer_id", "repeat_contact")
+    return enr.repeat_contact(tickets(spark, d).select("row_seq", "customer_id"))
 
 
 @query
@@ -536,7 +609,8 @@ def e6_repeat_orders(spark, d):
 
 @query
 def e7_enrichment_report(spark, d):
-    return enr.enrichment_report(enriched(spark, d))
+    e, results = with_contacts(spark, d)
+    return enr.enrichment_report(e, results)
 
 
 @query
@@ -559,7 +633,7 @@ def f1_documents_spike(spark, d):
 
 @query
 def f2_f6_anomaly_flags(spark, d):
-    return ano.anomaly_flags(contacted(spark, d)).select("row_seq", "statistical_flags")
+    return ano.anomaly_flags(tickets(spark, d), contacts=True).select("row_seq", "statistical_flags")
 
 
 @query
@@ -570,12 +644,12 @@ def f5_documents_duplicates(spark, d):
 
 @query
 def f7_candidates(spark, d):
-    return ano.candidates(ano.anomaly_flags(contacted(spark, d))).select("row_seq", "ticket_id", "statistical_flags")
+    return ano.candidates(ano.anomaly_flags(tickets(spark, d), contacts=True)).select("row_seq", "ticket_id", "statistical_flags")
 
 
 @query
 def f7_candidates_by_row(spark, d):
-    return ano.candidates(ano.anomaly_flags(contacted(spark, d)), by="row").select(
+    return ano.candidates(ano.anomaly_flags(tickets(spark, d), contacts=True), by="row").select(
         "row_seq", "ticket_id", "statistical_flags")
 
 
@@ -616,7 +690,9 @@ def f13_documents_sensitivity(spark, d):
 
 @query
 def f14_anomaly_summary(spark, d):
-    return ano.anomaly_summary(found(spark, d))
+    anomalies = found(spark, d)
+    totals = ano.detection_totals(tickets(spark, d), anomalies)
+    return ano.anomaly_summary(anomalies).unionByName(totals.withColumn("value", F.col("value").cast("long")))
 
 
 @query
@@ -639,12 +715,12 @@ def g1_check_calls(spark, d):
 
 @query
 def g2_pending(spark, d):
-    return act.gate(calls(spark, d))[1].select("call_id", "ticket_id", "tool", "anomaly_type")
+    return act.gate(ran(spark, d))[1].select("call_id", "ticket_id", "tool", "anomaly_type")
 
 
 @query
 def g2_actions(spark, d):
-    return act.gate(calls(spark, d))[0].select("call_id", "tool")
+    return act.gate(ran(spark, d))[0].select("call_id", "tool")
 
 
 @query
@@ -655,7 +731,7 @@ def g3_customer_history(spark, d):
 
 @query
 def g4_apply_status(spark, d):
-    return act.apply_status(tickets(spark, d), act.gate(calls(spark, d))[0]).select("row_seq", "ticket_id", "status")
+    return act.apply_status(tickets(spark, d), act.gate(ran(spark, d))[0]).select("row_seq", "ticket_id", "status")
 
 
 @query
@@ -675,13 +751,13 @@ def g7_trim_context(spark, d):
 
 @query
 def g8_action_summary(spark, d):
-    c = calls(spark, d)
-    return act.action_summary(c, c.select("anomaly_id").distinct())
+    trims = act.trim_context(table(spark, d, "conversations"), limit=300).filter("is_marker")
+    return act.action_summary(ran(spark, d), calls(spark, d).select("anomaly_id").distinct(), trims)
 
 
 @query
 def g9_journal(spark, d):
-    return act.journal(calls(spark, d))
+    return act.journal(calls(spark, d), steps(spark, d))
 
 
 # H: run reporting -----------------------------------------------------------
@@ -691,7 +767,7 @@ def h1_run_metrics(spark, d):
     t = stored(spark, d)
     return runs.run_metrics(
         spark, run_id="r1", timestamp=PROCESSED_AT, duration_ms=1200, ingested=raw_tickets(spark, d), validated=t,
-        checks=qua.quality_report(t, AS_OF), anomalies=ano.anomalies(enr.repeat_contact(t), verdicts(spark, d)), actions=act.gate(calls(spark, d))[0])
+        checks=qua.quality_report(t, AS_OF), anomalies=ano.anomalies(t, verdicts(spark, d), contacts=True), actions=act.gate(ran(spark, d))[0])
 
 
 @query

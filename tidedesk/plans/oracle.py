@@ -27,6 +27,10 @@ NA = "'','#N/A','#N/A N/A','#NA','-1.#IND','-1.#QNAN','-NaN','-nan','1.#IND','1.
 _TS = (r"CASE WHEN regexp_matches({c}, '^\d{{4}}(-|$)') THEN try_cast({c} AS TIMESTAMP) "
        "ELSE coalesce(try_strptime({c}, '%m/%d/%Y'), try_strptime({c}, '%d/%m/%Y')) END")
 
+COLUMNS = ["ticket_id", "created_at", "customer_id", "channel", "subject", "body", "priority", "category", "status", "agent_id"]
+# What each layout of b2_layouts keeps of a time.
+KEPT = ["minute", "day", "day", "day", "day", "day", "day", "day", "second", "second", "second", "minute", "second", "day", "minute", "second",
+        "minute", "second", "second", "day", "minute", "minute", "month", "second"]
 CTES: dict[str, tuple[list[str], str]] = {}
 
 
@@ -201,9 +205,28 @@ cte("anom", ["scored", "statonly"], "SELECT * FROM scored UNION ALL SELECT * FRO
 
 # Actions
 cte("calls", [], views.TOOL_CALLS)
+cte("steps", ["calls"], views.STEPS)
+cte("ran", ["calls", "steps"], """
+SELECT c.* FROM calls c LEFT JOIN (SELECT anomaly_id, min(step) AS fin FROM steps WHERE stop_reason <> 'tool_use' GROUP BY anomaly_id) e
+ ON c.anomaly_id = e.anomaly_id WHERE e.fin IS NULL OR c.step < e.fin""")
+# arguments given per call, and the catalogue: (tool, required argument), (tool, argument, allowed value)
+cte("given", ["calls"], """
+SELECT call_id, unnest(CASE tool WHEN 'escalate_ticket' THEN CASE WHEN call_id % 5 = 0 THEN ['ticket_id', 'severity'] ELSE ['ticket_id', 'severity', 'reason'] END
+  WHEN 'send_alert' THEN ['message', 'channel'] WHEN 'create_task' THEN ['title'] WHEN 'get_ticket_history' THEN CASE WHEN call_id % 7 = 0 THEN [] ELSE ['customer_id'] END
+  WHEN 'update_ticket_status' THEN ['ticket_id', 'new_status', 'reason'] ELSE ['x'] END) AS arg,
+ CASE tool WHEN 'escalate_ticket' THEN severity WHEN 'send_alert' THEN CASE severity WHEN 'high' THEN 'slack' WHEN 'medium' THEN 'pagerduty' ELSE 'fax' END
+  WHEN 'update_ticket_status' THEN new_status END AS chosen
+FROM calls""")
+cte("catalogue", [], """
+SELECT * FROM (VALUES ('escalate_ticket', 'ticket_id', 1, NULL), ('escalate_ticket', 'reason', 2, NULL), ('escalate_ticket', 'severity', 3, ['low', 'medium', 'high']),
+ ('send_alert', 'message', 1, NULL), ('send_alert', 'channel', 2, ['slack', 'email', 'pagerduty']), ('create_task', 'title', 1, NULL),
+ ('create_task', 'description', 2, NULL), ('create_task', 'assignee', 3, ['tier1', 'tier2', 'billing_team', 'engineering']),
+ ('auto_respond', 'ticket_id', 1, NULL), ('auto_respond', 'response_template', 2, ['acknowledge_delay', 'sla_commitment', 'escalation_notice', 'general_thanks']),
+ ('get_ticket_history', 'customer_id', 1, NULL), ('update_ticket_status', 'ticket_id', 1, NULL),
+ ('update_ticket_status', 'new_status', 2, ['open', 'pending', 'closed']), ('update_ticket_status', 'reason', 3, NULL)) t(tool, arg, k, allowed)""")
 _WAIT = "(tool = 'escalate_ticket' AND severity = 'high')"
-cte("updates", ["calls"], f"""
-SELECT ticket_id, arg_max(new_status, call_id) AS new_status FROM calls
+cte("updates", ["ran"], f"""
+SELECT ticket_id, arg_max(new_status, call_id) AS new_status FROM ran
 WHERE tool = 'update_ticket_status' AND new_status <> 'reopened' GROUP BY ticket_id""")
 
 
@@ -223,12 +246,13 @@ def oracle_sql() -> dict[str, str]:
         + ", CASE WHEN status = 'open' THEN category END AS category FROM tickets")
     o["a2_csv_suffix"] = w(["tickets"], "SELECT channel, count(*) AS n, CAST(0 AS BIGINT) AS repeated_row_seq FROM tickets GROUP BY channel")
     o["a3_null_tokens"] = "SELECT o_orderkey, CASE WHEN o_orderpriority NOT IN ('1-URGENT','2-HIGH','3-MEDIUM','5-LOW') THEN o_orderpriority END AS priority FROM orders"
+    o["a4_no_input"] = "SELECT '*.csv' AS pattern, count(*) > 0 AS has_input FROM orders UNION ALL SELECT '*.tsv', false"
     o["a5_a6_parquet"] = w(["norm"], "SELECT row_seq, channel, status, epoch_us(created_at) AS created_at_us FROM norm")
     o["a7_channel_partitions"] = w(["norm"], "SELECT channel, count(*) AS n, (SELECT count(DISTINCT channel) FROM norm) AS partitions FROM norm GROUP BY channel")
     o["a8_report_json"] = w(["norm"], _report("norm", NINE))
     o["a9_json_lines"] = w(["calls"], """
 SELECT tool, count(*) AS n, CAST(sum(CASE tool WHEN 'escalate_ticket' THEN CASE WHEN call_id % 5 = 0 THEN 2 ELSE 3 END WHEN 'send_alert' THEN 2
- WHEN 'update_ticket_status' THEN 3 ELSE 1 END) AS BIGINT) AS arguments, max(call_id) AS last_call FROM calls GROUP BY tool""")
+ WHEN 'update_ticket_status' THEN 3 WHEN 'get_ticket_history' THEN CASE WHEN call_id % 7 = 0 THEN NULL ELSE 1 END ELSE 1 END) AS BIGINT) AS arguments, max(call_id) AS last_call FROM calls GROUP BY tool""")
     o["a10_dead_letter"] = w(["flagged"], "SELECT row_seq, quality_flags FROM flagged WHERE quality_flags <> ''")
 
     o["b_normalize"] = w(["norm"], f"""
@@ -239,6 +263,11 @@ SELECT row_seq, ticket_id, epoch_us(created_at) AS created_at_us, customer_id, c
 SELECT event_id, epoch_us(parsed_at) AS at_us, parsed_at IS NULL AS parse_error FROM (SELECT event_id, CASE event_type
  WHEN 'view' THEN date_trunc('day', ts) WHEN 'click' THEN date_trunc('second', ts) - INTERVAL 2 HOUR WHEN 'error' THEN date_trunc('second', ts)
  WHEN 'signup' THEN NULL ELSE date_trunc('second', ts) END AS parsed_at FROM events) x"""
+    o["b2_layouts"] = ("SELECT event_id, epoch_us(CASE event_id % 24 " + " ".join(
+        f"WHEN {i} THEN date_trunc('{p}', ts)" for i, p in enumerate(KEPT)) + " END) AS at_us FROM events")
+    o["b1_missing_columns"] = "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, unnest({[c for c in COLUMNS if c not in have]}) AS missing_column, (SELECT count(*) FROM {t}) AS table_rows"
+        for t, have in (("orders", ()), ("documents", ("body",)), ("events", ())))
     o["b3_enums"] = w(["norm"], "SELECT row_seq, channel, status, category FROM norm")
     o["b4_priority"] = w(["norm"], "SELECT row_seq, priority, priority IS NOT NULL AS priority_normalized FROM norm")
     low = lambda c: f"lower({_strip(c)})"
@@ -296,6 +325,13 @@ FROM (SELECT *, {_GOOD} AS ok FROM fields) x""")
     o["d5_refusals"] = w(["responses"], "SELECT row_seq, CAST(tier AS BIGINT) AS tier FROM responses WHERE stop_reason = 'refusal'")
     o["d7_merge_tiers"] = w(["merged"], "SELECT * FROM merged")
     o["d9_first_n"] = w(["tickets"], "SELECT row_seq, ticket_id FROM tickets ORDER BY row_seq LIMIT 25")
+    o["d9_first_n_large"] = "SELECT o_orderkey AS row_seq, o_custkey FROM orders ORDER BY o_orderkey LIMIT 10007"
+    ecost = "sum(input_tokens)::DOUBLE / 1000000 * {i}::DOUBLE + sum(output_tokens)::DOUBLE / 1000000 * {j}::DOUBLE"
+    o["d12_enrichment_cost"] = w(["enr"], f"""
+SELECT model, CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
+ round(CASE model WHEN 'small' THEN {ecost.format(i='0.8', j='4.0')} ELSE {ecost.format(i='3.0', j='15.0')} END, 6) AS cost_usd
+FROM (SELECT *, CASE WHEN full_ok THEN 'small' ELSE 'large' END AS model FROM enr WHERE full_ok OR simple_ok) x GROUP BY model""")
+    o["d15_enrichment_cache"] = w(["enr"], "SELECT round(sum(cache_read_tokens)::DOUBLE / (sum(input_tokens) + sum(cache_read_tokens))::DOUBLE, 4) AS cache_hit_rate FROM enr WHERE full_ok")
     o["d10_tier1_budget"] = w(["budget1"], "SELECT row_seq, ok FROM budget1")
     o["d10_orders_budget"] = """
 WITH r AS (SELECT o_orderkey * 70001 AS row_seq, o_custkey % 100 AS ti, o_custkey % 7 AS tou, (row_number() OVER (ORDER BY o_orderkey) - 1) // 10 AS b FROM orders),
@@ -340,7 +376,14 @@ FROM (SELECT *, enrichment_failed AND row_seq % 3 <> 0 AS redo FROM enr) e JOIN
         ("urgency_distribution", "low (0.0-0.3)", _cnt("urgency_score <= 0.3::DOUBLE")),
         ("urgency_distribution", "medium (0.4-0.6)", _cnt("urgency_score > 0.3::DOUBLE AND urgency_score <= 0.6::DOUBLE")),
         ("urgency_distribution", "high (0.7-1.0)", _cnt("urgency_score > 0.6::DOUBLE"))])
-        + " UNION ALL " + _tally("repeats", [("totals", "repeat_contacts", _cnt("repeat_contact"))]))
+        + " UNION ALL " + _tally("repeats", [("totals", "repeat_contacts", _cnt("repeat_contact"))])
+        + " UNION ALL " + _tally("(SELECT * FROM enr WHERE full_ok OR simple_ok) u", [
+            ("totals", "tokens_used", "sum(input_tokens + output_tokens)"),
+            ("totals", "cost_usd", "round(" + " + ".join(
+                f"coalesce(sum({t}) FILTER ({p}), 0)::DOUBLE / 1000000 * {c}::DOUBLE" for p, t, c in (
+                    ("full_ok", "input_tokens", 0.8), ("full_ok", "output_tokens", 4.0),
+                    ("NOT full_ok", "input_tokens", 3.0), ("NOT full_ok", "output_tokens", 15.0))) + ", 4)"),
+            ("totals", "cache_hit_rate", "round(sum(cache_read_tokens) FILTER (full_ok)::DOUBLE / (sum(input_tokens) FILTER (full_ok) + sum(cache_read_tokens) FILTER (full_ok))::DOUBLE, 4)")]))
     o["e8_usage_by_model"] = w(["enr"], """
 SELECT CASE WHEN full_ok THEN 'small' ELSE 'large' END AS model, count(*) AS replies, CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens,
  CAST(sum(CASE WHEN full_ok THEN cache_read_tokens ELSE 0 END) AS BIGINT) AS cache_read_tokens FROM enr WHERE full_ok OR simple_ok GROUP BY 1""")
@@ -356,14 +399,17 @@ SELECT row_seq, length(key) > 20 AND count(*) OVER (PARTITION BY key) >= 2 AS du
     o["f8_first_duplicate"] = w(["chosen"], "SELECT row_seq, statistical_flags, body IS NOT NULL AS has_body FROM chosen")
     o["f9_statistical_only"] = w(["statonly"], "SELECT * FROM statonly")
     o["f10_anomaly_input"] = w(["chosen"], """
-SELECT row_seq, concat('ticket_id: ', ticket_id, chr(10), 'subject: ', coalesce(subject, ''), chr(10), 'body (first 500 chars): ', substr(body, 1, 500), chr(10),
- 'sentiment: ', coalesce(sentiment, ''), chr(10), 'llm_category: ', coalesce(llm_category, ''), chr(10), 'statistical_flags: ', replace(statistical_flags, '|', ', ')) AS prompt
+SELECT row_seq, concat('Ticket ', ticket_id, chr(10), 'Subject line: ', coalesce(subject, ''), chr(10), 'Beginning of the text: ', substr(body, 1, 500), chr(10),
+ 'Mood: ', coalesce(sentiment, ''), chr(10), 'Assigned category: ', coalesce(llm_category, ''), chr(10), 'Flags raised: ', replace(statistical_flags, '|', ', ')) AS prompt
 FROM chosen WHERE body IS NOT NULL""")
     o["f11_merge_verdict"] = w(["scored"], "SELECT * FROM scored")
     o["f12_anomalies"] = w(["anom"], "SELECT * FROM anom")
     o["f13_threshold_sensitivity"] = w(["norm"], _sensitivity("norm", "body"))
     o["f13_documents_sensitivity"] = _sensitivity("documents", "text")
-    o["f14_anomaly_summary"] = w(["anom"], "SELECT 'by_type' AS section, anomaly_type AS name, count(*) AS value FROM anom GROUP BY 2 UNION ALL SELECT 'by_severity', severity, count(*) FROM anom GROUP BY 2")
+    o["f14_anomaly_summary"] = w(["anom", "norm"], """
+SELECT 'by_type' AS section, anomaly_type AS name, count(*) AS value FROM anom GROUP BY 2 UNION ALL SELECT 'by_severity', severity, count(*) FROM anom GROUP BY 2
+UNION ALL SELECT 'totals', 'total_tickets', count(*) FROM norm UNION ALL SELECT 'totals', 'anomalies_found', count(*) FROM anom
+UNION ALL SELECT 'totals', 'scored', count(*) FROM anom WHERE detection_method = 'hybrid'""")
     o["f15_alerts"] = w(["anom"], """
 SELECT ticket_id, anomaly_type, severity, reason, recommended_action, CASE recommended_action WHEN 'escalate' THEN 'slack' WHEN 'create_task' THEN 'email' ELSE 'monitor' END AS alert_channel,
  concat('HIGH anomaly: ticket ', ticket_id, ' — ', anomaly_type, '. Action: ', recommended_action, '. Reason: ', reason) AS message FROM anom WHERE severity = 'high'""")
@@ -371,16 +417,18 @@ SELECT ticket_id, anomaly_type, severity, reason, recommended_action, CASE recom
 SELECT 'anomalies_found' AS name, (SELECT count(*) FROM anom) - (SELECT count(*) FROM anom WHERE severity <> 'low') AS delta
 UNION ALL SELECT concat('type:', anomaly_type), count(*) FILTER (severity = 'low') FROM anom GROUP BY anomaly_type HAVING count(*) FILTER (severity = 'low') <> 0""")
 
-    o["g1_check_calls"] = w(["calls"], """
-SELECT call_id, tool, CASE tool WHEN 'hallucinated_tool' THEN 'Error: tool ''hallucinated_tool'' not found' WHEN 'escalate_ticket' THEN CASE WHEN call_id % 5 = 0 THEN 'missing: reason' END
- WHEN 'send_alert' THEN CASE WHEN severity = 'low' THEN 'not allowed: channel' END WHEN 'create_task' THEN 'missing: description,assignee'
- WHEN 'update_ticket_status' THEN CASE WHEN new_status = 'reopened' THEN 'not allowed: new_status' END END AS call_error FROM calls""")
-    o["g2_pending"] = w(["calls"], f"SELECT call_id, ticket_id, tool, anomaly_type FROM calls WHERE {_WAIT}")
-    o["g2_actions"] = w(["calls"], f"SELECT call_id, tool FROM calls WHERE NOT {_WAIT}")
+    o["g1_check_calls"] = w(["calls", "given", "catalogue"], """
+SELECT c.call_id, any_value(c.tool) AS tool, CASE WHEN count(k.tool) = 0 THEN concat('Error: tool ', chr(39), any_value(c.tool), chr(39), ' not found')
+ WHEN count(*) FILTER (g.arg IS NULL) > 0 THEN concat('missing: ', string_agg(k.arg, ',' ORDER BY k.k) FILTER (g.arg IS NULL))
+ WHEN count(*) FILTER (k.allowed IS NOT NULL AND NOT list_contains(k.allowed, g.chosen)) > 0
+  THEN concat('not allowed: ', string_agg(k.arg, ',' ORDER BY k.k) FILTER (k.allowed IS NOT NULL AND NOT list_contains(k.allowed, g.chosen))) END AS call_error
+FROM calls c LEFT JOIN catalogue k ON k.tool = c.tool LEFT JOIN given g ON g.call_id = c.call_id AND g.arg = k.arg GROUP BY c.call_id""")
+    o["g2_pending"] = w(["ran"], f"SELECT call_id, ticket_id, tool, anomaly_type FROM ran WHERE {_WAIT}")
+    o["g2_actions"] = w(["ran"], f"SELECT call_id, tool FROM ran WHERE NOT {_WAIT}")
     o["g3_customer_history"] = w(["norm"], f"""
 SELECT customer_id, count(*) AS prior_tickets, count(*) FILTER (status = 'open') AS open_tickets, count(*) FILTER (status = 'closed') AS closed_tickets,
  count(*) FILTER (status = 'pending') AS pending_tickets, date_diff('day', max(created_at), {AS_OF}) AS days_since_contact
-FROM norm WHERE customer_id IS NOT NULL AND created_at <= {AS_OF} GROUP BY customer_id""")
+FROM norm WHERE customer_id IS NOT NULL AND coalesce(created_at <= {AS_OF}, true) GROUP BY customer_id""")
     o["g4_apply_status"] = w(["norm", "updates"], "SELECT n.row_seq, n.ticket_id, coalesce(u.new_status, n.status) AS status FROM norm n LEFT JOIN updates u ON n.ticket_id = u.ticket_id")
     o["g5_cap_steps"] = w(["calls"], "SELECT call_id, anomaly_id, step FROM (SELECT *, dense_rank() OVER (PARTITION BY anomaly_id ORDER BY step) AS r FROM calls) x WHERE r <= 10")
     o["g6_estimate_tokens"] = "SELECT conv_id, CAST(sum(length(text)) // 4 AS BIGINT) AS estimated_tokens FROM conversations GROUP BY conv_id"
@@ -390,22 +438,25 @@ WITH s AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n, sum(length(text)
 SELECT conv_id, turn, role, text, false AS is_marker FROM s WHERE NOT big OR n <= 5 OR a = 1 OR z <= 4
 UNION ALL SELECT conv_id, turn, 'user', '[Earlier turns summarized for context length management]', true FROM s WHERE big AND a = 1"""
     tools = ("escalate_ticket", "send_alert", "create_task", "auto_respond", "get_ticket_history", "update_ticket_status")
-    o["g8_action_summary"] = w(["calls"], _tally("calls", [
+    o["g8_action_summary"] = w(["ran"], _tally("ran", [
         ("totals", "total_tool_calls", "count(*)"), ("totals", "actions_taken", _cnt(f"NOT {_WAIT}")), ("totals", "pending_approval", _cnt(_WAIT)),
         *[("tool_distribution", t, _cnt(f"tool = '{t}' AND NOT {_WAIT}")) for t in tools],
-        ("totals", "anomalies_processed", "count(DISTINCT anomaly_id)"),
-        ("totals", "avg_tool_calls_per_anomaly", "round(count(*)::DOUBLE / count(DISTINCT anomaly_id)::DOUBLE, 2)")]))
-    o["g9_journal"] = w(["calls"], """
-SELECT anomaly_id, step, arg_min(tool, pos) AS tool_called, min(call_id) AS tool_use_id, arg_min(stop_reason, pos) AS stop_reason FROM calls GROUP BY anomaly_id, step""")
-
-    o["h1_run_metrics"] = w(["norm", "anom", "calls"], f"""
+        ("totals", "anomalies_processed", "max((SELECT count(DISTINCT anomaly_id) FROM calls))"),
+        ("totals", "avg_tool_calls_per_anomaly", "round(count(*)::DOUBLE / max((SELECT count(DISTINCT anomaly_id) FROM calls))::DOUBLE, 2)"),
+        ("totals", "context_truncations", "max((SELECT count(*) FROM (SELECT conv_id FROM conversations GROUP BY conv_id HAVING sum(length(text)) // 4 > 300) t))")]))
+    o["g9_journal"] = w(["calls", "steps"], """
+SELECT s.anomaly_id, s.step, c.tool AS tool_called, c.call_id AS tool_use_id, s.stop_reason FROM steps s
+LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY anomaly_id, step ORDER BY pos) AS k FROM calls) c ON c.anomaly_id = s.anomaly_id AND c.step = s.step AND c.k = 1""")
+
+    o["h1_run_metrics"] = w(["norm", "anom", "ran"], f"""
 SELECT 'r1' AS run_id, '2024-02-01T00:00:00Z' AS timestamp, 'success' AS pipeline_status, CAST(1200 AS BIGINT) AS total_duration_ms,
  (SELECT count(*) FROM tickets) AS records_ingested, (SELECT count(*) FROM norm) AS records_validated,
  (SELECT count(*) FROM ({_report('norm', NINE)}) q WHERE NOT passed) AS quality_checks_failed, (SELECT count(*) FROM anom) AS anomalies_found,
- (SELECT count(*) FROM calls WHERE NOT {_WAIT}) AS agent_actions_taken""")
+ (SELECT count(*) FROM ran WHERE NOT {_WAIT}) AS agent_actions_taken""")
     o["h2_last_runs"] = "SELECT concat('run-', lpad(CAST(o_orderkey AS VARCHAR), 12, '0')) AS run_id, strftime(o_orderdate, '%Y-%m-%d') AS timestamp, o_custkey AS records_ingested FROM orders ORDER BY 2 DESC, 1 DESC LIMIT 10"
     o["h3_freshness"] = """
-SELECT x.name, CASE WHEN m IS NULL THEN x.miss WHEN age > 0.25::DOUBLE THEN 'degraded' ELSE 'ok' END AS status, round(age, 1) AS age_hours, 'degraded' AS overall
+SELECT x.name, CASE WHEN m IS NULL THEN x.miss WHEN age > 0.25::DOUBLE THEN 'degraded' ELSE 'ok' END AS status, round(age, 1) AS age_hours,
+ CASE max(CASE WHEN m IS NULL THEN CASE x.miss WHEN 'failed' THEN 2 ELSE 1 END WHEN age > 0.25::DOUBLE THEN 1 ELSE 0 END) OVER () WHEN 2 THEN 'failed' WHEN 1 THEN 'degraded' ELSE 'ok' END AS overall
 FROM (VALUES ('view','failed'),('click','failed'),('error','degraded'),('purchase','degraded'),('signup','degraded'),('refund','degraded')) x(name, miss)
 LEFT JOIN (SELECT event_type, max(ts) AS m, (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(ts)))::DOUBLE / 3600000000.0::DOUBLE AS age FROM events GROUP BY 1) e ON x.name = e.event_type"""
     return o

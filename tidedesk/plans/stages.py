@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidedesk.operators import actions, anomaly, enrich, normalize, quality, scoring
 from tidedesk.operators.budget import token_cost
-from tidedesk.schema import PRICES, REVIEW_BELOW
+from tidedesk.schema import MODEL_PRICES, PRICES, REVIEW_BELOW
 from tidedesk.session import materialize
 from tidedesk.sources.sinks import replace_rows, report_json, write_by_channel, write_table
 from tidedesk.sources.tickets import read_tickets
@@ -65,25 +65,24 @@ def quality_stage(df: DataFrame, path: str, as_of: dt.datetime | str) -> DataFra
 
 
 def score_under_cap(tickets: DataFrame, scorer: Scorer, cap: float | None, price: tuple[float, float],
-                    spent: float = 0.0, slice_rows: int = 100_000, batch: int = 1) -> DataFrame:
+                    spent: float = 0.0, batch: int = 1) -> DataFrame:
     """Parsed replies for a written ``tickets`` table in ``row_seq`` order, slice by slice.
 
-    The first slice has ``slice_rows`` rows; later ones are as long as the money left
-    would last at the cost per row so far, so a run takes few slices. Slices hold
-    whole batches: the batch that crosses the cap is complete. Scoring stops after the
-    slice in which the cost reaches ``cap``; the exact cut is left to
-    ``scoring.tier1_within_budget`` and ``tier2_within_budget``.
+    Slices are sized in money: after the first, one batch, a slice has as many rows as the money left
+    would pay for at the highest cost of a row so far, whole batches, one batch at least; while nothing
+    has been billed it doubles. So a run costs at most ``cap`` and one batch, unless later rows cost more
+    than any before, and takes few slices: each uses up a fixed share of what is left. Scoring stops when the cost reaches ``cap``; the exact cut is left to
+    ``scoring.tier1_within_budget`` and ``tier2_within_budget``. All replies received are returned.
     """
     prompts = scoring.scoring_input(tickets).select("row_seq", "prompt")
     if cap is None:
         return materialize(scoring.classified_replies(scorer(prompts)), "replies")
     done = scoring.classified_replies(scorer(prompts.limit(0)))
-    after, cost, rows = F.lit(True), spent, 0
+    after, cost, size, dearest = F.lit(True), spent, batch, 0.0
     while cost < cap:
-        size = slice_rows
-        if cost > spent:
-            size = max(size, int((cap - cost) / (cost - spent) * rows))
-        size = -(-size // batch) * batch
+        if dearest > 0:
+            size = int((cap - cost) / dearest)
+        size = max(1, size // batch) * batch
         ahead = scoring.first_n(tickets.filter(after).select("row_seq"), size)
         high = ahead.agg(F.max("row_seq")).first()[0]
         if high is None:
@@ -91,8 +90,9 @@ def score_under_cap(tickets: DataFrame, scorer: Scorer, cap: float | None, price
         part = prompts.filter(after & (F.col("row_seq") <= F.lit(high)))
         got = materialize(scoring.classified_replies(scorer(part)), "replies")
         done = done.unionByName(got)
-        cost, rows = _spent(got, price, cost), rows + size
-        after = F.col("row_seq") > F.lit(high)
+        row_cost = token_cost(F.col("input_tokens"), F.col("output_tokens"), price)
+        cost, dearest = _spent(got, price, cost), max(dearest, got.agg(F.max(row_cost)).first()[0] or 0.0)
+        after, size = F.col("row_seq") > F.lit(high), size * 2
     return done
 
 
@@ -103,25 +103,33 @@ def _spent(replies: DataFrame, price: tuple[float, float], before: float = 0.0)
 
 
 def classify_stage(tickets: DataFrame, tier1: Scorer, tier2: Scorer, path: str,
-                   sample: int | None = None, cap: float | None = None, slice_rows: int = 100_000) -> DataFrame:
-    """Classified table and report. Only rows under review reach the second scorer."""
+                   sample: int | None = None, cap: float | None = None) -> DataFrame:
+    """Classified table and report. Only rows under review reach the second scorer.
+
+    The report has what was billed (every valid reply received) beside the cost of the replies kept
+    (``kept_*``); the second tier starts from what the first was billed.
+    """
     if sample is not None:
         tickets = materialize(scoring.first_n(tickets, sample), "sample")
-    t1 = score_under_cap(tickets, tier1, cap, PRICES[1], slice_rows=slice_rows, batch=scoring.TIER1_BATCH)
-    t1 = materialize(scoring.tier1_within_budget(tickets, t1, cap), "tier1")
+    all1 = materialize(score_under_cap(tickets, tier1, cap, PRICES[1], batch=scoring.TIER1_BATCH), "tier1-replies")
+    t1 = materialize(scoring.tier1_within_budget(tickets, all1, cap), "tier1")
     review = t1.filter(F.col("ok") & (F.col("confidence") < REVIEW_BELOW)).select("row_seq")
-    t2 = score_under_cap(materialize(tickets.join(review, "row_seq", "left_semi"), "review"), tier2, cap,
-                         PRICES[2], _spent(t1, PRICES[1]), slice_rows)
-    t2 = materialize(scoring.tier2_within_budget(t1, t2, cap), "tier2")
+    spent = _spent(all1, PRICES[1])
+    all2 = materialize(score_under_cap(materialize(tickets.join(review, "row_seq", "left_semi"), "review"), tier2, cap,
+                                       PRICES[2], spent), "tier2-replies")
+    t2 = materialize(scoring.tier2_within_budget(t1, all2, cap, spent), "tier2")
     out = write_table(scoring.merge_tiers(tickets, t1, t2), f"{path}/classified")
-    usage = t1.withColumn("tier", F.lit(1)).unionByName(t2.withColumn("tier", F.lit(2)))
-    costs = scoring.usage_cost(usage)
     report = scoring.classification_report(out, t1).unionByName(scoring.confidence_buckets(out))
-    report = report.unionByName(costs.select(
-        F.lit("cost").alias("section"), F.concat(F.lit("tier"), F.col("tier").cast("string")).alias("name"),
-        F.col("cost_usd").alias("value")))
-    report = report.unionByName(scoring.total_cost(costs).select(
-        F.lit("cost").alias("section"), F.lit("total").alias("name"), F.col("total_cost_usd").alias("value")))
+    for prefix, first, second in (("", all1, all2), ("kept_", t1, t2)):
+        usage = first.withColumn("tier", F.lit(1)).unionByName(second.withColumn("tier", F.lit(2)))
+        costs = materialize(scoring.usage_cost(usage), "costs")
+        report = report.unionByName(costs.select(
+            F.lit("cost").alias("section"), F.concat(F.lit(f"{prefix}tier"), F.col("tier").cast("string")).alias("name"),
+            F.col("cost_usd").alias("value")))
+        report = report.unionByName(scoring.total_cost(costs).select(
+            F.lit("cost").alias("section"), F.lit(f"{prefix}total").alias("name"), F.col("total_cost_usd").alias("value")))
+    report = report.unionByName(scoring.cache_hit_rate(all1).select(
+        F.lit("cost").alias("section"), F.lit("cache_hit_rate").alias("name"), F.col("cache_hit_rate").alias("value")))
     report_json(report, f"{path}/classification_report")
     return out
 
@@ -140,12 +148,12 @@ def enrich_stage(tickets: DataFrame, full: Scorer, simple: Scorer, path: str,
     second = materialize(simple(prompts.join(unusable, "row_seq", "left_semi")), "simple-replies")
     results = materialize(enrich.enrichment_results(first, second), "enrichment-results")
     if previous is None:
-        merged = materialize(enrich.merge_enrichment(tickets, results), "merged")
-        out = write_table(enrich.repeat_contact(merged), f"{path}/enriched")
+        out = write_table(enrich.merge_enrichment(tickets, results, contacts=True), f"{path}/enriched")
     else:
         out = write_table(enrich.resume(previous, results), f"{path}/enriched")
-    report_json(enrich.enrichment_report(out), f"{path}/enrichment_report")
+    report_json(enrich.enrichment_report(out, results), f"{path}/enrichment_report")
     report_json(enrich.usage_by_model(results), f"{path}/usage")
+    report_json(scoring.usage_cost(results.filter(F.col("model").isNotNull()), MODEL_PRICES, "model"), f"{path}/cost")
     return out
 
 
@@ -159,18 +167,30 @@ def detect_stage(tickets: DataFrame, scorer: Scorer, path: str, by: str = "ticke
     summary = anomaly.anomaly_summary(out)
     before = _previous(f"{path}/anomaly_report", summary)
     trend = None if before is None else anomaly.summary_trend(summary, before)
-    report_json(summary, f"{path}/anomaly_report")
+    totals = anomaly.detection_totals(tickets, out).withColumn("value", F.col("value").cast("long"))
+    report_json(summary.unionByName(totals), f"{path}/anomaly_report")
     if trend is not None:
         report_json(trend, f"{path}/anomaly_trend")
     return out
 
 
-def action_stage(calls: DataFrame, anomalies: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
-    """Action, pending and journal logs of this run (earlier ones are replaced) and the summary."""
+def action_stage(calls: DataFrame, anomalies: DataFrame, path: str, steps: DataFrame | None = None,
+                 turns: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Action, pending and journal logs of this run (earlier ones are replaced) and the summary.
+
+    ``steps`` has a row per step with its stop reason, also for steps without a call: a run ends at the
+    first that did not stop for tools, and all are in the journal. ``turns`` are the conversations:
+    their trimmed form is written, and the summary counts the trims.
+    """
     kept = materialize(actions.check_calls(actions.cap_steps(calls)), "calls")
-    done, waiting = actions.gate(kept)
+    ran = materialize(actions.executed(kept, steps), "executed")
+    done, waiting = actions.gate(ran)
     replace_rows(done, f"{path}/actions")
     replace_rows(waiting, f"{path}/pending_approval")
-    replace_rows(actions.journal(kept), f"{path}/reasoning")
-    report_json(actions.action_summary(kept, anomalies), f"{path}/agent_summary")
+    replace_rows(actions.journal(kept, steps), f"{path}/reasoning")
+    truncations = None
+    if turns is not None:
+        trimmed = write_table(actions.trim_context(turns), f"{path}/contexts")
+        truncations = trimmed.filter("is_marker")
+    report_json(actions.action_summary(ran, anomalies, truncations), f"{path}/agent_summary")
     return done, waiting

@@ -3,22 +3,32 @@
 They give the ticket, reply and tool-call shapes over the provided tables.
 """
 
+# One ticket per document. Every order and every event counts: they are dealt to documents by their
+# number modulo the number of documents, and sums over a document's share decide its fields.
 TICKETS = """
 SELECT d.doc_id AS row_seq,
  CASE WHEN d.doc_id % 29 = 7 THEN concat('bad-', CAST(d.doc_id AS VARCHAR(20)))
       ELSE concat('00000000-0000-4000-8000-', lpad(CAST(CASE WHEN d.doc_id % 31 = 3 THEN d.doc_id - 1 ELSE d.doc_id END AS VARCHAR(20)), 12, '0')) END AS ticket_id,
  CASE WHEN d.doc_id % 50 = 11 THEN 'yesterday' WHEN d.doc_id % 50 = 23 THEN '31/02/2024' WHEN d.doc_id % 50 = 31 THEN '2099-01-01T00:00:00' ELSE CAST(e.ts AS VARCHAR(40)) END AS created_at,
- concat(' cust-', CAST(o.o_custkey - o.o_custkey % 3 AS VARCHAR(20)), ' ') AS customer_id,
- CASE e.event_type WHEN 'view' THEN ' Web ' WHEN 'click' THEN 'CHAT' WHEN 'error' THEN 'email' WHEN 'purchase' THEN 'phone' ELSE 'fax' END AS channel,
- CASE WHEN d.doc_id % 20 = 4 THEN '  ' WHEN d.doc_id % 20 = 9 THEN NULL ELSE substr(d.text, 1, 80) END AS subject,
+ concat(' cust-', CAST(CAST(floor(o.customers % n.docs / 2.0) AS BIGINT) AS VARCHAR(20)), ' ') AS customer_id,
+ CASE e.kinds % 5 WHEN 0 THEN ' Web ' WHEN 1 THEN 'CHAT' WHEN 2 THEN 'email' WHEN 3 THEN 'phone' ELSE 'fax' END AS channel,
+ CASE WHEN d.doc_id % 20 = 4 THEN '  ' WHEN d.doc_id % 20 = 9 THEN NULL ELSE concat(d.source, ' ', d.lang, ' ', CAST(d.n_chars AS VARCHAR(20))) END AS subject,
  CASE WHEN d.doc_id % 17 = 5 THEN NULL WHEN d.doc_id % 40 = 1 THEN '<br>' WHEN d.doc_id % 7 = 0 THEN concat('<p>', d.text, '</p>') ELSE d.text END AS body,
- CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Critical' WHEN '2-HIGH' THEN 'high' WHEN '3-MEDIUM' THEN ' medium' WHEN '5-LOW' THEN 'low' ELSE '' END AS priority,
+ CASE o.urgencies % 5 WHEN 0 THEN 'Critical' WHEN 1 THEN 'high' WHEN 2 THEN ' medium' WHEN 3 THEN 'low' ELSE '' END AS priority,
  CASE d.lang WHEN 'en' THEN 'Billing' WHEN 'fr' THEN 'technical' WHEN 'de' THEN 'general' ELSE 'legal' END AS category,
- CASE o.o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'Closed' ELSE 'pending' END AS status,
- CASE WHEN d.doc_id % 13 = 0 THEN NULL ELSE concat('agent-', CAST(o.o_custkey % 20 AS VARCHAR(20))) END AS agent_id,
+ CASE o.states % 3 WHEN 0 THEN 'open' WHEN 1 THEN 'Closed' ELSE 'pending' END AS status,
+ CASE WHEN d.doc_id % 13 = 0 THEN NULL ELSE concat('agent-', CAST(o.customers % 20 AS VARCHAR(20))) END AS agent_id,
  CASE WHEN l.toxic = 1 THEN 'frustrated' WHEN l.quality = 0 THEN 'negative' WHEN l.quality = 1 THEN 'neutral' END AS sentiment,
  CASE WHEN d.doc_id % 23 = 0 THEN 'unknown' ELSE 'billing' END AS llm_category
-FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id JOIN events e ON e.event_id = d.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id
+FROM documents d CROSS JOIN (SELECT greatest(count(*), 1) AS docs FROM documents) n
+LEFT JOIN (SELECT o_orderkey % c.docs AS share, sum(o_custkey) AS customers, count(*) AS orders,
+  sum(CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '5-LOW' THEN 3 ELSE 4 END) AS urgencies,
+  sum(CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END) AS states
+ FROM orders CROSS JOIN (SELECT greatest(count(*), 1) AS docs FROM documents) c GROUP BY o_orderkey % c.docs) o ON o.share = d.doc_id
+LEFT JOIN (SELECT event_id % c.docs AS share, max(ts) AS ts, count(*) AS events,
+  sum(CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 WHEN 'error' THEN 2 WHEN 'purchase' THEN 3 ELSE 4 END) AS kinds
+ FROM events CROSS JOIN (SELECT greatest(count(*), 1) AS docs FROM documents) c GROUP BY event_id % c.docs) e ON e.share = d.doc_id
+LEFT JOIN labels l ON l.doc_id = d.doc_id
 """
 
 # Two tiers of classification replies per ticket: valid, fenced, broken, refused.
@@ -64,6 +74,13 @@ SELECT t.row_seq,
 FROM tickets t
 """
 
+# Steps of the runs: those with calls, as their first call says, and a closing step without one.
+STEPS = """
+SELECT anomaly_id, step, stop_reason FROM (
+ SELECT anomaly_id, step, stop_reason, row_number() OVER (PARTITION BY anomaly_id, step ORDER BY pos) AS k FROM calls) x WHERE k = 1
+UNION ALL SELECT anomaly_id, max(step) + 1, 'end_turn' FROM calls GROUP BY anomaly_id
+"""
+
 # Tool calls, several per step; steps follow the event number.
 TOOL_CALLS = """
 SELECT event_id AS call_id, user_id AS anomaly_id, CAST(floor(event_id / 500.0) AS BIGINT) + 1 AS step, event_id AS pos,
@@ -72,6 +89,6 @@ SELECT event_id AS call_id, user_id AS anomaly_id, CAST(floor(event_id / 500.0)
  CASE event_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'pending' WHEN 2 THEN 'closed' ELSE 'reopened' END AS new_status,
  concat('00000000-0000-4000-8000-', lpad(CAST(event_id % 500 AS VARCHAR(20)), 12, '0')) AS ticket_id,
  CASE event_id % 2 WHEN 0 THEN 'duplicate_body' ELSE 'unclassified' END AS anomaly_type,
- CASE WHEN event_id % 6 = 5 THEN 'end_turn' ELSE 'tool_use' END AS stop_reason
+ CASE WHEN event_id % 40 = 5 THEN 'end_turn' ELSE 'tool_use' END AS stop_reason
 FROM events
 """

@@ -21,6 +21,7 @@ UUID4 = r"[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}"
 
 # Dollars per million tokens: tier -> (input, output).
 PRICES = {1: (0.80, 4.00), 2: (3.00, 15.00)}
+MODEL_PRICES = {"small": PRICES[1], "large": PRICES[2]}
 
 REVIEW_BELOW = 0.70
 ACCEPT_TIER2_FROM = 0.85
@@ -58,6 +59,10 @@ TOOL_CHOICES = {
     ],
     ("update_ticket_status", "new_status"): ["open", "pending", "closed"],
 }
+# Sentences of the anomaly and alert tables.
+REASON_NO_BODY = "Ticket body is null; statistical flag only"
+REASON_NO_VERDICT = "Classification failed"
+ALERT_TEXT = "HIGH anomaly: ticket %s — %s. Action: %s. Reason: %s"
 TRIM_MARKER = "[Earlier turns summarized for context length management]"
 
 # Cell texts that mean "no value" in a CSV file.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,13 +51,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder that all executors share.
 
-    The folder is ``spark.checkpoint.dir``. A local session without that setting
-    gets a temporary one; a cluster session without it is an error, because
-    executors could not read a folder of the driver's machine.
+    The folder is ``spark.checkpoint.dir``. A local session without that setting uses a
+    folder in its warehouse; a cluster session without it is an error. A ``file:`` path on
+    a cluster must be a mount that all machines share, which Spark cannot tell.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tidedesk-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -20,7 +20,8 @@ def write_by_channel(df: DataFrame, path: str) -> int:
     stays spread over all tasks.
     """
     df.write.mode("overwrite").partitionBy("channel").parquet(path)
-    return df.sparkSession.read.parquet(path).select("channel").distinct().count()
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.filter("channel IS NOT NULL").select("channel").distinct().count()
 
 
 def report_json(df: DataFrame, path: str) -> DataFrame:

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from tidedesk.schema import NA_TOKENS
+from tidedesk.session import materialize
 
-# Files whose path table is small enough to broadcast; beyond it Spark shuffles.
-BROADCAST_FILES = 50_000
 _FILE_BITS = 40
+_RANK_BITS = 63 - _FILE_BITS
 
 
 class NoInputError(FileNotFoundError):
@@ -32,17 +32,27 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*.csv
     )
 
 
-def _header(spark: SparkSession, name: str) -> tuple[str, ...]:
-    """Column names in the first line of a file, read through the Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(name)
-    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = (reader.readLine() or "").lstrip("\ufeff")
-    finally:
-        stream.close()
-    return tuple(next(csv.reader([line]), []))
+def headers(spark: SparkSession, path: str | list[str], pattern: str = "*.csv") -> DataFrame:
+    """``(name, uri, bytes, head)``: the header line of every matching file, found by a Spark job.
+
+    ``head`` lists the column names, empty for an empty file. The line is read through Spark, so
+    any store that Spark reaches will do; a header must fit on one line.
+    """
+    # a file's first line is the one in its first block that has the smallest number
+    in_task = F.monotonically_increasing_id()
+    lines = (
+        spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path)
+        .select("value", F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("_at"), in_task.alias("_n"))
+        .filter("_at = 0").groupBy("uri").agg(F.min_by("value", "_n").alias("line"))
+    )
+
+    @F.pandas_udf("array<string>")
+    def names(line: pd.Series) -> pd.Series:
+        return line.map(lambda x: next(csv.reader([x.lstrip("\ufeff")]), []))
+
+    files = list_files(spark, path, pattern)
+    return files.join(lines, "uri", "left").select(
+        "name", "uri", "bytes", F.coalesce(names(F.coalesce("line", F.lit(""))), F.array().cast("array<string>")).alias("head"))
 
 
 def null_tokens(df: DataFrame, tokens: list[str] = NA_TOKENS) -> DataFrame:
@@ -54,14 +64,16 @@ def null_tokens(df: DataFrame, tokens: list[str] = NA_TOKENS) -> DataFrame:
     ])
 
 
-def _scan(spark: SparkSession, head: tuple[str, ...], names: list[str], multi_line: bool) -> DataFrame:
+def _scan(spark: SparkSession, head: tuple[str, ...], names: str | list[str], multi_line: bool,
+          pattern: str | None = None) -> DataFrame:
+    """Files of one header. Without grouping by header each task checks its own file's header and fails
+    if it is another (``pattern`` given)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in head])
-    rows = (
-        spark.read.schema(schema)
-        .options(header=True, enforceSchema=True, multiLine=multi_line, quote='"', escape='"',
-                 encoding="UTF-8")
-        .csv(names)
-    )
+    reader = spark.read.schema(schema).options(
+        header=True, enforceSchema=pattern is None, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
+    if pattern is not None:
+        reader = reader.options(pathGlobFilter=pattern, recursiveFileLookup=True)
+    rows = reader.csv(names)
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     return rows.select(
         *[F.col(f"`{c}`") for c in head],
@@ -82,39 +94,46 @@ def read_tickets(
     """All matching CSV files, matched by column name, as text columns plus ``row_seq``.
 
     Files are grouped by their header and each group is read in one scan, because
-    Spark binds CSV columns by position. Columns a file lacks are null. Pass
-    ``columns`` when all files share that one header, and no header is looked up;
-    pass ``multi_line=False`` when no cell contains a line break, and large files
-    are split.
-
-    ``row_seq`` is file rank (by path), then place in the file. It needs no shuffle:
-    the place is the block's byte offset plus the running number within the task, and
-    a task reads fewer rows than a block has bytes. Values have gaps; they are unique,
-    ordered and the same on every run with the same split size.
+    Spark binds CSV columns by position; the headers are found by a Spark job, and the
+    driver gets the distinct ones with their files. Columns a file lacks are null. Pass
+    ``columns`` when all files share that one header: then nothing is listed on the
+    driver and a file with another header fails the read. Pass ``multi_line=False``
+    when no cell contains a line break, and large files are split; otherwise a file is
+    one task.
+
+    ``row_seq`` is file rank (by path), then place in the file. It needs no shuffle of
+    rows: the place is the block's byte offset plus the running number within the task,
+    and a task reads fewer rows than a block has bytes. Values have gaps; they are unique,
+    ordered and the same on every run with the same split size. Files of a tebibyte or
+    more, and more than 8 million files, are refused.
     """
-    files = sorted(
-        (r.name, r.uri) for r in list_files(spark, path, pattern).select("name", "uri").collect()
-    )
-    if not files:
+    if columns is not None:
+        known = list_files(spark, path, pattern).select("name", "uri", "bytes")
+    else:
+        known = materialize(headers(spark, path, pattern), "csv-headers")
+    size = known.agg(F.count("*").alias("n"), F.max("bytes").alias("b")).first()
+    if not size.n:
         raise NoInputError(f"no file matches {pattern} below {path}")
-    names = [n for n, _ in files]
-    groups: dict[tuple[str, ...], list[str]] = {}
+    if size.b >= 1 << _FILE_BITS or size.n > 1 << _RANK_BITS:
+        raise ValueError(f"row_seq cannot number {size.n} files of up to {size.b} bytes")
     if columns is not None:
-        groups[tuple(columns)] = names
+        every = _scan(spark, tuple(columns), path, multi_line, pattern)
     else:
-        with ThreadPoolExecutor(32) as pool:
-            for name, head in zip(names, pool.map(lambda n: _header(spark, n), names)):
-                if head:
-                    groups.setdefault(head, []).append(name)
+        groups = known.filter(F.size("head") > 0).groupBy("head").agg(F.collect_list("name").alias("names")).collect()
         if not groups:
             raise NoInputError(f"every file below {path} is empty")
-
-    every, *rest = [_scan(spark, head, group, multi_line) for head, group in groups.items()]
-    for more in rest:
-        every = every.unionByName(more, allowMissingColumns=True)
-    ranks = spark.createDataFrame([(i, u) for i, (_, u) in enumerate(files)], "_rank long, _uri string")
-    if len(files) <= BROADCAST_FILES:
-        ranks = F.broadcast(ranks)
+        every, *rest = [_scan(spark, tuple(g["head"]), g["names"], multi_line) for g in sorted(groups, key=lambda g: min(g["names"]))]
+        for more in rest:
+            every = every.unionByName(more, allowMissingColumns=True)
+    # ranks without one window over all files: files of a folder are ranked, folders follow one another
+    folder = F.regexp_extract("name", r"^(.*)/", 1)
+    named = known.select("name", "uri", folder.alias("_folder"))
+    within = F.row_number().over(Window.partitionBy("_folder").orderBy("name"))
+    before = named.groupBy("_folder").agg(F.count("*").alias("_n")).withColumn(
+        "_before", F.coalesce(F.sum("_n").over(Window.orderBy("_folder").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    ranks = named.withColumn("_within", within).join(before, "_folder").select(
+        F.col("uri").alias("_uri"), (F.col("_before") + F.col("_within") - 1).cast("long").alias("_rank"))
+    ranks = materialize(ranks, "csv-ranks")  # so Spark knows its size and broadcasts it while it is small
     ranked = every.join(ranks, "_uri").withColumn(
         "row_seq", F.shiftleft("_rank", _FILE_BITS) + F.col("_place")
     )
