@@ -7,9 +7,10 @@ broadcast; it is cut into shards such that no match crosses two:
 1. Every window of words has an anchor, the smallest hash among its ``anchor``-word grams. Equal
    windows have equal anchors, so only windows whose anchor occurs in two documents matter
    (:mod:`repeats`, a filter of bounded size that never loses one).
-2. Neighbouring windows with one anchor form a snippet of at most ``2 * window - anchor`` words.
-   Different snippets are the reference, with the smallest document that holds each; they go to
-   the shard of their anchor, and with them what is to be searched.
+2. Neighbouring windows with one anchor form a snippet of at most ``2 * window - anchor`` words. First
+   only hashes of snippets are gathered, to find the smallest document that holds each; a second
+   filter of bounded size tells that document to send the words. These snippets are the reference;
+   they go to the shard of their anchor.
 3. Each task builds the suffix automaton of its shard, hands the smallest document down the suffix
    links, and streams the snippets through it: where the matching statistic reaches the window, the
    state of that length names the first document with this window.
@@ -27,13 +28,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidedesk.llm import hashing
-from tidedesk.llm.repeats import Filter, range_bits, repeated_filter
+from tidedesk.llm.repeats import Filter, build_filter, range_bits, repeated_filter
 from tidedesk.session import materialize
 
 WINDOW, ANCHOR = 13, 5
@@ -56,7 +58,8 @@ def window_anchors(w: hashing.Words, window: int, anchor: int) -> tuple[np.ndarr
         grams = np.minimum(grams[:-width], grams[width:])
         width *= 2
     rest = span - width
-    low = np.minimum(grams[:n], grams[rest:rest + n])
+    # minima are small numbers; mixed again they spread evenly over shards and filter ranges
+    low = hashing.mix(np.minimum(grams[:n], grams[rest:rest + n]))
     return low, w.doc[:n] == w.doc[window - 1:]
 
 
@@ -70,61 +73,114 @@ def anchor_keys(text: pa.Array, window: int, anchor: int) -> tuple[np.ndarray, n
     return low[new], doc[new]
 
 
-def snippets(docs: DataFrame, seen: Filter, window: int, anchor: int) -> DataFrame:
-    """``anchor, snip, doc_id, text_hash, start, size, words, least``: every occurrence of a snippet.
+class Snippets(NamedTuple):
+    """Snippets of a slice: anchor, key (hash of anchor and words), document, first word and number of windows."""
 
-    ``words`` and ``least`` (the smallest id) stand on one occurrence of each snippet per batch.
-    """
+    anchor: np.ndarray
+    key: np.ndarray
+    doc: np.ndarray
+    first: np.ndarray
+    size: np.ndarray
+
+
+def find_snippets(w: hashing.Words, seen: Filter, window: int, anchor: int) -> Snippets:
+    """Runs of windows with one repeated anchor, in pieces of at most ``window - anchor + 1`` windows."""
+    longest, factor = window - anchor + 1, hashing._FACTORS
+    low, whole = window_anchors(w, window, anchor)
+    wanted = whole.copy()
+    wanted[whole] = seen.has(low[whole])
+    pos = np.flatnonzero(wanted)
+    new = np.ones(len(pos), bool)
+    new[1:] = (np.diff(pos) > 1) | (low[pos[1:]] != low[pos[:-1]]) | (w.doc[pos[1:]] != w.doc[pos[:-1]])
+    run_start = pos[new]
+    length = np.diff(np.append(np.flatnonzero(new), len(pos)))
+    pieces = -(-length // longest)
+    first = np.repeat(run_start, pieces) + longest * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+    size = np.minimum(longest, np.repeat(run_start + length, pieces) - first)
+    key = low[first]
+    for j in range(longest + window - 1):
+        inside = j < size + window - 1
+        key[inside] = (key[inside] + hashing.mix(w.hashes[first[inside] + j] ^ factor[j])) * factor[j + 1]
+    return Snippets(low[first], hashing.mix(key + size.astype(np.uint64)), w.doc[first], first, size)
+
+
+def _pair(anchor: np.ndarray, key: np.ndarray, doc: np.ndarray, bits: int) -> np.ndarray:
+    """A filter key of snippet and document in the range of the anchor."""
+    low = np.uint64(64 - bits)
+    return (anchor >> low << low) | (hashing.mix(key ^ hashing.mix(doc.astype(np.uint64))) >> np.uint64(bits))
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.fill_null(NO_DOC), np.int64)
+
+
+def occurrences(docs: DataFrame, seen: Filter, window: int, anchor: int) -> DataFrame:
+    """``anchor, key, doc_id, text_hash, start``: every occurrence of a snippet, without its words."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
-    longest = window - anchor + 1
-    factor = hashing._FACTORS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            ids = np.asarray(batch.column(0).fill_null(NO_DOC), np.int64)
-            marks = np.asarray(batch.column(1), np.int64)
+            ids, marks = _ids(batch.column(0)), np.asarray(batch.column(1), np.int64)
             for at, stop in hashing.slices(batch.column(2)):
                 w = hashing.words(batch.column(2).slice(at, stop - at), lower=False)
-                low, whole = window_anchors(w, window, anchor)
-                wanted = whole.copy()
-                wanted[whole] = known.has(low[whole])
-                pos = np.flatnonzero(wanted)
-                if not len(pos):
-                    continue
-                new = np.ones(len(pos), bool)
-                new[1:] = (np.diff(pos) > 1) | (low[pos[1:]] != low[pos[:-1]]) | (w.doc[pos[1:]] != w.doc[pos[:-1]])
-                run_start = pos[new]
-                length = np.diff(np.append(np.flatnonzero(new), len(pos)))
-                pieces = -(-length // longest)
-                first = np.repeat(run_start, pieces) + longest * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
-                size = np.minimum(longest, np.repeat(run_start + length, pieces) - first)
-                key = np.zeros(len(first), np.uint64)
-                for j in range(longest + window - 1):
-                    inside = j < size + window - 1
-                    key[inside] = (key[inside] + hashing.mix(w.hashes[first[inside] + j] ^ factor[j])) * factor[j + 1]
-                key = hashing.mix(key + size.astype(np.uint64))
-                doc = w.doc[first]
-                own = ids[at + doc]
-                order = np.lexsort((own, key, low[first]))
-                lead = np.ones(len(order), bool)
-                lead[1:] = (key[order][1:] != key[order][:-1]) | (low[first][order][1:] != low[first][order][:-1])
-                lead_at = order[lead]
-                least = np.zeros(len(first), np.int64)
-                least[lead_at] = own[lead_at]
-                absent = np.ones(len(first), bool)
-                absent[lead_at] = False
-                begin, end = w.start[first], w.end[first + size + window - 2]
-                texts = [None if absent[i] else bytes(w.data[begin[i]:end[i]]) for i in range(len(first))]
+                s = find_snippets(w, known, window, anchor)
+                own = ids[at + s.doc]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(low[first].astype(np.int64)), pa.array(key.astype(np.int64)),
-                    pa.array(own, mask=own == NO_DOC), pa.array(marks[at + doc]),
-                    pa.array(first - w.first[doc], pa.int64()), pa.array(size, pa.int64()), pa.array(texts, pa.binary()),
-                    pa.array(least, mask=absent)],
-                    ["anchor", "snip", "doc_id", "text_hash", "start", "size", "words", "least"])
+                    pa.array(s.anchor.astype(np.int64)), pa.array(s.key.astype(np.int64)), pa.array(own, mask=own == NO_DOC),
+                    pa.array(marks[at + s.doc]), pa.array((s.first - w.first[s.doc]).astype(np.int32))],
+                    ["anchor", "key", "doc_id", "text_hash", "start"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "anchor long, snip long, doc_id long, text_hash long, start long, size long, words binary, least long")
+    return rows.mapInArrow(run, "anchor long, key long, doc_id long, text_hash long, start int")
+
+
+def first_holders(found: DataFrame) -> DataFrame:
+    """``range, keys, n``: of each snippet the pair with its smallest document, packed for a filter."""
+    bits = range_bits(found.sparkSession)
+
+    def gather(group: pa.Table) -> pa.Table:
+        anchor, key = (np.asarray(group[c]).astype(np.uint64) for c in ("anchor", "key"))
+        least = np.asarray(group["least"])
+        order = np.lexsort((least, key))
+        new = np.ones(len(order), bool)
+        new[1:] = key[order][1:] != key[order][:-1]
+        at = order[new]
+        pairs = np.sort(_pair(anchor[at], key[at], least[at], bits))
+        return pa.table({"range": pa.array([int(anchor[0] >> np.uint64(64 - bits))], pa.int32()),
+                         "keys": pa.array([pairs.tobytes()], pa.binary()), "n": pa.array([len(pairs)], pa.int64())})
+
+    least = found.groupBy("anchor", "key").agg(F.min(F.coalesce("doc_id", F.lit(NO_DOC))).alias("least"))
+    ranged = least.withColumn("range", F.shiftrightunsigned("anchor", 64 - bits))
+    return ranged.groupBy("range").applyInArrow(gather, "range int, keys binary, n long")
+
+
+def reference(docs: DataFrame, seen: Filter, holders: Filter, window: int, anchor: int) -> DataFrame:
+    """``anchor, key, words, least``: the words of every snippet, from the first document that holds it.
+
+    The filter may let another document through as well; its row adds nothing wrong.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast((seen, holders))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, first_holder = shared.value
+        for batch in batches:
+            ids = _ids(batch.column(0))
+            for at, stop in hashing.slices(batch.column(1)):
+                w = hashing.words(batch.column(1).slice(at, stop - at), lower=False)
+                s = find_snippets(w, known, window, anchor)
+                own = ids[at + s.doc]
+                pairs = _pair(s.anchor, s.key, own, first_holder.range_bits)
+                keep = np.flatnonzero(first_holder.has(pairs))
+                keep = keep[np.unique(pairs[keep], return_index=True)[1]]
+                begin, end = w.start[s.first[keep]], w.end[s.first[keep] + s.size[keep] + window - 2]
+                texts = [bytes(w.data[x:y]) for x, y in zip(begin.tolist(), end.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(s.anchor[keep].astype(np.int64)), pa.array(s.key[keep].astype(np.int64)),
+                    pa.array(texts, pa.binary()), pa.array(own[keep])], ["anchor", "key", "words", "least"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "anchor long, key long, words binary, least long")
 
 
 class SuffixAutomaton:
@@ -199,12 +255,11 @@ class SuffixAutomaton:
 
 
 def shard_owners(group: pa.Table, window: int) -> pa.Table:
-    """``anchor, snip, owners`` of a shard: for each window of each snippet the smallest document that holds it."""
-    anchor, snip = np.asarray(group["anchor"]), np.asarray(group["snip"])
-    least = np.asarray(group["least"])
-    order = np.lexsort((least, snip, anchor))
+    """``key, owners`` of a shard: for each window of each snippet the smallest document that holds it."""
+    key, least = np.asarray(group["key"]), np.asarray(group["least"])
+    order = np.lexsort((least, key))
     new = np.ones(len(order), bool)
-    new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (snip[order][1:] != snip[order][:-1])
+    new[1:] = key[order][1:] != key[order][:-1]
     rows = order[new]
     texts = group["words"].combine_chunks().take(pa.array(rows)).cast(pa.large_binary()).cast(pa.large_string())
     automaton, streams = SuffixAutomaton(), []
@@ -216,7 +271,7 @@ def shard_owners(group: pa.Table, window: int) -> pa.Table:
         automaton.add(own, int(least[row]))
     automaton.close()
     owners = [[doc for _, doc in automaton.stream(own, window)] for own in streams]
-    return pa.table({"anchor": pa.array(anchor[rows]), "snip": pa.array(snip[rows]), "owners": pa.array(owners, pa.list_(pa.int64()))})
+    return pa.table({"key": pa.array(key[rows]), "owners": pa.array(owners, pa.list_(pa.int64()))})
 
 
 def window_owners(rows: DataFrame, window: int) -> DataFrame:
@@ -224,50 +279,46 @@ def window_owners(rows: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w = hashing.words(batch.column(2).cast(pa.large_binary()).cast(pa.large_string()), lower=False)
+            w = hashing.words(batch.column(1).cast(pa.large_binary()).cast(pa.large_string()), lower=False)
             keys, at = hashing.sequences(w, window)
             doc = w.doc[at]
             row = pa.array(doc)
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).take(row), batch.column(1).take(row), batch.column(3).take(row), pa.array(at - w.first[doc], pa.int64()),
+                batch.column(0).take(row), batch.column(2).take(row), pa.array(at - w.first[doc], pa.int64()),
                 pa.array(keys.astype(np.int64)), pa.array(hashing.mix(keys ^ w.hashes[at]).astype(np.int64))],
-                ["anchor", "snip", "least", "i", "key", "key2"])
+                ["key", "least", "i", "w1", "w2"])
 
-    each = materialize(rows.select("anchor", "snip", "words", "least").mapInArrow(
-        run, "anchor long, snip long, least long, i long, key long, key2 long"), "substring-windows")
-    first = each.groupBy(F.col("key").alias("_k"), F.col("key2").alias("_k2")).agg(F.min("least").alias("owner"))
-    told = each.select("anchor", "snip", "i", "key", "key2").distinct().join(
-        first, (F.col("key") == F.col("_k")) & (F.col("key2") == F.col("_k2")))
+    each = materialize(rows.select("key", "words", "least").mapInArrow(
+        run, "key long, least long, i long, w1 long, w2 long"), "substring-windows")
+    first = each.groupBy(F.col("w1").alias("_k"), F.col("w2").alias("_k2")).agg(F.min("least").alias("owner"))
+    told = each.select("key", "i", "w1", "w2").distinct().join(first, (F.col("w1") == F.col("_k")) & (F.col("w2") == F.col("_k2")))
     listed = F.array_sort(F.collect_list(F.struct("i", "owner")))
-    return told.groupBy("anchor", "snip").agg(F.transform(listed, lambda s: s["owner"]).alias("owners"))
+    return told.groupBy("key").agg(F.transform(listed, lambda s: s["owner"]).alias("owners"))
 
 
-def owners(found: DataFrame, window: int, most: int = SHARD_SNIPPETS) -> DataFrame:
-    """``anchor, snip, owners`` of every snippet of ``found`` (a written table)."""
-    reference = found.filter(F.col("words").isNotNull()).select("anchor", "snip", "words", "least")
-    many = materialize(reference.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > most).select(
+def owners(ref: DataFrame, window: int, most: int = SHARD_SNIPPETS) -> DataFrame:
+    """``key, owners`` of every snippet of the reference ``ref`` (a written table)."""
+    many = materialize(ref.groupBy("anchor").agg(F.count("*").alias("n")).filter(F.col("n") > most).select(
         F.col("anchor").alias("_many")), "substring-many")
-    bits = range_bits(found.sparkSession) + 2
-    usual = reference
-    if many.limit(1).count():
-        usual = reference.join(many, F.col("anchor") == F.col("_many"), "left_anti")
+    bits = range_bits(ref.sparkSession) + 3
+    hot = many.limit(1).count() > 0
+    usual = ref.join(many, F.col("anchor") == F.col("_many"), "left_anti") if hot else ref
     shard = F.shiftrightunsigned("anchor", 64 - bits).alias("shard")
-    by_shard = usual.select(shard, "anchor", "snip", "words", "least").groupBy("shard").applyInArrow(
-        lambda group: shard_owners(group, window), "anchor long, snip long, owners array<long>")
-    if usual is reference:
+    by_shard = usual.select(shard, "key", "words", "least").groupBy("shard").applyInArrow(
+        lambda group: shard_owners(group, window), "key long, owners array<long>")
+    if not hot:
         return by_shard
-    hot = reference.join(many, F.col("anchor") == F.col("_many")).drop("_many")
-    return by_shard.unionByName(window_owners(hot, window))
+    return by_shard.unionByName(window_owners(ref.join(many, F.col("anchor") == F.col("_many")).drop("_many"), window))
 
 
 def removed_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, most: int = SHARD_SNIPPETS) -> DataFrame:
     """``doc_id, text_hash, starts``: per document the first words of the windows that a smaller document holds."""
     seen = repeated_filter(docs, lambda text: anchor_keys(text, window, anchor), "substring-anchors")
-    found = materialize(snippets(docs, seen, window, anchor), "substring-snippets")
-    told = materialize(owners(found, window, most), "substring-owners").select(
-        F.col("anchor").alias("_a"), F.col("snip").alias("_s"), "owners")
-    hits = found.select("anchor", "snip", "doc_id", "text_hash", "start").join(
-        told, (F.col("anchor") == F.col("_a")) & (F.col("snip") == F.col("_s")))
+    found = materialize(occurrences(docs, seen, window, anchor), "substring-snippets")
+    holders = build_filter(materialize(first_holders(found), "substring-holders"))
+    ref = materialize(reference(docs, seen, holders, window, anchor), "substring-reference")
+    told = materialize(owners(ref, window, most), "substring-owners").select(F.col("key").alias("_key"), "owners")
+    hits = found.select("key", "doc_id", "text_hash", "start").join(told, F.col("key") == F.col("_key"))
     own = F.filter(F.transform("owners", lambda o, i: F.when(o < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull())
     hits = hits.select("doc_id", "text_hash", own.alias("own")).filter(F.size("own") > 0)
     return hits.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_set("own")).alias("starts"))
