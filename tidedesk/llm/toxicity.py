@@ -39,7 +39,7 @@ class Settings:
     min_docs: int = 5
     smoothing: float = 1.0
     max_train: int = 20_000
-    reg: float = 0.002
+    reg: float = 0.0002
     folds: int = 3
     held_out: int = 1
 
