@@ -13,8 +13,9 @@ least ``percent`` / 100; a component holds all documents that links reach.
    a prefix tree; a search walks it once per set, counts shared shingles along common paths, and
    leaves a subtree when what remains cannot reach the needed overlap, or when its sets are already
    in the component of the searching set.
-4. A cluster beyond ``BLOCK`` sets is compared with its smallest set first, all at once. Only those
-   that do not link with it are searched against the whole cluster, block by block.
+4. A cluster beyond ``BLOCK`` sets falls apart by size class, as sizes of linked sets differ by a
+   quarter at most. What is still larger is compared with its smallest id's set first, all at once;
+   only sets that do not link with it are searched against the whole, block by block.
 
 Defined cases: a null or empty text has an empty set and links with nothing; fewer than ``k`` words
 make one shingle; rows that repeat an id have a set each, and sets of one id that can have partners
@@ -37,7 +38,7 @@ from tidedesk.llm.repeats import Filter, build_filter, range_bits, repeated_filt
 from tidedesk.session import materialize
 
 #: Sets, and shingles, of a cluster that one task compares with each other.
-BLOCK, BLOCK_TOKENS = 1500, 1_500_000
+BLOCK, BLOCK_TOKENS = 500, 600_000
 #: Most shingles that are ordered by their frequency (12 bytes each are broadcast); rarer ones are ordered by hash.
 FREQUENT = 1 << 20
 
@@ -76,13 +77,14 @@ def sure(n):
 
 
 def low_keys(text: pa.Array, k: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per document the shingles of smallest hash that decide whether it can have a partner."""
+    """Per document the shingles of smallest hash that decide whether it can have a partner, mixed again so that
+    they spread evenly over the ranges of the filter."""
     keys, first = shingle_sets(text, k)
     n = np.diff(first)
     take = np.minimum(n, missing(n, percent) + sure(n))
     doc = np.repeat(np.arange(len(n)), n)
     low = np.arange(len(keys)) - first[doc] < take[doc]
-    return keys[low], doc[low]
+    return hashing.mix(keys[low]), doc[low]
 
 
 def document_sets(docs: DataFrame, seen: Filter, k: int, percent: int) -> DataFrame:
@@ -97,7 +99,7 @@ def document_sets(docs: DataFrame, seen: Filter, k: int, percent: int) -> DataFr
                 n = np.diff(first)
                 doc = np.repeat(np.arange(len(n)), n)
                 low = np.arange(len(keys)) - first[doc] < np.minimum(n, missing(n, percent) + sure(n))[doc]
-                hits = np.bincount(doc[low], weights=known.has(keys[low]), minlength=len(n))
+                hits = np.bincount(doc[low], weights=known.has(hashing.mix(keys[low])), minlength=len(n))
                 least = sure(-(-n * percent // 100))  # of the smallest partner
                 packed = [keys[first[i]:first[i + 1]].tobytes() if n[i] and hits[i] >= min(least[i], n[i]) else None
                           for i in range(len(n))]
@@ -348,31 +350,47 @@ def _pivot_links(members: DataFrame, pivots: DataFrame, percent: int) -> DataFra
     return joined.mapInArrow(run, "id long, cluster long, linked boolean")
 
 
+def _sized(members: DataFrame) -> DataFrame:
+    """``cluster, blocks``: how many blocks each cluster makes."""
+    return members.groupBy("cluster").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("shared") / 8) / BLOCK_TOKENS)).cast("int").alias("blocks"))
+
+
 def links(sets: DataFrame, order: Order, repeated: Filter, percent: int = 75) -> DataFrame:
     """``a, b``: links that span the components of the sets (``id, n, keys``)."""
     ready = materialize(prefixes(sets, order, repeated, percent), "join-prefixes")
     tokens = materialize(ready.select("id", F.explode("prefix").alias("token")), "join-tokens")
     hubs = tokens.groupBy("token").agg(F.min("id").alias("hub"), F.max("id").alias("_last")).filter("hub <> _last").drop("_last")
     clusters = components(tokens.join(hubs, "token").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
+    columns = ["cluster", "id", "n", "shared"]
     members = materialize(
-        ready.drop("prefix").join(clusters.select(F.col("id").alias("_m"), F.col("label").alias("cluster")), F.col("id") == F.col("_m")).drop("_m"),
+        ready.join(clusters.select(F.col("id").alias("_m"), F.col("label").alias("cluster")), F.col("id") == F.col("_m")).select(*columns),
         "join-members")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("m"), F.sum(F.octet_length("shared") / 8).alias("t"))
-    sizes = materialize(sizes.withColumn("blocks", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("t") / BLOCK_TOKENS)).cast("int")), "join-sizes")
-    large = sizes.filter("blocks > 1").select("cluster", "blocks")
-    small = members.join(large, "cluster", "left_anti").select("cluster", F.lit(0).alias("i"), F.lit(0).alias("j"), "id", "n", "shared")
-    found = _unit_links(small, order, percent)
-    if large.limit(1).count() == 0:
+    large = materialize(_sized(members).filter("blocks > 1").select("cluster"), "join-large")
+    whole_unit = [F.lit(0).alias("i"), F.lit(0).alias("j")]
+    found = _unit_links(members.join(large, "cluster", "left_anti").select("cluster", *whole_unit, "id", "n", "shared"), order, percent)
+    if not large.limit(1).count():
+        return found
+    # sets that link lie in one size class or in neighbouring ones, so a large cluster falls apart by size
+    size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent)))
+    split = materialize(
+        members.join(large, "cluster").select(
+            "cluster", F.explode(F.array(size_class, size_class + 1)).alias("s"), "id", "n", "shared")
+        .select(F.xxhash64("cluster", "s").alias("cluster"), "id", "n", "shared"), "join-split")
+    sizes = materialize(_sized(split), "join-sizes")
+    huge = sizes.filter("blocks > 1")
+    found = found.union(_unit_links(
+        split.join(huge, "cluster", "left_anti").select("cluster", *whole_unit, "id", "n", "shared"), order, percent))
+    if not huge.limit(1).count():
         return found
-    big = materialize(members.join(large, "cluster"), "join-large")
-    pivots = big.filter("id = cluster").groupBy("cluster").agg(F.max(F.struct("n", "shared")).alias("p")).select(
-        "cluster", F.col("p.n").alias("pivot_n"), F.col("p.shared").alias("pivot_shared"))
-    tested = materialize(_pivot_links(big, pivots, percent), "join-pivot")
-    direct = tested.filter("linked").select(F.col("id").alias("a"), F.col("cluster").alias("b"))
-    rest = materialize(
-        big.join(tested.filter("not linked").select(F.col("id").alias("_r")).distinct(), F.col("id") == F.col("_r")).drop("_r"), "join-rest")
-    rest_blocks = rest.groupBy("cluster").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("shared") / 8) / BLOCK_TOKENS)).cast("int").alias("rest_blocks"))
+    big = materialize(split.join(huge, "cluster"), "join-big")
+    pivots = materialize(big.groupBy("cluster").agg(F.min(F.struct("id", "n", "shared")).alias("p")).select(
+        "cluster", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.shared").alias("pivot_shared")), "join-pivots")
+    tested = materialize(_pivot_links(big, pivots.drop("pivot"), percent), "join-tested")
+    direct = tested.filter("linked").join(pivots.select("cluster", "pivot"), "cluster").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+    others = tested.filter("not linked").select("cluster", "id").distinct()
+    rest = materialize(big.join(others, ["cluster", "id"], "left_semi"), "join-rest")
+    rest_blocks = _sized(rest.drop("blocks")).withColumnRenamed("blocks", "rest_blocks")
     rest = rest.join(rest_blocks, "cluster").select(
         "cluster", F.pmod(F.xxhash64("id"), "rest_blocks").cast("int").alias("i"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"), "id", "n", "shared")
