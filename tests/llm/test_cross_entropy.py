@@ -55,3 +55,52 @@ def test_empty_tables(spark, make_docs, tuples):
     none = spark.createDataFrame([], "item_id long, text string")
     assert cross_entropy.score(make_docs(), none).count() == 0
     assert tuples(cross_entropy.score(make_docs((1, "a b")), none), "doc_id", "n_tokens")[0] == (1, 2)
+
+
+def brute_both(docs, target, weight=0.6):
+    toks = lambda t: (t or "").lower().split()
+    texts = [t for _, t in docs]
+    width = len({w for t in [*texts, *target] for w in toks(t)}) + 2
+    models = []
+    for side in (target, texts):
+        pairs, words = Counter(), Counter()
+        for t in side:
+            if s := toks(t):
+                pairs.update(zip(["|", *s], [*s, "|"], strict=True))
+                words.update([*s, "|"])
+        models.append((pairs, words))
+    out = []
+    for i, t in docs:
+        s = toks(t)
+        both = []
+        for pairs, words in models:
+            total = 0.0
+            for h, w in zip(["|", *s], [*s, "|"], strict=True):
+                share = weight if words[h] else 0
+                total -= math.log(share * (pairs[h, w] / words[h] if words[h] else 0) + (1 - share) * (words[w] + 1) / (sum(words.values()) + width))
+            both.append(total / (len(s) + 1))
+        a, b = both
+        out.append((i, len(s), *(pytest.approx(x, abs=2e-6) if s else None for x in (a, b, a - b))))
+    return out
+
+
+def test_every_word_counts(spark, make_docs, monkeypatch):
+    """Words that the target lacks have counts of their own, and nothing depends on how texts fall into chunks."""
+    target = ["the cat sat on the mat", "a dog", None, ""]
+    docs = [(i, t) for i, t in enumerate(
+        ["the cat sat", "zebra yak zebra yak", "quartz onyx opal", "", None, *(f"w{j} w{j + 1} the w{j}" for j in range(6000))])]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(target)], "item_id long, text string")
+    want = {r[0]: r for r in brute_both(docs, target)}
+    for size in (cross_entropy.CHUNK, 1):
+        monkeypatch.setattr(cross_entropy, "CHUNK", size)
+        got = [tuple(r) for r in cross_entropy.score(make_docs(*docs), bench, words="both").collect()]
+        assert len(got) == len(docs) and all(r == want[r[0]] for r in got)
+    by = {r[0]: r for r in got}
+    assert by[1][3] < by[2][3]
+
+
+def test_no_tables_in_both(spark, make_docs, tuples):
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert cross_entropy.score(make_docs(), none, words="both").count() == 0
+    got = tuples(cross_entropy.score(make_docs((1, "a b"), (2, "")), none, words="both"), "doc_id", "n_tokens", "score")
+    assert [r[:2] for r in got] == [(1, 2), (2, 0)] and got[0][2] > 0 and got[1][2] is None

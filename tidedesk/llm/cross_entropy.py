@@ -1,157 +1,220 @@
 """Cross-entropy difference: how much better a target model predicts a document than a background model.
 
-Both are word bigram models over one vocabulary, the words that occur at least twice in the target
-texts; every other word is the unknown word in both. A model interpolates the bigram estimate with
-the unigram estimate, which adds one to each count, and is counted over all texts it is given. The
-score is the mean over a document's tokens (its end among them) of the loss under the target model
-minus the loss under the background model: the lower, the closer to the target.
-
-The vocabulary is bounded by ``max_words``, so the table of loss differences that is broadcast has at
-most ``(max_words + 2) ** 2`` cells of 4 bytes for each model. Counts are combined per batch, sent by
-range of the cell, and summed there.
+Both are word bigram models over one vocabulary: every word of the target and of the background texts
+(``words="both"``), or the words that occur at least twice in the target texts, all others being one
+unknown word (``words="target"``). A model interpolates the bigram estimate with the unigram estimate,
+which adds one to each count, and is counted over all texts it is given. The score is the mean over a
+document's tokens (its end among them) of the loss under the target model minus the loss under the
+background model: the lower, the closer to the target.
+
+Counts have no cap and no table of them stands on one machine. Texts become chunks of about a
+million symbols. A chunk asks once for each of its words and bigrams, with its own counts, by range of a
+64-bit hash of (history, word); the range adds up the counts of all chunks and answers each with the
+totals of what it asked for. A frequent word or bigram therefore counts once per chunk in a shuffle,
+and ranges grow in number with the corpus. The driver gets three numbers per range.
 
 Defined cases: a null or empty text has no tokens and null losses and score; it adds nothing to the
-counts; an empty target gives a vocabulary of the unknown word alone; repeated rows count and are
-scored each. Words are runs of characters other than white space, A-Z lower-cased. Other columns are
-ignored.
+counts; an empty target leaves its model the flat estimate over the vocabulary; repeated rows count
+and are scored each. Words are runs of characters other than white space, A-Z lower-cased, and are
+compared by 64-bit hash. The vocabulary size counts the unknown word and the edge of a text. Other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from tidedesk.llm import hashing
 from tidedesk.llm.decontaminate import LOWER, UPPER
+from tidedesk.llm.repeats import range_bits, split_ranges
 from tidedesk.session import materialize
 
-#: Cells per range of the count table.
-RANGE = 1 << 15
-
+_U = np.uint64
+#: Symbols of the edge of a text and of the unknown word.
+EDGE, UNKNOWN = _U(0x5EDCE5EDCE5EDCE1), _U(0x0DDBA110DDBA1101)
+#: Symbols of a chunk (or one text), and symbols asked for per range.
+CHUNK, RANGE = 1_000_000, 1_000_000
+_CHUNK_SCHEMA = "chunk long, size long, ids array<long>, lengths binary, words binary, stream binary"
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """Sorted word hashes and their symbols 1..n; 0 is the unknown word, n + 1 the edge of a text."""
 
-    hashes: np.ndarray
-    symbols: np.ndarray
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers by byte planes, as many as the largest needs; low-valued planes compress away."""
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
-    @property
-    def width(self) -> int:
-        return len(self.hashes) + 2
 
-    def lookup(self, words: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(words), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, self.symbols[at], 0)
+def unpack(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel().astype(np.int64)
 
 
-def vocabulary(target: DataFrame, least: int = 2, max_words: int = 4096) -> Vocabulary:
-    """The words of ``target`` with a count of ``least`` or more, the most frequent ``max_words`` of them."""
+def vocabulary(target: DataFrame, least: int = 2) -> np.ndarray:
+    """Sorted hashes of all words of ``target`` with a count of ``least`` or more."""
     lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     tokens = target.select(F.explode(F.split(lowered, r"[\x20\x09-\x0D]+")).alias("word")).filter("word <> ''")
-    rows = tokens.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(max_words)
-    words = [r["word"] for r in rows.collect()]
-    hashes = hashing.words(pa.array(words, pa.string()), lower=True).hashes if words else np.empty(0, np.uint64)
-    order = np.argsort(hashes)
-    return Vocabulary(hashes[order], np.arange(1, len(words) + 1)[order])
-
+    rows = tokens.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least).collect()
+    return np.sort(hashing.words(pa.array([r["word"] for r in rows], pa.string()), lower=True).hashes)
 
-def transitions(text: pa.Array, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Cells (history symbol times width plus symbol) of all tokens and text ends, and the row of each."""
-    w = hashing.words(text, lower=True)
-    symbols, edge = vocab.lookup(w.hashes), vocab.width - 1
-    before = np.empty(len(symbols), np.int64)
-    before[1:] = symbols[:-1]
-    counts = np.diff(w.first)
-    some = np.flatnonzero(counts)
-    before[w.first[some]] = edge
-    cells = np.concatenate([before * vocab.width + symbols, symbols[w.first[some + 1] - 1] * vocab.width + edge])
-    return cells, np.concatenate([w.doc, some])
 
+def chunks(docs: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """``chunk, size, ids, lengths, words, stream``: ids and lengths of texts, and their symbols, each text
+    followed by the edge, as places in ``words`` (most frequent first)."""
+    shared = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
 
-def cell_counts(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """``range, cells, counts``: how often each bigram of symbols occurs in ``docs``, packed."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = shared.value, [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = None if shared is None else shared.value
+        base, made = TaskContext.get().partitionId() << 32, 0
+        ids, lengths, held, size = [], [], [], 0
 
         def packed() -> pa.RecordBatch:
-            cells, n = np.unique(np.concatenate(held), return_counts=True)
-            edges = np.flatnonzero(np.diff(cells // RANGE, prepend=-1))
-            ends = np.append(edges[1:], len(cells))
+            stream = np.concatenate(held)
+            words, at, n = np.unique(stream, return_inverse=True, return_counts=True)
+            order = np.argsort(-n, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            every = pa.concat_arrays(ids)
             return pa.RecordBatch.from_arrays([
-                pa.array(cells[edges] // RANGE, pa.int64()),
-                pa.array([cells[a:b].tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary()),
-                pa.array([n[a:b].astype(np.int64).tobytes() for a, b in zip(edges, ends, strict=True)], pa.binary())],
-                ["range", "cells", "counts"])
+                pa.array([base + made], pa.int64()), pa.array([len(stream)], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, len(every)], pa.int32()), every),
+                pa.array([pack(np.concatenate(lengths))], pa.binary()), pa.array([words[order].tobytes()], pa.binary()),
+                pa.array([pack(place[at])], pa.binary())], ["chunk", "size", "ids", "lengths", "words", "stream"])
 
         for batch in batches:
-            text = batch.column(0)
-            for at, stop in hashing.slices(text):
-                held.append(transitions(text.slice(at, stop - at), known)[0])
-                size += len(held[-1])
-                if size > 4_000_000:
+            for at, stop in hashing.slices(batch.column(1)):
+                w = hashing.words(batch.column(1).slice(at, stop - at), lower=True)
+                symbols, n = w.hashes, np.diff(w.first)
+                if vocab is not None:
+                    near = np.minimum(np.searchsorted(vocab, symbols), max(len(vocab) - 1, 0))
+                    symbols = np.where(vocab[near] == symbols, symbols, UNKNOWN) if len(vocab) else np.full(len(symbols), UNKNOWN)
+                held.append(np.insert(symbols, w.first[1:][n > 0], EDGE))
+                ids.append(batch.column(0).slice(at, stop - at))
+                lengths.append(n)
+                size += len(held[-1]) + len(n)
+                if size > CHUNK:
                     yield packed()
-                    held, size = [], 0
-        if size:
+                    ids, lengths, held, size, made = [], [], [], 0, made + 1
+        if ids:
             yield packed()
 
-    def gather(group: pa.Table) -> pa.Table:
-        cells = np.concatenate([np.frombuffer(x, np.int64) for x in group["cells"].to_pylist()])
-        n = np.concatenate([np.frombuffer(x, np.int64) for x in group["counts"].to_pylist()])
-        every, inverse = np.unique(cells, return_inverse=True)
-        total = np.bincount(inverse, weights=n).astype(np.int64)
-        return pa.table({"range": pa.array([group["range"][0].as_py()], pa.int64()), "cells": pa.array([every.tobytes()], pa.binary()),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
-
-    sent = docs.select("text").mapInArrow(send, "range long, cells binary, counts binary")
-    return sent.groupBy("range").applyInArrow(gather, "range long, cells binary, counts binary")
-
-
-def log_losses(counts: DataFrame, vocab: Vocabulary, weight: float) -> np.ndarray:
-    """Loss (negative natural logarithm) of every cell under the model of ``counts``; the table is bounded by the vocabulary."""
-    width = vocab.width
-    table = np.zeros(width * width)
-    for row in counts.select("cells", "counts").toLocalIterator():
-        table[np.frombuffer(row["cells"], np.int64)] = np.frombuffer(row["counts"], np.int64)
-    table = table.reshape(width, width)
-    words = table.sum(axis=0)
-    single = (words + 1) / (words.sum() + width)
-    history = table.sum(axis=1, keepdims=True)
-    bigram = np.divide(table, history, out=np.zeros_like(table), where=history > 0)
-    # a history that the model has not seen leaves all the weight to the unigram
-    share = np.where(history > 0, weight, 0.0)
-    return -np.log(share * bigram + (1 - share) * single).astype(np.float64).ravel()
-
-
-def score(docs: DataFrame, target: DataFrame, weight: float = 0.6, least: int = 2, max_words: int = 4096) -> DataFrame:
-    """``doc_id, n_tokens, target_loss, background_loss, score`` of every document; the background is ``docs``."""
-    vocab = vocabulary(target, least, max_words)
-    losses = [log_losses(materialize(cell_counts(texts, vocab), f"lm-{name}"), vocab, weight)
-              for name, texts in (("target", target), ("background", docs))]
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, *losses))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _CHUNK_SCHEMA)
+
+
+def symbols_of(words: bytes, stream: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a chunk, its stream as places in them, and the bigram hash of every place."""
+    known, at = np.frombuffer(words, np.uint64), unpack(stream)
+    symbols = known[at]
+    before = np.empty_like(symbols)
+    before[:1], before[1:] = EDGE, symbols[:-1]  # each text ends with the edge, which begins the next
+    return known, at, hashing.mix(hashing.mix(before) * _U(0x9E3779B97F4A7C15) + symbols)
+
+
+def requests(made: DataFrame, bits: int, side: int) -> DataFrame:
+    """``n, range, side, chunk, keys, counts``: the words (n = 1) and bigrams (n = 2) of each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, target_loss, background_loss = shared.value
         for batch in batches:
-            for at, stop in hashing.slices(batch.column(1)):
-                cells, doc = transitions(batch.column(1).slice(at, stop - at), known)
-                n = np.bincount(doc, minlength=stop - at)
-                none = n == 0
-                per = np.maximum(n, 1)
-                t = np.bincount(doc, weights=target_loss[cells], minlength=stop - at) / per
-                b = np.bincount(doc, weights=background_loss[cells], minlength=stop - at) / per
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(at, stop - at), pa.array(np.maximum(n - 1, 0), pa.int64()),
-                    *[pa.array(np.round(x, 6), pa.float64(), mask=none) for x in (t, b, t - b)]],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+            for chunk, words, stream in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                known, at, pairs = symbols_of(words, stream)
+                order = np.argsort(known)
+                single = known[order], np.bincount(at, minlength=len(known))[order]
+                for n, (keys, counts) in ((1, single), (2, np.unique(pairs, return_counts=True))):
+                    edges = split_ranges(keys, bits)
+                    some = np.flatnonzero(np.diff(edges))
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(some), n), pa.int32()), pa.array(some, pa.int32()), pa.array(np.full(len(some), side), pa.int32()),
+                        pa.array(np.full(len(some), chunk), pa.int64()),
+                        pa.array([keys[edges[i]:edges[i + 1]].tobytes() for i in some], pa.binary()),
+                        pa.array([pack(counts[edges[i]:edges[i + 1]]) for i in some], pa.binary())],
+                        ["n", "range", "side", "chunk", "keys", "counts"])
+
+    return made.select("chunk", "words", "stream").mapInArrow(run, "n int, range int, side int, chunk long, keys binary, counts binary")
+
+
+def answers(asked: DataFrame) -> DataFrame:
+    """``n, range, chunk, target, background``: counts in both tables of what a background chunk asked for.
+
+    A row of each range without a chunk holds the number of its keys and the sums of their counts.
+    """
+
+    def gather(group: pa.Table) -> pa.Table:
+        side, chunk = group["side"].to_pylist(), group["chunk"].to_pylist()
+        keys = [np.frombuffer(x, np.uint64) for x in group["keys"].to_pylist()]
+        counts = np.concatenate([unpack(x) for x in group["counts"].to_pylist()])
+        every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        ends = np.cumsum([len(k) for k in keys])
+        of_target = np.repeat(np.array(side), [len(k) for k in keys]) == 0
+        # counts are whole numbers below 2**53, so sums of doubles are exact
+        totals = [np.bincount(inverse, weights=np.where(pick, counts, 0), minlength=len(every)).astype(np.int64) for pick in (of_target, ~of_target)]
+        rows = [(None, *(pack(np.array([len(every), t.sum()])) for t in totals))]
+        for s, c, k, end in zip(side, chunk, keys, ends, strict=True):
+            if s:
+                own = inverse[end - len(k):end]
+                rows.append((c, *(pack(t[own]) for t in totals)))
+        n, r = group["n"][0].as_py(), group["range"][0].as_py()
+        return pa.table({
+            "n": pa.array([n] * len(rows), pa.int32()), "range": pa.array([r] * len(rows), pa.int32()), "chunk": pa.array([x[0] for x in rows], pa.int64()),
+            "target": pa.array([x[1] for x in rows], pa.binary()), "background": pa.array([x[2] for x in rows], pa.binary())})
+
+    return asked.groupBy("n", "range").applyInArrow(gather, "n int, range int, chunk long, target binary, background binary")
+
+
+def score(docs: DataFrame, target: DataFrame, weight: float = 0.6, least: int = 2, words: str = "target") -> DataFrame:
+    """``doc_id, n_tokens, target_loss, background_loss, score`` of every document; the background is ``docs``.
+
+    ``least`` holds for ``words="target"``, whose vocabulary is broadcast.
+    """
+    if words not in ("both", "target"):
+        raise ValueError("words must be both or target")
+    known = vocabulary(target, least) if words == "target" else None
+    sides = [materialize(chunks(table, known), f"lm-{name}")
+             for name, table in (("target", target.withColumn("doc_id", F.lit(None).cast("long"))), ("background", docs))]
+    size = sum(made.agg(F.sum("size")).first()[0] or 0 for made in sides)
+    bits = max(range_bits(docs.sparkSession), (size // RANGE).bit_length())
+    asked = requests(sides[0], bits, 0).unionByName(requests(sides[1], bits, 1))
+    found = materialize(answers(asked), "lm-answers")
+    sums = [[unpack(r[c]) for c in ("target", "background")] for r in found.filter("chunk is null and n = 1").toLocalIterator()]
+    total = [float(sum(s[i][1] for s in sums)) for i in (0, 1)]
+    # in ``both`` the keys are the words and the edge
+    width = float(len(known) + 2 if known is not None else sum(s[0][0] for s in sums) + 1)
+
+    def losses(counts: list[np.ndarray], at: np.ndarray, which: np.ndarray, edge: int, n_all: float) -> np.ndarray:
+        single, pair = counts[0].astype(np.float64), counts[1].astype(np.float64)[which]
+        seen = single[np.append(edge, at[:-1])]
+        # a history that the model has not seen leaves all the weight to the unigram
+        share = np.where(seen > 0, weight, 0.0)
+        return -np.log(share * (pair / np.maximum(seen, 1)) + (1 - share) * ((single[at] + 1) / (n_all + width)))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        reply = {n: sorted((r for r in right.to_pylist() if r["n"] == n), key=lambda r: r["range"]) for n in (1, 2)}
+        for ids, length, words_, stream in zip(
+                left["ids"].combine_chunks(), *(left[c].to_pylist() for c in ("lengths", "words", "stream")), strict=True):
+            lengths = unpack(length)
+            some, n = lengths > 0, len(lengths)
+            values = [np.zeros(n), np.zeros(n)]
+            if some.any():
+                symbols, at, pairs = symbols_of(words_, stream)
+                which = np.unique(pairs, return_inverse=True)[1]
+                order, edge = np.argsort(symbols), int(np.flatnonzero(symbols == EDGE)[0])
+                first = np.cumsum(np.append(0, lengths[some] + 1))[:-1]
+                for i, name in enumerate(("target", "background")):
+                    single = np.empty(len(symbols), np.int64)
+                    single[order] = np.concatenate([unpack(r[name]) for r in reply[1]])
+                    loss = losses([single, np.concatenate([unpack(r[name]) for r in reply[2]])], at, which, edge, total[i])
+                    values[i][some] = np.add.reduceat(loss, first) / (lengths[some] + 1)
+            t, b = values
+            parts.append(pa.table({"doc_id": ids.values, "n_tokens": pa.array(lengths, pa.int64()), **{
+                name: pa.array(np.round(x, 6), pa.float64(), mask=~some)
+                for name, x in (("target_loss", t), ("background_loss", b), ("score", t - b))}}))
+        return pa.concat_tables(parts)
+
+    joined = sides[1].groupBy("chunk").cogroup(found.filter("chunk is not null").groupBy("chunk"))
+    return joined.applyInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

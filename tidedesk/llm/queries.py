@@ -73,7 +73,7 @@ def op5_ngram_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def op7_cross_entropy(spark: SparkSession, d: str) -> DataFrame:
-    return cross_entropy.score(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return cross_entropy.score(table(spark, d, "documents"), table(spark, d, "benchmark"), words="both")
 
 
 @query
