@@ -48,3 +48,16 @@ def test_site_templates_go_and_articles_stay(spark, tuples):
 
 def test_empty_table(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_boxes_that_recur_in_articles_go():
+    def page(i, box="<div class='box'>Like us on <b>Chirp</b></div>"):
+        return f"<body><article><h1>Title {i}</h1><p>Own text of number {i}, long enough</p><p>License</p>{box}</article></body>"
+
+    seen = [set(html.subtree_hashes(html.parse(page(i))).values()) for i in range(4)]
+    template = set.intersection(*seen)
+    assert html.main_text(page(7), template) == "Title 7 Own text of number 7, long enough License"
+    # the body of near copies is no box
+    copies = [f"<article><h1>{i}</h1><div>The whole story stands here</div></article>" for i in range(4)]
+    shared = set.intersection(*[set(html.subtree_hashes(html.parse(c)).values()) for c in copies])
+    assert html.main_text(copies[2], shared) == "2 The whole story stands here"

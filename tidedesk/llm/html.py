@@ -3,8 +3,8 @@
 Subtrees of elements are hashed (tag, attributes, content), counted per host over different pages,
 and deleted where they recur on many pages of the host. Elements whose tag, class, id or role says
 that they are no article text (menus, headers, footers, sidebars, adverts, notices, forms, comments,
-scripts, styles) go as well. What stands inside an article or main element is never taken for
-template, so that a paragraph that many articles share stays.
+scripts, styles) go as well. Inside an article or main element the same holds for containers (``INNER``)
+with at most half of its text: boxes that recur go, a paragraph that many articles share stays.
 
 Defined cases: null or empty html gives empty text; broken markup is read as far as it makes sense
 (unclosed elements end with their parent, a stray ``<`` is text); copies of one page count once, so
@@ -57,6 +57,8 @@ DROP_WORDS = frozenset(
     "overlay newsletter subscribe subscription signup login share sharing social comment comments commentlist disqus "
     "respond reply replies related recommended recommendations widget toolbar pagination pager search skip "
     "contentinfo complementary dialog".split())
+#: What can be template inside an article or main element.
+INNER = frozenset("div section aside ul ol dl table figure details center fieldset".split())
 MAIN_WORDS = frozenset("article main content post entry story".split())
 
 
@@ -128,27 +130,35 @@ def _is_main(node: Node) -> bool:
 
 
 def subtree_hashes(root: Node) -> dict[int, int]:
-    """Hash by ``id(node)`` of every element outside main elements; what holds a main element has none."""
-    out: dict[int, int] = {}
-    order, todo = [], [root]
+    """Hash by ``id(node)`` of every element that can be template; what holds a main element has none.
+
+    Inside a main element these are containers with at most half of the text of the innermost one.
+    """
+    every: dict[int, int] = {}
+    size: dict[int, int] = {}
+    order: list[tuple[Node, Node | None]] = []
+    todo: list[tuple[Node, Node | None]] = [(root, None)]
     while todo:
-        node = todo.pop()
-        order.append(node)
-        if not _is_main(node):
-            todo += [k for k in node.kids if isinstance(k, Node)]
+        node, main = todo.pop()
+        order.append((node, main))
+        inner = node if _is_main(node) else main
+        todo += [(k, inner) for k in node.kids if isinstance(k, Node)]
     holds_main: set[int] = set()
-    for node in reversed(order):
-        if _is_main(node) or any(id(k) in holds_main for k in node.kids if isinstance(k, Node)):
-            holds_main.add(id(node))
-            continue
+    for node, _ in reversed(order):
         h = hashlib.blake2b(f"{node.tag}\x00{' '.join(node.attrs.split())}".encode("utf-8", "surrogatepass"), digest_size=8)
+        size[id(node)] = 0
         for k in node.kids:
             if isinstance(k, Node):
-                h.update(b"\x01" + out[id(k)].to_bytes(8, "little", signed=True))
+                h.update(b"\x01" + every[id(k)].to_bytes(8, "little", signed=True))
+                size[id(node)] += size[id(k)]
             elif squeezed := " ".join(k.split()):
                 h.update(b"\x02" + squeezed.encode("utf-8", "surrogatepass"))
-        out[id(node)] = int.from_bytes(h.digest(), "little", signed=True)
-    return {k: v for k, v in out.items() if k != id(root)}
+                size[id(node)] += len(squeezed)
+        every[id(node)] = int.from_bytes(h.digest(), "little", signed=True)
+        if _is_main(node) or any(id(k) in holds_main for k in node.kids if isinstance(k, Node)):
+            holds_main.add(id(node))
+    return {id(node): every[id(node)] for node, main in order if node is not root and id(node) not in holds_main and (
+        main is None or node.tag in INNER and 2 * size[id(node)] <= size[id(main)])}
 
 
 def _unwanted(node: Node, inside_main: bool) -> bool:
