@@ -72,3 +72,14 @@ def test_table(make_docs, tuples):
 def test_overlapping_spans_mask_once():
     spans = pii.find_spans("x +4111 1111 1111 1111 y 1.2.3.4")
     assert pii.redact("x +4111 1111 1111 1111 y 1.2.3.4", spans).count("[") == 2
+
+
+@pytest.mark.parametrize("text,ibans", [
+    ("DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", ["DE89 3704 0044 0532 0130 00"]),
+    ("GB82WEST12345698765432 100 EUR", ["GB82WEST12345698765432"]),
+    ("REF AB12 DE89370400440532013000 GB82 WEST 1234 5698 7654 32 OK", ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"]),
+])
+def test_ibans_before_capitals_and_numbers(text, ibans):
+    found = [s for s in pii.find_spans(text) if s.kind == "iban"]
+    assert [text[s.start:s.end] for s in found] == ibans
+    assert not any(i in pii.redact(text, found) for i in ibans)

@@ -87,6 +87,21 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", done)
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """A match may run on into capitals and numbers behind it, so its ends at spaces are tried, the longest first."""
+    m = _IBAN.search(text)
+    while m:
+        whole, done = m.group(), m.start() + 1
+        ends = [len(whole), *[i for i in range(len(whole) - 1, 14, -1) if whole[i] == " "]]
+        for end in ends:
+            plain = whole[:end].replace(" ", "")
+            if 15 <= len(plain) <= 34 and mod97(plain):
+                done = m.start() + end
+                yield m.start(), done
+                break
+        m = _IBAN.search(text, done)
+
+
 def _near(text: str, kind: str, start: int, end: int) -> bool:
     around = f"{text[max(0, start - CONTEXT):start]} {text[end:end + CONTEXT]}".lower()
     words = set(re.findall(r"[^\W\d_]+", around))
@@ -112,10 +127,7 @@ def find_spans(text: str | None) -> list[Span]:
     found += cards
     found += [("phone", m.start(), m.end()) for m in _PHONE.finditer(text)
               if 8 <= len(_NOT_DIGIT.sub("", m.group())) <= 15]
-    for m in _IBAN.finditer(text):
-        plain = m.group().replace(" ", "")
-        if 15 <= len(plain) <= 34 and mod97(plain):
-            found.append(("iban", m.start(), m.end()))
+    found += [("iban", a, b) for a, b in _ibans(text)]
     found += short
     return [Span(k, a, b, round(BASE_SCORE[k] + CONTEXT_GAIN * _near(text, k, a, b), 2)) for k, a, b in found]
 
