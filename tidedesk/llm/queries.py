@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidedesk.llm import cross_entropy, decontaminate, html, mixing, ngram_join, pii, sql, substring, toxicity, warc, winnow
+from tidedesk.llm import (
+    cross_entropy, decontaminate, html, infill, licenses, mixing, ngram_join, pii, sql, substring, toxicity, warc, whitening, winnow,
+)
 from tidedesk.session import materialize, scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +86,19 @@ def op9_winnowing(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     return substring.deduplicate(table(spark, d, "documents")).drop("kept")
+
+
+@query
+def op11_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(table(spark, d, "documents"))
+
+
+@query
+def op12_whitening(spark: SparkSession, d: str) -> DataFrame:
+    vectors = table(spark, d, "embeddings")
+    return whitening.whiten(vectors, whitening.fit(vectors))
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    return infill.digests(infill.transform(table(spark, d, "documents")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tidedesk.llm import licenses
+
 TWINS: dict[str, str] = {}
 
 TWINS["op1_warc_transactions"] = """
@@ -174,3 +176,72 @@ WITH w AS (
 SELECT w.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+def _license_rows() -> str:
+    listed = [(t, label, "true") for t, label in licenses.PHRASES] + [(t, label, "false") for t, label in licenses.MORE]
+    return ", ".join(f"({i}, '{t}', '{label}', {base})" for i, (t, label, base) in enumerate(listed))
+
+
+TWINS["op11_license_scan"] = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), t(template, words, label, base) AS (
+  VALUES """ + _license_rows() + r"""
+), tw AS (
+  SELECT template, label, base, string_split(words, ' ') AS w FROM t
+), tg AS (
+  SELECT *, array_to_string(w[p + 1:p + k], ' ') AS gram FROM (
+    SELECT template, label, base, w, len(w) AS size, CASE WHEN len(w) < 5 THEN 2 ELSE 5 END AS k FROM tw), unnest(range(len(w) - k + 1)) g(p)
+), dg AS (
+  SELECT doc_id, p, k, array_to_string(w[p + 1:p + k], ' ') AS gram FROM dw, (VALUES (2), (5)) x(k), unnest(range(len(w) - k + 1)) g(p)
+), hits AS (
+  SELECT doc_id, template, label, base, size, k, dg.p AS pos, tg.p AS tpos FROM dg JOIN tg USING (k, gram)
+), diag AS (
+  SELECT doc_id, template, label, base, size, k, pos - tpos AS diagonal, count(*) AS votes, min(pos) AS first, max(pos) AS last
+  FROM hits GROUP BY ALL
+), marked AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o <= 3 THEN 0 ELSE 1 END AS new FROM diag WHERE size >= 5
+  WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)
+), parts AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS part FROM marked
+), covered AS (
+  SELECT p.doc_id, p.template, p.part, count(DISTINCT h.tpos + c.i) AS reached
+  FROM parts p JOIN hits h ON h.doc_id = p.doc_id AND h.template = p.template AND h.pos - h.tpos = p.diagonal, unnest(range(h.k)) c(i)
+  GROUP BY ALL
+), merged AS (
+  SELECT doc_id, template, part, label, base, size, min(first) AS start, max(last + k) AS stop FROM parts GROUP BY ALL
+), spans AS (
+  SELECT doc_id, label, base, diagonal AS start, 1.0::DOUBLE AS cover FROM diag WHERE size < 5 AND votes = size - k + 1
+  UNION ALL
+  SELECT doc_id, label, base, start, reached::DOUBLE / size FROM merged JOIN covered USING (doc_id, template, part)
+  WHERE reached::DOUBLE / size >= 0.75 AND stop - start <= 1.5 * size
+), found AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+    array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels,
+    array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(cover) AS score
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0::DOUBLE) AS score
+FROM dw LEFT JOIN found USING (doc_id)
+"""
+
+TWINS["op13_fill_in_middle"] = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents
+), h AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM t
+), c AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h
+), o AS (
+  SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM o
+"""
