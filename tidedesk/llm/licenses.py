@@ -160,7 +160,7 @@ def _templates() -> list[tuple[str, str, bool]]:
 def find_spans(docs: DataFrame, templates: list[tuple[str, str, bool]] | None = None) -> DataFrame:
     """Every license span of ``docs``; ``templates`` are ``(words, label, base)``."""
     positions = materialize(template_positions(docs.sparkSession, templates or _templates()), "license-positions")
-    return spans(diagonals(votes(docs, positions)))
+    return spans(materialize(diagonals(votes(docs, positions)), "license-diagonals"))
 
 
 def report(docs: DataFrame, found: DataFrame) -> DataFrame:
