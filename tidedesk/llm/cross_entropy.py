@@ -1,7 +1,7 @@
 """Cross-entropy difference: how much better a target model predicts a document than a background model.
 
 Both are word bigram models over one vocabulary: every word of the target and of the background texts
-(``words="both"``), or the words that occur at least twice in the target texts, all others being one
+(``words="both"``, as in the query), or the words that occur at least twice in the target texts, all others being one
 unknown word (``words="target"``). A model interpolates the bigram estimate with the unigram estimate,
 which adds one to each count, and is counted over all texts it is given. The score is the mean over a
 document's tokens (its end among them) of the loss under the target model minus the loss under the
@@ -37,6 +37,8 @@ from tidedesk.session import materialize
 _U = np.uint64
 #: Symbols of the edge of a text and of the unknown word.
 EDGE, UNKNOWN = _U(0x5EDCE5EDCE5EDCE1), _U(0x0DDBA110DDBA1101)
+#: Words that a target vocabulary may hold; it stands on the driver and in every task (40 MB).
+MAX_VOCABULARY = 5_000_000
 #: Symbols of a chunk (or one text), and symbols asked for per range.
 CHUNK, RANGE = 1_000_000, 1_000_000
 _CHUNK_SCHEMA = "chunk long, size long, ids array<long>, lengths binary, words binary, stream binary"
@@ -60,7 +62,10 @@ def vocabulary(target: DataFrame, least: int = 2) -> np.ndarray:
     """Sorted hashes of all words of ``target`` with a count of ``least`` or more."""
     lowered = F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, LOWER)
     tokens = target.select(F.explode(F.split(lowered, r"[\x20\x09-\x0D]+")).alias("word")).filter("word <> ''")
-    rows = tokens.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least).collect()
+    common = tokens.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("word")
+    rows = common.limit(MAX_VOCABULARY + 1).collect()
+    if len(rows) > MAX_VOCABULARY:
+        raise ValueError(f"the target holds over {MAX_VOCABULARY} words; use words='both', which keeps none on the driver")
     return np.sort(hashing.words(pa.array([r["word"] for r in rows], pa.string()), lower=True).hashes)
 
 

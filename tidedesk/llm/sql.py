@@ -119,13 +119,11 @@ WITH tok AS (
   SELECT 'b', doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM documents
 ), vocab AS (
-  SELECT word FROM (SELECT unnest(w) AS word FROM tok WHERE model = 't') GROUP BY word HAVING count(*) >= 2
-  ORDER BY count(*) DESC, word LIMIT 4096
+  SELECT DISTINCT unnest(w) AS word FROM tok
 ), width AS (
   SELECT count(*) + 2 AS v FROM vocab
 ), sym AS (
-  SELECT t.model, t.id, g.i, coalesce(v.word, '<unk> ') AS s
-  FROM tok t, unnest(range(1, len(t.w) + 1)) g(i) LEFT JOIN vocab v ON v.word = t.w[g.i]
+  SELECT t.model, t.id, g.i, t.w[g.i] AS s FROM tok t, unnest(range(1, len(t.w) + 1)) g(i)
 ), steps AS (
   SELECT model, id, i, s, coalesce(lag(s) OVER (PARTITION BY model, id ORDER BY i), '<edge> ') AS h FROM sym
   UNION ALL
