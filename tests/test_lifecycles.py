@@ -1,0 +1,126 @@
+"""Stored state over a stream against a plain state machine, a restart, late rows; and the replay table function."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidedesk.operators import replay
+from tidedesk.streaming import lifecycles
+
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "ticket_id string, at timestamp, kind string, seq long"
+TTL, DELAY = 100, 30
+
+
+def rows(seed, n, span):
+    rng = random.Random(seed)
+    return [("hot" if i % 3 == 0 else f"t{rng.randrange(12)}", T0 + dt.timedelta(seconds=rng.randrange(span)), rng.choice(["open", "open", "close", "note"]), i)
+            for i in range(n)]
+
+
+def machine(events, passed):
+    out = []
+    for ticket in {e[0] for e in events if e[0]}:
+        standing = None
+        for _, at, kind, _ in sorted((e for e in events if e[0] == ticket and e[1] and e[1] <= passed and e[2] in ("open", "close")), key=lambda e: (e[1], e[3])):
+            if standing is not None:
+                end = standing + dt.timedelta(seconds=TTL)
+                out.append((ticket, standing, min(at, end), "expired" if at > end else "closed" if kind == "close" else "reopened"))
+                standing = None
+            if kind == "open":
+                standing = at
+        if standing is not None and standing + dt.timedelta(seconds=TTL) <= passed:
+            out.append((ticket, standing, standing + dt.timedelta(seconds=TTL), "expired"))
+    return sorted(out)
+
+
+def watermark(events):
+    return max(e[1] for e in events if e[0] and e[1] and e[2] in ("open", "close")) - dt.timedelta(seconds=DELAY)
+
+
+def result(df):
+    return sorted((r.ticket, r.opened_at, r.ended_at, r.outcome) for r in df.collect())
+
+
+def put(spark, folder, name, events):
+    spark.createDataFrame(events, SCHEMA).coalesce(1).write.parquet(f"{folder}/{name}")
+
+
+def stream(spark, folder, out, files=1):
+    source = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files).parquet(folder)
+    return lifecycles.run(lifecycles.follow(source, TTL, DELAY), f"{out}/rows", f"{out}/checkpoint")
+
+
+def test_stream_equals_state_machine_over_a_restart(spark, tmp_path):
+    first, second = rows(1, 120, 600), [(t, at + dt.timedelta(seconds=600), k, s + 1000) for t, at, k, s in rows(2, 120, 600)]
+    first += [(None, T0, "open", 900), ("t1", None, "open", 901), ("t2", T0, None, 902), ("t3", T0 + dt.timedelta(seconds=9), "open", None)]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(spark, folder, "a", first)
+    stream(spark, folder, out)
+    read = spark.read.schema(lifecycles.SCHEMA).parquet(f"{out}/rows")
+    sane = [(t, at, k, s or 0) for t, at, k, s in first]
+    assert result(read) == machine(sane, watermark(sane))
+    # the second run takes up the openings and waiting events that the first has left in its state
+    put(spark, folder, "b", second)
+    query = stream(spark, folder, out)
+    every = sane + second
+    got = result(spark.read.schema(lifecycles.SCHEMA).parquet(f"{out}/rows"))
+    assert lifecycles.late_rows(query) == 0
+    assert got == machine(every, watermark(every))
+    assert {o for *_, o in got} == {"closed", "reopened", "expired"} and any(a < T0 + dt.timedelta(seconds=600) < b for _, a, b, _ in got)
+    # the batch form agrees
+    until = int((watermark(every).replace(tzinfo=dt.timezone.utc) - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)).total_seconds() * 1_000_000)
+    assert result(lifecycles.settled(spark.createDataFrame(first + second, SCHEMA), TTL, until)) == got
+
+
+def test_late_rows_are_counted(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    put(spark, folder, "a", [("x", T0 + dt.timedelta(seconds=500), "open", 1)])
+    stream(spark, folder, out)
+    put(spark, folder, "b", [("x", T0 + dt.timedelta(seconds=100), "open", 2), ("x", T0 + dt.timedelta(seconds=520), "close", 3),
+                             ("y", T0 + dt.timedelta(seconds=10), "note", 4), ("y", T0 + dt.timedelta(seconds=470), "open", 5),
+                             ("z", T0 + dt.timedelta(seconds=900), "close", 6)])
+    query = stream(spark, folder, out)
+    # at 470 s the watermark has just passed that time
+    assert lifecycles.late_rows(query) == 2
+    assert [r[3] for r in result(spark.read.schema(lifecycles.SCHEMA).parquet(f"{out}/rows"))] == ["closed"]
+
+
+@pytest.mark.parametrize("until", [None, 300])
+def test_batch_form(spark, until):
+    events = rows(5, 300, 500) + [("same", T0, "open", 1), ("same", T0, "close", 1), ("same", T0, "open", 2), ("same", T0, "open", 2)]
+    end = T0 + (dt.timedelta(days=9) if until is None else dt.timedelta(seconds=until))
+    us = None if until is None else int((end.replace(tzinfo=dt.timezone.utc)).timestamp() * 1_000_000)
+    got = result(lifecycles.settled(spark.createDataFrame(events, SCHEMA).repartition(3), TTL, us))
+    assert [g for g in got if g[0] != "same"] == [m for m in machine(events, end) if m[0] != "same"]
+    # closings go before openings of the same time and number
+    assert [g[3] for g in got if g[0] == "same"] == ["reopened", "reopened", "expired"] and len(got) > 50
+    assert lifecycles.settled(spark.createDataFrame([], SCHEMA), TTL, None).count() == 0
+
+
+TURNS = [("a", 0, "user", "x" * 40), ("a", 1, "assistant", "y" * 40), ("a", 2, "assistant", None), ("a", 3, "user", "z" * 400), ("a", 4, "user", ""),
+         ("b", 5, "assistant", "ü🙂" * 20), ("b", 7, "user", "w"), (None, 1, "user", "n"), (None, 2, None, "m")]
+
+
+def test_replay_keeps_state_per_conversation(spark):
+    df = spark.createDataFrame(TURNS, "conv_id string, turn int, role string, text string").withColumn("step", F.lit("clash")).repartition(3)
+    out = replay.replay(df, 60)
+    assert dict(out.dtypes) == {"conv_id": "string", "turn": "int", "step": "bigint", "turn_of_step": "bigint", "context_chars": "bigint",
+                                "context_tokens": "bigint", "trimmed": "boolean"}
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    assert got == sorted([
+        ("a", 0, 1, 1, 40, 10, False), ("a", 1, 1, 2, 80, 20, False), ("a", 2, 1, 3, 80, 20, False), ("a", 3, 2, 1, 400, 100, True), ("a", 4, 3, 1, 0, 0, True),
+        ("b", 5, 0, 1, 40, 10, False), ("b", 7, 1, 1, 41, 10, False), (None, 1, 1, 1, 1, 0, False), (None, 2, 1, 2, 2, 0, False)], key=str)
+
+
+def test_replay_in_sql_and_its_checks(spark):
+    replay.register(spark, "replay_turns")
+    spark.createDataFrame(TURNS, "conv_id string, turn int, role string, text string").createOrReplaceTempView("some_turns")
+    assert spark.sql("SELECT max(step) AS s FROM replay_turns(TABLE(some_turns), 60)").first().s == 3
+    assert spark.sql("SELECT * FROM replay_turns(TABLE(SELECT * FROM some_turns WHERE turn > 99), 60)").count() == 0
+    with pytest.raises(Exception, match="positive"):
+        spark.sql("SELECT * FROM replay_turns(TABLE(some_turns), 0)").collect()
+    with pytest.raises(Exception, match="lacks text"):
+        spark.sql("SELECT * FROM replay_turns(TABLE(SELECT conv_id, turn, role FROM some_turns), 9)").collect()

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidedesk.functions import replies
 from tidedesk.functions.clean import is_uuid4, norm_enum, norm_priority, parse_ts
 from tidedesk.functions.text import blank_to_null, strip, strip_fences, strip_html
-from tidedesk.operators import actions as act
+from tidedesk.operators import actions as act, deltas, difference, intervals, ordered, replay, sketches, totals
 from tidedesk.operators import anomaly as ano
 from tidedesk.operators import enrich as enr
 from tidedesk.operators import normalize as nrm
@@ -27,6 +27,7 @@ from tidedesk.schema import CATEGORIES, CHANNELS, MODEL_PRICES, PRICES, PRIORITI
 from tidedesk.session import materialize, scratch_dir
 from tidedesk.sources.sinks import append_rows, read_rows, replace_rows, report_json, write_by_channel, write_table
 from tidedesk.sources.tickets import NoInputError, null_tokens, read_tickets
+from tidedesk.streaming import lifecycles
 
 AS_OF = "2024-02-01 00:00:00"
 PROCESSED_AT = "2024-02-01T00:00:00Z"
@@ -787,3 +788,122 @@ def h3_freshness(spark, d):
          ("signup", "degraded"), ("refund", "degraded")], "name string, missing_status string")
     seen = table(spark, d, "events").select(F.col("event_type").alias("name"), F.col("ts").alias("seen_at"))
     return runs.freshness(expected, seen, "2024-01-31 00:00:00", 0.25)
+
+
+# I: order, time, state and comparison ----------------------------------------
+
+def contacts(events: DataFrame) -> DataFrame:
+    """Events as contacts; a third of them are of one customer."""
+    return events.select(
+        F.col("event_id").alias("row_seq"), F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("customer_id"),
+        F.col("ts").cast("timestamp").alias("created_at"))
+
+
+@query
+def i1_ticket_lifecycles(spark, d):
+    # a pattern, since a stream takes a single file only by one
+    stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")
+    kind = F.when(F.col("event_type") == "error", "open").when(F.col("event_type") == "purchase", "close")
+    events = stream.select(F.col("user_id").alias("ticket_id"), F.col("ts").alias("at"), kind.alias("kind"), F.col("event_id").alias("seq"))
+    path = scratch_dir(spark, "lifecycles")
+    lifecycles.run(lifecycles.follow(events, 6 * 3600, 3600), f"{path}/rows", f"{path}/checkpoint")
+    ended = spark.read.schema(lifecycles.SCHEMA).parquet(f"{path}/rows")
+    return ended.select(F.col("ticket").cast("long").alias("ticket"), F.unix_micros("opened_at").alias("opened_us"),
+                        F.unix_micros("ended_at").alias("ended_us"), "outcome")
+
+
+@query
+def i2_asof_orders(spark, d):
+    # thirty days of events stand for the years of the orders, at eighty times their pace
+    at = F.timestamp_micros(F.lit(788918400000000) + 80 * (F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(1704067200000000)))
+    events = table(spark, d, "events").select("event_id", "user_id", at.alias("at"))
+    orders = table(spark, d, "orders").withColumn("ordered_at", F.col("o_orderdate").cast("timestamp"))
+    return ordered.asof_join(events, orders, "user_id", "at", "ordered_at", ["o_orderkey", "o_totalprice"],
+                             right_key="o_custkey", right_seq="o_orderkey", left_id="event_id").drop("at")
+
+
+@query
+def i3_incident_tickets(spark, d):
+    events = table(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    minutes = F.when(F.col("event_id") % 250 == 0, 28_800).otherwise(F.floor("value"))
+    incidents = events.filter(F.col("event_type") == "error").select(
+        F.col("event_id").alias("incident_id"), F.col("at").alias("begins"),
+        F.timestamp_micros(F.unix_micros("at") + minutes * 60_000_000).alias("ends"))
+    tickets_ = events.select(F.col("event_id").alias("ticket_seq"), "at", F.col("at").alias("until"))
+    met = intervals.overlap_join(tickets_, incidents, ("at", "until"), ("begins", "ends"), width_seconds=600)
+    return met.groupBy("incident_id").agg(
+        F.count("*").alias("n_tickets"), F.min("ticket_seq").alias("first_ticket"), F.max("ticket_seq").alias("last_ticket"))
+
+
+@query
+def i4_contact_gaps(spark, d):
+    gaps = ordered.contact_gaps(contacts(table(spark, d, "events")))
+    return gaps.select("row_seq", "customer_id", "contact_no", F.round(F.col("gap_seconds") * 1_000_000).cast("long").alias("gap_us"))
+
+
+@query
+def i5_ticket_cube(spark, d):
+    dims = ["channel", "status", "priority"]
+    small = totals.cells(tickets(spark, d), dims, {"chars": F.length("body")})
+    return totals.subtotals(small, dims, ["chars"])
+
+
+@query
+def i5_anomaly_rollup(spark, d):
+    dims = ["anomaly_type", "severity"]
+    summed = totals.subtotals(totals.cells(found(spark, d), dims), dims, sets="rollup")
+    return totals.named_totals(summed, dims)
+
+
+def two_runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """A flagged run, and one in which rows have gone, come twice or another status."""
+    first = qua.quality_flags(tickets(spark, d), AS_OF).select("row_seq", "ticket_id", "channel", "status", "priority", "quality_flags")
+    status = F.when(F.col("row_seq") % 41 == 5, "closed").otherwise(F.col("status"))
+    times = F.when(F.col("row_seq") % 40 == 3, 0).when(F.col("row_seq") % 43 == 7, 2).otherwise(1)
+    second = first.withColumn("status", status).withColumn("k", F.explode(F.array_repeat(F.lit(1), times))).drop("k")
+    return first.drop("row_seq"), second.drop("row_seq")
+
+
+@query
+def i6_run_difference(spark, d):
+    before, after = two_runs(spark, d)
+    return difference.key_differences(before, after, ["ticket_id"])
+
+
+@query
+def i7_sketch_thresholds(spark, d):
+    t = stored(spark, d).select("row_seq", "channel", "customer_id", F.length("body").alias("chars"))
+    path = scratch_dir(spark, "sketches")
+    for run in (0, 1):
+        part = t.filter(F.col("row_seq") % 2 == run)
+        sketches.store(sketches.sketch(part, ["channel"], {"chars": F.col("chars")}, {"customers": F.col("customer_id")}), path, f"r{run}")
+    merged_ = materialize(sketches.merge(sketches.stored(spark, path), ["channel"]), "merged-sketches")
+    ranks = (0.5, 0.95)
+    asked = merged_.select(F.col("channel").alias("c"), "n", F.col("n_chars").alias("seen"), sketches.distinct("customers").alias("customers"),
+                           *[sketches.quantile("chars", q).alias(f"q{i}") for i, q in enumerate(ranks)])
+    exact = t.join(F.broadcast(asked), F.col("channel") == F.col("c")).groupBy("channel").agg(
+        F.first("n").alias("n"), F.first("seen").alias("seen"), F.first("customers").alias("guess"), F.count_distinct("customer_id").alias("customers"),
+        *[F.count_if(F.col("chars") <= F.col(f"q{i}")).alias(f"at{i}") for i in range(2)],
+        *[F.count_if(F.col("chars") < F.col(f"q{i}")).alias(f"below{i}") for i in range(2)])
+    slack = [F.greatest(sketches.RANK_ERROR * F.col("seen"), F.lit(1.0)) for _ in ranks]
+    good = [(F.col(f"at{i}") >= q * F.col("seen") - slack[i]) & (F.col(f"below{i}") <= q * F.col("seen") + slack[i]) for i, q in enumerate(ranks)]
+    near = F.abs(F.col("guess") - F.col("customers")) <= F.greatest(sketches.DISTINCT_ERROR * F.col("customers"), F.lit(1.0))
+    return exact.select("channel", "n", F.col("seen").alias("n_chars"), good[0].alias("median_in_bound"), good[1].alias("p95_in_bound"),
+                        near.alias("customers_in_bound"))
+
+
+@query
+def i8_replay(spark, d):
+    return replay.replay(table(spark, d, "conversations"), 300)
+
+
+@query
+def i10_incremental_counts(spark, d):
+    events = table(spark, d, "events").select("event_id", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    path = scratch_dir(spark, "deltas")
+    for seq in range(10):
+        gone = events.filter((F.col("event_id") % 10 == seq - 1) & (F.col("event_id") % 7 == 0))
+        changes = deltas.signed(events.filter(F.col("event_id") % 10 == seq), gone)
+        deltas.append(changes, path, seq, ["user_id"], {"cents": F.col("cents")})
+    counts = deltas.current(spark, path, ["user_id"])
+    return counts.select("user_id", "n", "cents", (F.col("n") >= 3).alias("repeat_contact"))

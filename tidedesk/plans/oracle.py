@@ -204,6 +204,15 @@ FROM chosen WHERE body IS NULL""")
 cte("anom", ["scored", "statonly"], "SELECT * FROM scored UNION ALL SELECT * FROM statonly")
 
 # Actions
+cte("second_run", ["flagged"], """
+SELECT ticket_id, channel, CASE WHEN row_seq % 41 = 5 THEN 'closed' ELSE status END AS status, priority, quality_flags
+FROM flagged, unnest(range(CASE WHEN row_seq % 40 = 3 THEN 0 WHEN row_seq % 43 = 7 THEN 2 ELSE 1 END)) t(k)""")
+cte("net_rows", ["second_run"], """
+SELECT ticket_id, sum(sign) AS copies FROM (
+ SELECT ticket_id, channel, status, priority, quality_flags, -1 AS sign FROM flagged UNION ALL SELECT *, 1 FROM second_run) x
+GROUP BY ticket_id, channel, status, priority, quality_flags HAVING sum(sign) <> 0""")
+cte("net_keys", ["net_rows"], "SELECT ticket_id, sum(greatest(copies, 0)) AS more, sum(greatest(-copies, 0)) AS fewer FROM net_rows GROUP BY ticket_id")
+
 cte("calls", [], views.TOOL_CALLS)
 cte("steps", ["calls"], views.STEPS)
 cte("ran", ["calls", "steps"], """
@@ -459,4 +468,62 @@ SELECT x.name, CASE WHEN m IS NULL THEN x.miss WHEN age > 0.25::DOUBLE THEN 'deg
  CASE max(CASE WHEN m IS NULL THEN CASE x.miss WHEN 'failed' THEN 2 ELSE 1 END WHEN age > 0.25::DOUBLE THEN 1 ELSE 0 END) OVER () WHEN 2 THEN 'failed' WHEN 1 THEN 'degraded' ELSE 'ok' END AS overall
 FROM (VALUES ('view','failed'),('click','failed'),('error','degraded'),('purchase','degraded'),('signup','degraded'),('refund','degraded')) x(name, miss)
 LEFT JOIN (SELECT event_type, max(ts) AS m, (epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(max(ts)))::DOUBLE / 3600000000.0::DOUBLE AS age FROM events GROUP BY 1) e ON x.name = e.event_type"""
+
+    o["i1_ticket_lifecycles"] = """
+WITH e AS (
+ SELECT user_id AS ticket, epoch_us(ts) AS us, event_id, event_type = 'purchase' AS closes FROM events WHERE event_type IN ('error', 'purchase')
+), w AS (SELECT max(us) // 1000 * 1000 - 3600000000 AS passed FROM e
+), n AS (
+ SELECT e.*, lead(us) OVER o AS next_us, lead(closes) OVER o AS next_closes FROM e, w WHERE us <= passed WINDOW o AS (PARTITION BY ticket ORDER BY us, event_id)
+)
+SELECT ticket, us AS opened_us, least(us + 21600000000, coalesce(next_us, us + 21600000000)) AS ended_us,
+ CASE WHEN next_us <= us + 21600000000 THEN CASE WHEN next_closes THEN 'closed' ELSE 'reopened' END ELSE 'expired' END AS outcome
+FROM n, w WHERE NOT closes AND (next_us IS NOT NULL OR us + 21600000000 <= passed)"""
+    o["i2_asof_orders"] = """
+WITH e AS (
+ SELECT event_id, user_id, make_timestamp(788918400000000 + 80 * (epoch_us(ts) - 1704067200000000)) AS at FROM events
+), r AS (
+ SELECT o_custkey, o_orderdate, max(o_orderkey) AS o_orderkey, arg_max(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY 1, 2
+)
+SELECT event_id, user_id, o_orderkey, o_totalprice FROM e ASOF LEFT JOIN r ON e.user_id = r.o_custkey AND e.at >= r.o_orderdate"""
+    o["i3_incident_tickets"] = """
+WITH i AS (
+ SELECT event_id, ts AS begins, ts + to_minutes(CASE WHEN event_id % 250 = 0 THEN 28800 ELSE CAST(floor(value) AS BIGINT) END) AS ends
+ FROM events WHERE event_type = 'error'
+)
+SELECT i.event_id AS incident_id, count(*) AS n_tickets, min(e.event_id) AS first_ticket, max(e.event_id) AS last_ticket
+FROM i JOIN events e ON e.ts >= i.begins AND (e.ts < i.ends OR e.ts = i.begins) GROUP BY 1"""
+    o["i4_contact_gaps"] = """
+WITH c AS (SELECT event_id AS row_seq, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS customer_id, ts FROM events)
+SELECT row_seq, customer_id, row_number() OVER o AS contact_no, epoch_us(ts) - epoch_us(lag(ts) OVER o) AS gap_us
+FROM c WINDOW o AS (PARTITION BY customer_id ORDER BY ts, row_seq)"""
+    o["i5_ticket_cube"] = w(["norm"], """
+SELECT channel, status, priority, CAST(grouping(channel, status, priority) AS BIGINT) AS grouping_id, count(*) AS n, CAST(sum(length(body)) AS BIGINT) AS chars_sum,
+ avg(length(body)) AS chars_mean, min(length(body)) AS chars_min, max(length(body)) AS chars_max
+FROM norm GROUP BY CUBE (channel, status, priority)""")
+    o["i5_anomaly_rollup"] = w(["anom"], """
+SELECT CASE WHEN grouping(anomaly_type) = 1 THEN '(all)' ELSE coalesce(anomaly_type, '(none)') END AS anomaly_type,
+ CASE WHEN grouping(severity) = 1 THEN '(all)' ELSE coalesce(severity, '(none)') END AS severity,
+ CAST(grouping(anomaly_type, severity) AS BIGINT) AS grouping_id, count(*) AS n
+FROM anom GROUP BY ROLLUP (anomaly_type, severity)""")
+    o["i6_run_difference"] = w(["net_keys"], """
+SELECT ticket_id, CAST(more - least(more, fewer) AS BIGINT) AS n_added, CAST(fewer - least(more, fewer) AS BIGINT) AS n_removed,
+ CAST(least(more, fewer) AS BIGINT) AS n_changed FROM net_keys""")
+    o["i7_sketch_thresholds"] = w(["norm"], """
+SELECT channel, count(*) AS n, count(body) AS n_chars, true AS median_in_bound, true AS p95_in_bound, true AS customers_in_bound FROM norm GROUP BY channel""")
+    o["i8_replay"] = """
+WITH RECURSIVE t AS (
+ SELECT conv_id, turn, role, length(text) AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM conversations
+), r(conv_id, turn, k, step, turn_of_step, context_chars, trimmed) AS (
+ SELECT conv_id, turn, k, CASE WHEN role = 'user' THEN 1 ELSE 0 END, 1, size, size // 4 > 300 FROM t WHERE k = 1
+ UNION ALL
+ SELECT t.conv_id, t.turn, t.k, r.step + CASE WHEN t.role = 'user' THEN 1 ELSE 0 END, CASE WHEN t.role = 'user' THEN 1 ELSE r.turn_of_step + 1 END,
+  CASE WHEN (r.context_chars + t.size) // 4 > 300 THEN t.size ELSE r.context_chars + t.size END, (r.context_chars + t.size) // 4 > 300
+ FROM r JOIN t ON t.conv_id = r.conv_id AND t.k = r.k + 1
+)
+SELECT conv_id, turn, CAST(step AS BIGINT) AS step, CAST(turn_of_step AS BIGINT) AS turn_of_step, CAST(context_chars AS BIGINT) AS context_chars,
+ CAST(context_chars // 4 AS BIGINT) AS context_tokens, trimmed FROM r"""
+    o["i10_incremental_counts"] = """
+SELECT user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, count(*) >= 3 AS repeat_contact
+FROM events WHERE NOT (event_id % 10 < 9 AND event_id % 7 = 0) GROUP BY user_id"""
     return o
