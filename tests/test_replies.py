@@ -51,6 +51,15 @@ def test_classification_rejects(spark):
     assert ok(spark, r.CLASSIFICATION, *bad) == [False] * len(bad)
 
 
+def test_the_last_of_repeated_keys_counts(spark):
+    got = parse(spark, r.CLASSIFICATION, '{"category": "refund", "priority": "low", "confidence": 0.1, "category": "billing", "confidence": 0.9}',
+                '{"category": "billing", "priority": "low", "confidence": 0.9, "category": "refund"}')
+    assert got[1] is None and (got[0].category, got[0].confidence) == ("billing", 0.9)
+    full = json.dumps(FULL).replace('"product_names": ["a"]', '"product_names": [1], "product_names": ["b"]')
+    x, = parse(spark, r.ENRICHMENT, full[:-1] + ', "summary": "Later."}')
+    assert x.summary == "Later." and x.entities.product_names == ["b"]
+
+
 def test_refusal(spark):
     assert ok(spark, r.CLASSIFICATION, GOOD, stop="refusal") == [False]
     assert ok(spark, r.CLASSIFICATION, GOOD, stop=None) == [True]

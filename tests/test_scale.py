@@ -52,6 +52,18 @@ def test_bodies_stay_out_of_exchanges(spark, make_tickets, no_broadcast):
     assert wide_exchanges(enrich.merge_enrichment(t, results, contacts=True), "body") == 1
 
 
+def test_resume_moves_failed_rows_only(spark, make_tickets, no_broadcast, tmp_path):
+    none = spark.createDataFrame([], "row_seq long, ok boolean, sentiment string, sentiment_confidence double, summary string,"
+                                 " urgency_score double, urgency_reason string").withColumn("entities", enrich.no_entities())
+    t = normalize(make_tickets({}, {"customer_id": "c"}), "2024-02-01T00:00:00Z")
+    enrich.merge_enrichment(t, none, contacts=True).write.parquet(str(tmp_path / "prev"))
+    out = enrich.resume(spark.read.parquet(str(tmp_path / "prev")), none)
+    plan = out._sc._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert wide_exchanges(out, "body") == 1 and out.columns[-1] == "repeat_contact"
+    # the branch of the kept rows is a scan and a filter
+    assert re.search(r"Union \(\d+\)\n\s*:- Filter \(\d+\)\n\s*:\s+\+- Scan parquet", plan)
+
+
 def test_swapped_headers_fail_loudly(spark, tmp_path):
     (tmp_path / "1.csv").write_text("a,b\n1,2\n")
     (tmp_path / "2.csv").write_text("b,a\n1,2\n")

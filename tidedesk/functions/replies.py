@@ -124,9 +124,11 @@ def parse_replies(responses: DataFrame, contract: Contract, *, raw: str = "raw_t
                   stop: str = "stop_reason") -> DataFrame:
     """Replace the raw text by ``answered`` and ``reply`` (checked struct, or null).
 
-    One broken rule voids the reply. Done before any join, so the text itself is
-    never shuffled.
+    One broken rule voids the reply. Of a key that an object repeats the last value counts, for
+    which the session setting ``spark.sql.variant.allowDuplicateKeys`` is turned on. Done before
+    any join, so the text itself is never shuffled.
     """
+    responses.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     keep = [c for c in responses.columns if c != raw]
     parsed = (
         responses.withColumn("answered", reply_ok(F.col(raw), F.col(stop)))

@@ -87,15 +87,17 @@ def merge_enrichment(tickets: DataFrame, results: DataFrame, contacts: bool = Fa
 def resume(previous: DataFrame, results: DataFrame) -> DataFrame:
     """Apply ``results`` to the failed rows of an earlier output, keep the rest.
 
-    Only failed rows are joined. ``repeat_contact`` is computed again over all
-    rows. Write the outcome to a new path: Spark reads ``previous`` while it writes.
+    Only failed rows are joined. No customer can change, so ``repeat_contact`` is kept from
+    ``previous``; it is computed over all rows if that output lacks it. Write the outcome to
+    a new path: Spark reads ``previous`` while it writes.
     """
     columns = [c for c in previous.columns if c != "repeat_contact"]
+    known = ["repeat_contact"] if "repeat_contact" in previous.columns else []
     failed = F.coalesce(F.col("enrichment_failed"), F.lit(True))
-    kept = previous.filter(~failed).select(*columns)
-    again = previous.filter(failed).select(*columns)
-    redone = merge_enrichment(again, results).select(*columns)
-    return repeat_contact(kept.unionByName(redone))
+    kept = previous.filter(~failed).select(*columns, *known)
+    redone = merge_enrichment(previous.filter(failed), results).select(*columns, *known)
+    both = kept.unionByName(redone)
+    return both if known else repeat_contact(both)
 
 
 def entities_json(c: Column) -> Column:

@@ -482,6 +482,17 @@ def d4_parse_classification(spark, d):
                     "reply.confidence", F.col("reply").isNotNull().alias("ok"))
 
 
+@query
+def d4_repeated_keys(spark, d):
+    # every reply names each of its keys a second time, at first with values that are of no use
+    stale = F.lit('{"category": "stale", "priority": null, "confidence": [1], ')
+    text = F.when(F.col("raw_text").startswith("{"), F.concat(stale, F.expr("substring(raw_text, 2)"))).otherwise(F.col("raw_text"))
+    r = replies.parse_replies(stored_replies(spark, d, views.RESPONSES).withColumns({"raw_text": text, "stop_reason": F.lit("end_turn")}),
+                              replies.CLASSIFICATION)
+    return r.select("row_seq", F.col("tier").cast("long").alias("tier"), "reply.category", "reply.priority",
+                    "reply.confidence", F.col("reply").isNotNull().alias("ok"))
+
+
 @query
 def d5_refusals(spark, d):
     return stored_replies(spark, d, views.RESPONSES).filter(~replies.reply_ok(F.col("raw_text"), F.col("stop_reason"))).select(

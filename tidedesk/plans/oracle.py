@@ -331,6 +331,7 @@ FROM (SELECT row_seq, {prompt} AS prompt FROM norm WHERE {nonblank}) x""")
     o["d4_parse_classification"] = w(["fields"], f"""
 SELECT row_seq, CAST(tier AS BIGINT) AS tier, CASE WHEN ok THEN c END AS category, CASE WHEN ok THEN p END AS priority, CASE WHEN ok THEN round(f, 3) END AS confidence, ok
 FROM (SELECT *, {_GOOD} AS ok FROM fields) x""")
+    o["d4_repeated_keys"] = o["d4_parse_classification"]  # the last of repeated keys counts
     o["d5_refusals"] = w(["responses"], "SELECT row_seq, CAST(tier AS BIGINT) AS tier FROM responses WHERE stop_reason = 'refusal'")
     o["d7_merge_tiers"] = w(["merged"], "SELECT * FROM merged")
     o["d9_first_n"] = w(["tickets"], "SELECT row_seq, ticket_id FROM tickets ORDER BY row_seq LIMIT 25")
