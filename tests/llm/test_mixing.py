@@ -34,6 +34,36 @@ def test_odd_rows(spark, tuples):
     assert mixing.mix(spark.createDataFrame([], schema), {"a": 1.0}).count() == 0
 
 
+def test_unlisted_sources_share_a_weight(spark, tuples):
+    rows = [(i, "x" * 10, ("a", "wiki", None, "zero")[i % 4]) for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = {"a": 3.0, "zero": 0.0, "absent": 2.0}
+    out = mixing.mix(docs, weights, others=5.0).collect()
+    assert {r.source for r in out} == {"a", "wiki", None}
+    listed = sum(r.source == "a" for r in out) / len(out)
+    # the weight of a source without rows still counts, as it always has
+    assert abs(listed - 3 / (3 + 5)) < 0.03
+    rates = {r.source: (r.rows, r.mass, r.weight, round(r.rate, 6)) for r in mixing.rates(docs, weights, others=5.0).collect()}
+    total = 60_000
+    assert rates == {"a": (2000, 20_000, 3.0, round(3 / 10 * total / 20_000, 6)), None: (4000, 40_000, 5.0, round(5 / 10 * total / 40_000, 6)),
+                     "zero": (2000, 20_000, 0.0, 0.0)}
+    gone = mixing.rates(docs, weights).filter("rate = 0").collect()
+    assert sorted((str(r.source), r["rows"]) for r in gone) == [("None", 4000), ("zero", 2000)]
+    assert tuples(mixing.mix(docs.filter("source = 'wiki'"), weights, others=1.0).select("source").distinct(), "source") == [("wiki",)]
+
+
+def test_null_ids_are_not_one_key(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "a") for i in range(300)], "doc_id long, text string, source string")
+    out = mixing.mix(docs, {"a": 1.0})
+    assert out.select("shuffle_key").distinct().count() > 100 and out.select("text").distinct().count() < 300
+
+
+def test_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "x" * 3_000_000, "a"), (2, "y", "a"), (3, "z", "b")], "doc_id long, text string, source string")
+    rates = {r.source: r.mass for r in mixing.rates(docs, {"a": 1.0, "b": 1.0}).collect()}
+    assert rates == {"a": 3_000_001, "b": 1}
+
+
 def test_no_python_in_plan(spark, make_docs):
     plan = mixing.mix(make_docs((1, "a")), {"src1": 1.0})._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan.split("== Physical Plan ==")[1]

@@ -70,7 +70,18 @@ def test_repeated_and_null_ids(make_docs, tuples):
     assert got == [(3, 26, 3), (3, 26, 3), (7, 27, 3), (None, 1, None), (None, 26, 3)]
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
-    assert tuples(kept, "doc_id", "text") == [(3, text), (None, "other words"), (None, text)]
+    # rows without an id are judged like others: the copy without one goes, the unrelated one stays
+    assert tuples(kept, "doc_id", "text") == [(3, text), (None, "other words")]
+
+
+def test_keep_one_judges_rows_not_ids(make_docs, tuples):
+    a, b = "one two three four five six seven eight", "alpha beta gamma delta epsilon zeta eta theta"
+    kept = ngram_join.keep_one(make_docs((1, a), (1, b), (2, "some words of another kind altogether here")))
+    assert kept.count() == 3
+    rows = [(5, a), (4, a + " nine"), (4, b), (9, a), (None, b + " iota"), (None, "lone words stand here by themselves now"), (None, None), (None, None), (7, ""), (8, "")]
+    kept = ngram_join.keep_one(make_docs(*rows))
+    assert tuples(kept, "doc_id", "text") == sorted(
+        [(4, a + " nine"), (4, b), (None, "lone words stand here by themselves now"), (None, None), (7, ""), (8, "")], key=str)
 
 
 def test_empty_table(make_docs):

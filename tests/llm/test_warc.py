@@ -40,6 +40,25 @@ def test_empty_and_repeated_rows(spark, tmp_path, tuples):
     assert tuples(roles, "page_id", "record_type", "refers_to") == [(1, "response", None), (1, "response", None), (None, "revisit", 1)]
 
 
+def test_ids_repeated_with_other_payloads(spark, tmp_path, tuples):
+    a, b = "a" * 200, "b" * 300
+    pages = spark.createDataFrame([(1, "http://a/1", a, "c"), (1, "http://a/1", b, "c"), (2, "http://a/2", b, "c"), (2, None, "s", "c"), (None, None, b, "c"),
+                                   (None, None, "s", "c")], SCHEMA)
+    got = tuples(warc.resolve_revisits(warc.page_roles(warc.assemble(warc.measured(run(spark, pages, str(tmp_path / "w")))))),
+                 "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    sha = {t: hashlib.sha256(t.encode()).hexdigest() for t in (a, b, "s")}
+    assert got == sorted([(1, 200, sha[a], "response", None), (1, 300, sha[b], "response", None), (2, 300, sha[b], "revisit", 1), (2, 1, sha["s"], "response", None),
+                          (None, 300, sha[b], "revisit", 1), (None, 1, sha["s"], "response", None)], key=str)
+
+
+def test_a_very_long_page(spark, tmp_path, tuples):
+    long = "ü<p>" * 2_000_000
+    pages = spark.createDataFrame([(1, "u", long, "c"), (2, "u", long, "c")], SCHEMA)
+    got = tuples(warc.resolve_revisits(warc.page_roles(warc.assemble(warc.measured(run(spark, pages, str(tmp_path / "w")))))),
+                 "page_id", "payload_bytes", "record_type", "refers_to")
+    assert got == [(1, 10_000_000, "response", None), (2, 10_000_000, "revisit", 1)]
+
+
 def test_orphans_keep_a_row(spark):
     base = {"concurrent_to": None, "refers_to": None, "target_uri": None, "payload_digest": None, "http_header": None, "payload": b""}
     rows = [{**base, "record_id": "r1", "warc_type": "response"}, {**base, "record_id": "q2", "warc_type": "request", "concurrent_to": "r2"},

@@ -4,9 +4,10 @@ Every document gets a count from a Poisson distribution whose mean is the repeti
 source, by inverting the distribution at a hash of (seed, id), so that the counts depend on nothing
 but the row. The rate makes the expected share of a source equal to its weight.
 
-Defined cases: sources without a positive weight, and null sources, are left out; a source whose
-texts are all empty has rate 0; a null text weighs 0; rows that repeat an id get the same count each;
-a null id hashes as the word ``null``; an empty table stays empty. Other columns are kept; input
+Defined cases: documents of sources without a weight, and of none, form one group with the weight ``others``;
+where that is not given (None), they are left out, as are sources whose weight is not positive, and ``rates`` tells
+how many rows that is; a source whose texts are all empty has rate 0; a null text weighs 0; rows that repeat an id
+get the same count each; a null id hashes as the word ``null`` and the text; an empty table stays empty. Other columns are kept; input
 columns named ``copy`` or ``shuffle_key`` are replaced.
 """
 
@@ -25,22 +26,28 @@ def _hash_long(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("long")
 
 
-def repetition_rates(docs: DataFrame, weights: dict[str, float], epochs: float = 1.0) -> DataFrame:
-    """One row per weighted source: ``source, mass, rate``; mass is in code points.
+def _group(weights: dict[str, float]) -> Column:
+    """The source of a row, or null for all that have no weight of their own."""
+    return F.when(F.col("source").isin(list(weights)), F.col("source"))
 
-    Rates scale so that the expected mass of the mixture is ``epochs`` times that of the weighted
-    sources. At most ``len(weights)`` rows.
+
+def rates(docs: DataFrame, weights: dict[str, float], epochs: float = 1.0, others: float | None = None) -> DataFrame:
+    """One row per weighted source and one (null) for all others: ``source, rows, mass, weight, rate``; mass is in code points.
+
+    Rates scale so that the expected mass of the mixture is ``epochs`` times that of the sources with a positive weight. The weight of
+    the others counts only where there are such rows. At most ``len(weights) + 1`` rows; those of rate 0 are what leaves the mixture.
     """
-    table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair])
-    mass = (
-        docs.filter(F.col("source").isin(list(weights)))
-        .groupBy("source").agg(F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("mass"))
-        .withColumn("weight", table[F.col("source")]).filter("weight > 0")
-    )
-    every = Window.partitionBy(F.lit(1))  # over len(weights) rows at most
-    total, share = F.sum("mass").over(every), F.col("weight") / sum(w for w in weights.values() if w > 0)
-    rate = F.when(F.col("mass") > 0, share * total * F.lit(float(epochs)) / F.col("mass")).otherwise(F.lit(0.0))
-    return mass.select("source", "mass", rate.alias("rate"))
+    table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair]) if weights else F.create_map().cast("map<string,double>")
+    other = F.lit(float(others or 0.0))
+    grouped = docs.groupBy(_group(weights).alias("source")).agg(
+        F.count("*").alias("rows"), F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("mass"),
+    ).withColumn("weight", F.when(F.col("source").isNull(), other).otherwise(F.greatest(table[F.col("source")], F.lit(0.0))))
+    every = Window.partitionBy(F.lit(1))  # over len(weights) + 1 rows at most
+    used = F.when(F.col("weight") > 0, F.col("mass"))
+    total = F.sum(used).over(every)
+    weighed = F.lit(float(sum(w for w in weights.values() if w > 0))) + F.coalesce(F.max(F.when(F.col("source").isNull(), other)).over(every), F.lit(0.0))
+    rate = F.when((F.col("mass") > 0) & (F.col("weight") > 0), F.col("weight") / weighed * total * F.lit(float(epochs)) / F.col("mass"))
+    return grouped.select("source", "rows", "mass", "weight", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 
 def poisson_count(rate: Column, cdf: Column, seed: int, key: Column) -> Column:
@@ -67,18 +74,18 @@ def _cdf(rate: Column) -> Column:
         lambda s: s["a"])
 
 
-def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, epochs: float = 1.0) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, epochs: float = 1.0, others: float | None = None) -> DataFrame:
     """``docs`` with each row repeated by its count, in a global pseudo-random order.
 
     Adds ``copy`` (1, 2, ...) and ``shuffle_key``: rows are dealt to partitions by a hash of the key
-    and sorted by it within. The broadcast holds one row per weighted source.
+    and sorted by it within. The broadcast holds one row per weighted source and one for the others.
     """
     docs = docs.drop("copy", "shuffle_key")
-    rates = repetition_rates(docs, weights, epochs).select("source", "rate", _cdf(F.col("rate")).alias("cdf"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    packed = docs.select(F.struct(*docs.columns).alias("row"), key.alias("key"), "source")
+    table = rates(docs, weights, epochs, others).filter("rate > 0").select(F.col("source").alias("_group"), "rate", _cdf(F.col("rate")).alias("cdf"))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), key.alias("key"), _group(weights).alias("group"))
     count = F.when(F.col("rate") > 0, poisson_count(F.col("rate"), F.col("cdf"), seed, F.col("key"))).otherwise(F.lit(0))
-    counted = packed.join(F.broadcast(rates), "source").select("row", "key", count.alias("count")).filter("count > 0")
+    counted = packed.join(F.broadcast(table), F.col("group").eqNullSafe(F.col("_group"))).select("row", "key", count.alias("count")).filter("count > 0")
     copies = counted.select("row", "key", F.explode(F.sequence(F.lit(1), F.col("count"))).alias("copy"))
     keyed = copies.select(
         "row.*", "copy", _hash_long(F.lit(f"{seed}:order"), F.col("key"), F.col("copy").cast("string")).alias("shuffle_key"))

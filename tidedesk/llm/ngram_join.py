@@ -426,14 +426,21 @@ def join(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
-    """The document with the smallest id of each component, once, all columns as they were; rows without id stay."""
-    known = docs.filter(F.col("doc_id").isNotNull())
-    rows = join_rows(known, k, percent)
-    chosen = rows.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("c")).select(
-        F.col("c.doc_id").alias("id"), F.col("c.text_hash").alias("hash")).distinct()
-    packed = known.select(
-        F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
-    kept = packed.join(chosen, ["id", "hash"], "left_semi")
-    order = Window.partitionBy("id", "hash").orderBy("id")
-    once = kept.withColumn("copy", F.row_number().over(order)).filter("copy = 1")
-    return once.select("row.*").unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One document of each component, all columns as they were: that with the smallest id (a null id is the
+    largest; of equal ids that with the smaller row key).
+
+    Rows are judged by a key of their own, a hash of id and text, so rows that repeat an id with unrelated texts, or
+    have none, stay where nothing links them. Rows that repeat both are copies.
+    """
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text").isNull(), F.coalesce("text", F.lit("")))
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), key.alias("key"), "text")
+    rows = join_rows(keyed.select(F.col("key").alias("doc_id"), "text"), k, percent)
+    none = F.lit(None).cast("long")
+    # a sum over both tables instead of a join, so that copies of one row meet only after they are combined
+    both = rows.select(F.col("doc_id").alias("key"), "component_id", none.alias("id")).unionByName(
+        keyed.select("key", none.alias("component_id"), "id"))
+    named = both.groupBy("key").agg(F.max("component_id").alias("component_id"), F.min("id").alias("id"))
+    chosen = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("c")).select("c.key")
+    kept = keyed.select("row", "key").join(chosen, "key", "left_semi")
+    once = kept.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("key"))).filter("copy = 1")
+    return once.select("row.*")

@@ -39,12 +39,14 @@ def op1_warc_transactions(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Target shares: the hot source is held to 15 %, the others share the rest in three steps.
+#: Sources that the table does not name, and documents without one, share ``OTHERS_WEIGHT``.
 MIX_WEIGHTS = {"src0": 15.0, **{f"src{i}": (2.0, 4.0, 6.0)[i % 3] for i in range(1, 20)}}
+OTHERS_WEIGHT = 2.0
 
 
 @query
 def op3_mix_sources(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(table(spark, d, "documents"), MIX_WEIGHTS, seed=17)
+    return mixing.mix(table(spark, d, "documents"), MIX_WEIGHTS, seed=17, others=OTHERS_WEIGHT)
 
 
 @query

@@ -23,12 +23,16 @@ FROM f
 MIX_CTES = """
 WITH RECURSIVE weights(source, weight) AS (
   SELECT 'src' || i, CASE WHEN i = 0 THEN 15.0::DOUBLE ELSE (2 + 2 * (i % 3))::DOUBLE END FROM range(20) r(i)
+), grouped AS (
+  SELECT d.* EXCLUDE (source), d.source AS own, coalesce(w.source, '(others)') AS source, coalesce(w.weight, 2.0::DOUBLE) AS weight
+  FROM {docs} d LEFT JOIN weights w USING (source)
 ), mass AS (
-  SELECT d.source, sum(length(coalesce(d.text, '')))::BIGINT AS mass, any_value(w.weight) AS weight
-  FROM {docs} d JOIN weights w USING (source) GROUP BY d.source
+  SELECT source, sum(length(coalesce(text, '')))::BIGINT AS mass, any_value(weight) AS weight FROM grouped GROUP BY source
+), weighed AS (
+  SELECT (SELECT sum(weight) FROM weights) + CASE WHEN count(*) FILTER (source = '(others)') > 0 THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END AS total FROM mass
 ), rates AS (
   SELECT source, CASE WHEN mass > 0
-    THEN weight / (SELECT sum(weight) FROM weights) * (SELECT sum(mass)::BIGINT FROM mass)::DOUBLE * 1.0::DOUBLE / mass
+    THEN weight / (SELECT total FROM weighed) * (SELECT sum(mass)::BIGINT FROM mass)::DOUBLE * 1.0::DOUBLE / mass
     ELSE 0.0::DOUBLE END AS rate FROM mass
 ), chunked AS (
   SELECT source, rate, greatest(ceil(rate / 8), 1)::INTEGER AS n, rate / greatest(ceil(rate / 8), 1) AS mean FROM rates
@@ -37,18 +41,19 @@ WITH RECURSIVE weights(source, weight) AS (
   UNION ALL
   SELECT source, k + 1, p * mean / (k + 1), c + p * mean / (k + 1), mean FROM terms WHERE k < 47
 ), draws AS (
-  SELECT d.*, row_number() OVER () AS rid, c.n, c.rate FROM {docs} d JOIN chunked c USING (source)
+  SELECT d.*, coalesce(CAST(d.doc_id AS VARCHAR), 'null:' || md5(coalesce(d.text, ''))) AS k, row_number() OVER () AS rid, c.n, c.rate
+  FROM grouped d JOIN chunked c USING (source)
 ), hashed AS (
   SELECT x.rid, x.source,
-         ('0x' || substr(md5('17:' || coalesce(CAST(x.doc_id AS VARCHAR), 'null') || ':' || g.i), 1, 13))::BIGINT
+         ('0x' || substr(md5('17:' || x.k || ':' || g.i), 1, 13))::BIGINT
            / 4503599627370496.0::DOUBLE AS u
   FROM draws x, unnest(range(1, x.n + 1)) g(i)
   WHERE x.rate > 0
 ), counted AS (
   SELECT h.rid, count(t.k) AS cnt FROM hashed h LEFT JOIN terms t ON t.source = h.source AND t.c <= h.u GROUP BY h.rid
 ), mixed AS (
-  SELECT x.doc_id, x.text, x.lang, x.source, x.n_chars, CAST(g.i AS INTEGER) AS copy,
-         ('0x' || substr(md5('17:order:' || coalesce(CAST(x.doc_id AS VARCHAR), 'null') || ':' || g.i), 1, 13))::BIGINT AS shuffle_key
+  SELECT x.doc_id, x.text, x.lang, x.own AS source, x.n_chars, CAST(g.i AS INTEGER) AS copy,
+         ('0x' || substr(md5('17:order:' || x.k || ':' || g.i), 1, 13))::BIGINT AS shuffle_key
   FROM draws x JOIN counted n USING (rid), unnest(range(1, n.cnt + 1)) g(i)
 )
 """

@@ -5,7 +5,8 @@ A capture is three records: a ``response`` (or a ``revisit`` of an earlier equal
 
 Defined cases: a null payload is empty; a null URL has no target header; equal payloads of at
 least ``min_bytes`` bytes share one response, that of the smallest page id (every row that bears
-this id, if rows repeat); shorter payloads are always responses. A null page id is never the
+this id, if rows repeat); shorter payloads are always responses. A record's id depends on page id and
+payload, so rows that repeat an id with other payloads are captures of their own. A null page id is never the
 smallest unless all ids are null. Further input columns are ignored. An empty table gives an
 archive without records and an empty result.
 """
@@ -30,8 +31,8 @@ _TYPES = pa.schema([
 
 
 def _urn(kind: str, page_id: Column, digest: Column) -> Column:
-    """A record id that depends on the page alone, so that a revisit can name its response."""
-    h = F.sha2(F.concat_ws("|", F.lit(kind), F.coalesce(page_id.cast("string"), digest)), 256)
+    """A record id that depends on page id and payload alone, so that a revisit can name its response."""
+    h = F.sha2(F.concat_ws("|", F.lit(kind), F.coalesce(page_id.cast("string"), F.lit("null")), digest), 256)
     parts = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
@@ -48,7 +49,8 @@ def with_roles(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
     """Adds ``payload``, ``digest`` and ``first_id`` (null, or the page whose payload this repeats).
 
     Digests are counted before they are joined, and only repeated ones are joined; a digest that
-    many pages share lies on the side of the join that Spark can split.
+    many pages share lies on the side of the join that Spark can split. Payloads below ``min_bytes``
+    have nothing to join and are spread by page.
     """
     base = pages.select(
         "page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("payload"),
@@ -59,7 +61,9 @@ def with_roles(pages: DataFrame, min_bytes: int = 100) -> DataFrame:
         .agg(F.count("*").alias("_n"), F.min("page_id").alias("_first"))
         .filter("_n > 1").drop("_n")
     )
-    return base.join(firsts, F.col("digest") == F.col("_digest"), "left").select(
+    spread = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    key = F.when(F.octet_length("payload") >= min_bytes, F.col("digest")).otherwise(spread)
+    return base.withColumn("_key", key).join(firsts, F.col("_key") == F.col("_digest"), "left").select(
         "page_id", "url", "payload", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first")).alias("first_id"))
 
@@ -181,27 +185,29 @@ def measured(records: DataFrame) -> DataFrame:
 
 def page_roles(captures: DataFrame) -> DataFrame:
     """``capture_id, page_id, payload_bytes, payload_digest, record_type, original`` of each response or revisit
-    among assembled :func:`measured` records; a revisit has null bytes until its original is looked up."""
+    among assembled :func:`measured` records.
+
+    Of a response both are those of the stored payload; a revisit, which stores none, tells them in its own headers.
+    """
     stored = F.col("response.warc_type") == "response"
     page = F.regexp_extract(F.decode(F.col("metadata.payload"), "UTF-8"), r"page-id: (-?[0-9]+)", 1)
+    told = F.regexp_extract(F.decode(F.col("response.http_header"), "UTF-8"), r"(?i)\r\nContent-Length: ([0-9]+)", 1)
     return captures.filter(F.col("response").isNotNull()).select(
         "capture_id", F.when(page != "", page).cast("long").alias("page_id"),
-        F.when(stored, F.col("response.stored_bytes")).alias("payload_bytes"),
-        F.when(stored, F.col("response.stored_digest")).alias("payload_digest"),
+        F.when(stored, F.col("response.stored_bytes")).when(told != "", told.cast("long")).alias("payload_bytes"),
+        F.when(stored, F.col("response.stored_digest")).otherwise(
+            F.regexp_replace("response.payload_digest", "^sha256:", "")).alias("payload_digest"),
         F.col("response.warc_type").alias("record_type"), F.col("response.refers_to").alias("original"))
 
 
 def resolve_revisits(roles: DataFrame) -> DataFrame:
-    """Gives every revisit the size and digest of its original; ``roles`` should be a written table.
+    """Gives every revisit the page of its original; ``roles`` should be a written table.
 
     Only revisits are joined; an original with very many of them lies on the side that Spark can split.
     """
     responses = roles.filter("record_type = 'response'")
-    originals = responses.groupBy(F.col("capture_id").alias("_o")).agg(
-        F.min("page_id").alias("_page"), F.min("payload_bytes").alias("_bytes"), F.min("payload_digest").alias("_digest"))
+    originals = responses.groupBy(F.col("capture_id").alias("_o")).agg(F.min("page_id").alias("_page"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     revisits = roles.filter("record_type = 'revisit'").join(originals, F.col("original") == F.col("_o"), "left").select(
-        "page_id", F.col("_bytes").alias("payload_bytes"), F.col("_digest").alias("payload_digest"), "record_type",
-        F.col("_page").alias("refers_to"))
-    return responses.select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", F.lit(None).cast("long").alias("refers_to")
-    ).unionByName(revisits)
+        *columns, F.col("_page").alias("refers_to"))
+    return responses.select(*columns, F.lit(None).cast("long").alias("refers_to")).unionByName(revisits)
