@@ -34,8 +34,8 @@ def _group(weights: dict[str, float]) -> Column:
 def rates(docs: DataFrame, weights: dict[str, float], epochs: float = 1.0, others: float | None = None) -> DataFrame:
     """One row per weighted source and one (null) for all others: ``source, rows, mass, weight, rate``; mass is in code points.
 
-    Rates scale so that the expected mass of the mixture is ``epochs`` times that of the sources with a positive weight. The weight of
-    the others counts only where there are such rows. At most ``len(weights) + 1`` rows; those of rate 0 are what leaves the mixture.
+    Rates scale so that the expected mass of the mixture is ``epochs`` times that of the sources with a positive weight; weights of sources
+    without any text do not count. At most ``len(weights) + 1`` rows; those of rate 0 are what leaves the mixture.
     """
     table = F.create_map(*[F.lit(x) for pair in sorted(weights.items()) for x in pair]) if weights else F.create_map().cast("map<string,double>")
     other = F.lit(float(others or 0.0))
@@ -43,10 +43,9 @@ def rates(docs: DataFrame, weights: dict[str, float], epochs: float = 1.0, other
         F.count("*").alias("rows"), F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("long")).alias("mass"),
     ).withColumn("weight", F.when(F.col("source").isNull(), other).otherwise(F.greatest(table[F.col("source")], F.lit(0.0))))
     every = Window.partitionBy(F.lit(1))  # over len(weights) + 1 rows at most
-    used = F.when(F.col("weight") > 0, F.col("mass"))
-    total = F.sum(used).over(every)
-    weighed = F.lit(float(sum(w for w in weights.values() if w > 0))) + F.coalesce(F.max(F.when(F.col("source").isNull(), other)).over(every), F.lit(0.0))
-    rate = F.when((F.col("mass") > 0) & (F.col("weight") > 0), F.col("weight") / weighed * total * F.lit(float(epochs)) / F.col("mass"))
+    used = (F.col("mass") > 0) & (F.col("weight") > 0)
+    total, weighed = F.sum(F.when(used, F.col("mass"))).over(every), F.sum(F.when(used, F.col("weight"))).over(every)
+    rate = F.when(used, F.col("weight") / weighed * total * F.lit(float(epochs)) / F.col("mass"))
     return grouped.select("source", "rows", "mass", "weight", F.coalesce(rate, F.lit(0.0)).alias("rate"))
 
 

@@ -29,7 +29,7 @@ WITH RECURSIVE weights(source, weight) AS (
 ), mass AS (
   SELECT source, sum(length(coalesce(text, '')))::BIGINT AS mass, any_value(weight) AS weight FROM grouped GROUP BY source
 ), weighed AS (
-  SELECT (SELECT sum(weight) FROM weights) + CASE WHEN count(*) FILTER (source = '(others)') > 0 THEN 2.0::DOUBLE ELSE 0.0::DOUBLE END AS total FROM mass
+  SELECT sum(weight) AS total FROM mass WHERE mass > 0
 ), rates AS (
   SELECT source, CASE WHEN mass > 0
     THEN weight / (SELECT total FROM weighed) * (SELECT sum(mass)::BIGINT FROM mass)::DOUBLE * 1.0::DOUBLE / mass
