@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidedesk.llm import decontaminate, mixing, ngram_join, pii, toxicity
-from tidedesk.llm.queries import MIX_WEIGHTS
+from tidedesk.llm.queries import MIX_WEIGHTS, OTHERS_WEIGHT
 from tidedesk.session import materialize
 
 
@@ -37,8 +37,9 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are repeated to the target weights of their sources and shuffled."""
-    return mixing.mix(docs, MIX_WEIGHTS, seed=17)
+    """Documents are repeated to the target weights of their sources and shuffled; sources that the weights do not name
+    share one."""
+    return mixing.mix(docs, MIX_WEIGHTS, seed=17, others=OTHERS_WEIGHT)
 
 
 STAGES = [
@@ -53,10 +54,22 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages in order over ``documents``; the rows of the last."""
+def run_with_report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of the last stage, and a written table of what each stage took and gave per source:
+    ``stage, position, source, rows_in, rows_out``."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    report = None
+    for position, (name, stage) in enumerate(STAGES):
+        given, docs = docs, materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        sides = given.select("source", F.lit(1).alias("i"), F.lit(0).alias("o")).unionByName(
+            docs.select("source", F.lit(0).alias("i"), F.lit(1).alias("o")))
+        counts = sides.groupBy("source").agg(F.sum("i").alias("rows_in"), F.sum("o").alias("rows_out")).select(
+            F.lit(name).alias("stage"), F.lit(position).alias("position"), "source", "rows_in", "rows_out")
+        report = counts if report is None else report.unionByName(counts)
+    return docs, materialize(report, "pipeline-report")
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in order over ``documents``; the rows of the last."""
+    return run_with_report(spark, sf_dir)[0]
