@@ -33,6 +33,16 @@ def test_empty_files_have_no_rows(spark, tmp_path):
     assert [r.ticket_id for r in read_tickets(spark, str(tmp_path)).collect()] == ["1"]
 
 
+def test_one_header_needs_no_list_of_files(spark, tmp_path):
+    for i in range(5):
+        put(tmp_path, f"d{i}/{i}.csv", f"ticket_id,subject\n{i},x\n")
+    put(tmp_path, "empty.csv", "")
+    put(tmp_path, "other.txt", "ticket_id\n9\n")
+    df = read_tickets(spark, str(tmp_path))
+    assert [r.ticket_id for r in df.orderBy("row_seq").collect()] == list("01234")
+    assert "InMemoryFileIndex(1 paths)" in df._jdf.queryExecution().executedPlan().toString().split("Scan csv")[1]
+
+
 def test_no_files(spark, tmp_path):
     put(tmp_path, "readme.txt", "x")
     with pytest.raises(NoInputError):

@@ -25,6 +25,7 @@ from tidedesk.operators.budget import budget_cut
 from tidedesk.plans import views
 from tidedesk.schema import CATEGORIES, CHANNELS, MODEL_PRICES, PRICES, PRIORITIES, STATUSES, TICKET_COLUMNS
 from tidedesk.session import materialize, scratch_dir
+from tidedesk.sources import ranges
 from tidedesk.sources.sinks import append_rows, read_rows, replace_rows, report_json, write_by_channel, write_table
 from tidedesk.sources.tickets import NoInputError, null_tokens, read_tickets
 from tidedesk.streaming import lifecycles
@@ -908,6 +909,16 @@ def i8_replay(spark, d):
     return replay.replay(table(spark, d, "conversations"), 300)
 
 
+@query
+def i9_byte_ranges(spark, d):
+    raw = raw_tickets(spark, d).withColumnRenamed("row_seq", "src_seq")
+    path = scratch_dir(spark, "ranges")
+    raw.filter("status = 'open'").select("src_seq", "ticket_id", "customer_id", "channel", "status").write.options(**CSV).csv(f"{path}/one")
+    raw.filter("status <> 'open'").select("status", "ticket_id", "src_seq", "priority").write.options(**CSV).csv(f"{path}/two")
+    back = ranges.read_files(spark, path, split_bytes=1 << 20)
+    return back.select(F.col("src_seq").cast("long").alias("src_seq"), "ticket_id", "customer_id", "channel", "status", "priority")
+
+
 @query
 def i10_incremental_counts(spark, d):
     events = table(spark, d, "events").select("event_id", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))

@@ -524,6 +524,9 @@ WITH RECURSIVE t AS (
 )
 SELECT conv_id, turn, CAST(step AS BIGINT) AS step, CAST(turn_of_step AS BIGINT) AS turn_of_step, CAST(context_chars AS BIGINT) AS context_chars,
  CAST(context_chars // 4 AS BIGINT) AS context_tokens, trimmed FROM r"""
+    o["i9_byte_ranges"] = w(["tickets"], f"""
+SELECT row_seq AS src_seq, CASE WHEN ticket_id NOT IN ({NA}) THEN ticket_id END AS ticket_id, CASE WHEN status = 'open' THEN customer_id END AS customer_id,
+ CASE WHEN status = 'open' THEN channel END AS channel, status, CASE WHEN status <> 'open' AND priority NOT IN ({NA}) THEN priority END AS priority FROM tickets""")
     o["i10_incremental_counts"] = """
 SELECT user_id, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents, count(*) >= 3 AS repeat_contact
 FROM events WHERE NOT (event_id % 10 < 9 AND event_id % 7 = 0) GROUP BY user_id"""

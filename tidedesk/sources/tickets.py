@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
@@ -65,12 +66,12 @@ def null_tokens(df: DataFrame, tokens: list[str] = NA_TOKENS) -> DataFrame:
 
 
 def _scan(spark: SparkSession, head: tuple[str, ...], names: str | list[str], multi_line: bool,
-          pattern: str | None = None) -> DataFrame:
-    """Files of one header. Without grouping by header each task checks its own file's header and fails
-    if it is another (``pattern`` given)."""
+          pattern: str | None = None, check: bool = False) -> DataFrame:
+    """Files of one header: those of a list, or all below a folder that match ``pattern``. With ``check``
+    each task looks at its own file's header and fails if it is another."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in head])
     reader = spark.read.schema(schema).options(
-        header=True, enforceSchema=pattern is None, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
+        header=True, enforceSchema=not check, multiLine=multi_line, quote='"', escape='"', encoding="UTF-8")
     if pattern is not None:
         reader = reader.options(pathGlobFilter=pattern, recursiveFileLookup=True)
     rows = reader.csv(names)
@@ -95,7 +96,8 @@ def read_tickets(
 
     Files are grouped by their header and each group is read in one scan, because
     Spark binds CSV columns by position; the headers are found by a Spark job, and the
-    driver gets the distinct ones with their files. Columns a file lacks are null. Pass
+    driver gets the distinct ones, with their files if there are several (``sources.ranges``
+    needs no such list). Columns a file lacks are null. Pass
     ``columns`` when all files share that one header: then nothing is listed on the
     driver and a file with another header fails the read. Pass ``multi_line=False``
     when no cell contains a line break, and large files are split; otherwise a file is
@@ -117,14 +119,18 @@ def read_tickets(
     if size.b >= 1 << _FILE_BITS or size.n > 1 << _RANK_BITS:
         raise ValueError(f"row_seq cannot number {size.n} files of up to {size.b} bytes")
     if columns is not None:
-        every = _scan(spark, tuple(columns), path, multi_line, pattern)
+        every = _scan(spark, tuple(columns), path, multi_line, pattern, check=True)
     else:
-        groups = known.filter(F.size("head") > 0).groupBy("head").agg(F.collect_list("name").alias("names")).collect()
-        if not groups:
+        filled = known.filter(F.size("head") > 0)
+        heads = [tuple(r["head"]) for r in filled.groupBy("head").agg(F.min("name").alias("name")).orderBy("name").collect()]
+        if not heads:
             raise NoInputError(f"every file below {path} is empty")
-        every, *rest = [_scan(spark, tuple(g["head"]), g["names"], multi_line) for g in sorted(groups, key=lambda g: min(g["names"]))]
-        for more in rest:
-            every = every.unionByName(more, allowMissingColumns=True)
+        if len(heads) == 1:  # empty files have no rows under any header
+            every = _scan(spark, heads[0], path, multi_line, pattern)
+        else:
+            parts = [_scan(spark, h, [r["name"] for r in filled.filter(F.col("head") == F.array(*map(F.lit, h))).select("name").collect()], multi_line)
+                     for h in heads]
+            every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     # ranks without one window over all files: files of a folder are ranked, folders follow one another
     folder = F.regexp_extract("name", r"^(.*)/", 1)
     named = known.select("name", "uri", folder.alias("_folder"))
