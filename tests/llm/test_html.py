@@ -61,3 +61,66 @@ def test_boxes_that_recur_in_articles_go():
     copies = [f"<article><h1>{i}</h1><div>The whole story stands here</div></article>" for i in range(4)]
     shared = set.intersection(*[set(html.subtree_hashes(html.parse(c)).values()) for c in copies])
     assert html.main_text(copies[2], shared) == "2 The whole story stands here"
+
+
+def site(hosts=3, pages=9):
+    """Pages without article markup: menus whose links differ, a box on some pages, own text."""
+    rows = []
+    for h in range(hosts):
+        for i in range(pages):
+            menu = "".join(f"<li><a href='/{i}-{k}'>Go to {i} {k}</a></li>" for k in range(2 + i % 3))
+            box = f"<section class='k'>Season notice of {h}</section>" if i < 4 else "<section class='k'>Only here {i}</section>"
+            rows.append((h * 100 + i, f"http://h{h}.org/{i}", f"<body><div class='m'><ul>{menu}</ul></div><p>Own text {h} {i}</p>{box}</body>"))
+    return [*rows, *rows[:5], (900, None, None), (901, "http://h0.org/x", "")]
+
+
+def test_counting_against_brute_force(spark):
+    rows = site()
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    seen = {}
+    for _, url, source in set((None, u.split("/")[2], s) for _, u, s in rows if u and s):
+        for hs in html.all_hashes(html.parse(source)).values():
+            for h in hs:
+                seen.setdefault((url, h), set()).add(source)
+    want = {k for k, pages in seen.items() if len(pages) >= html.MIN_PAGES}
+    got = {(r.host, r.subtree) for r in html.site_templates(html.page_subtrees(df)).collect()}
+    assert got == want and len(want) > 6
+
+
+@pytest.mark.parametrize("limit", [html.BROADCAST_ROWS, -1])
+def test_templates_decide_without_article_markup(spark, tuples, monkeypatch, limit):
+    monkeypatch.setattr(html, "BROADCAST_ROWS", limit)
+    df = spark.createDataFrame(site(), "page_id long, url string, html string")
+    out = html.extract(df)
+    assert out.columns == ["page_id", "url", "text", "n_chars"] and out.count() == len(site())
+    got = dict(tuples(out, "page_id", "text"))
+    assert got[102] == "Own text 1 2" and got[108] == "Own text 1 8 Only here {i}" or got[108] == "Own text 1 8"
+    assert got[900] == "" and got[901] == ""
+    assert html.main_text(site()[2][2]).startswith("Go to 2 0")
+
+
+def test_what_recurs_does_not_depend_on_the_size_of_the_host(spark, tuples):
+    box = "<div class='k'>Notice of the season</div>"
+    rows = [(i, f"http://big.org/{i}", f"<body><p>Own {i}</p>{box if i < 5 else ''}</body>") for i in range(400)]
+    got = dict(tuples(html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")), "page_id", "text"))
+    assert got[3] == "Own 3" and got[399] == "Own 399"
+
+
+def test_names_count_as_a_whole():
+    page = ("<article><h1>T</h1><div class='share-price-table'><p>Prices</p></div><section id='search-theory'><p>Theory</p></section>"
+            "<div class='share-buttons'>Share</div><div class='box cookie_bar'>Cookies</div><div id='related-posts-2'>More</div></article>")
+    assert html.main_text(page) == "T Prices Theory"
+
+
+def test_one_article_by_its_text():
+    page = "<article class='teaser'>Short teaser</article><article><p>The long story</p><article>with a part</article></article><article>Another</article>"
+    assert html.main_text(page) == "The long story with a part"
+
+
+def test_menus_are_told_by_shape():
+    def page(i):
+        menu = "".join(f"<li class='x'><a href='/{i}{k}'>Link {i} {k}</a></li>" for k in range(3 + i))
+        return f"<body><div><ul>{menu}</ul></div><p>Story {i} with <a href='#'>a link</a></p></body>"
+
+    shared = set.intersection(*[{h for hs in html.all_hashes(html.parse(page(i))).values() for h in hs} for i in range(4)])
+    assert html.main_text(page(9), shared) == "Story 9 with a link"
