@@ -23,15 +23,37 @@ def kept(hashes, w):
 @pytest.mark.parametrize("k,w", [(3, 4), (2, 1), (5, 8)])
 def test_selection_against_definition(spark, k, w):
     docs = spark.createDataFrame([*texts(k), (200, None), (201, " "), (202, "a"), (203, "a " * 90)], "doc_id long, text string")
-    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
-    grams = F.when(F.size("w") >= k, F.transform(F.sequence(F.lit(0), F.size("w") - k), lambda i: F.xxhash64(*[F.get("w", i + j) for j in range(k)]))
-                   ).when(F.size("w") > 0, F.array(F.xxhash64(F.array_join("w", " ")))).otherwise(F.array().cast("array<bigint>"))
+    words = F.transform(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), ""), lambda x: F.xxhash64(x))
     df = winnow.with_fingerprint(docs, "text", "f", k, w).withColumn("w", words)
-    for r in df.select(winnow.as_string(F.col("f")).alias("s"), grams.alias("g")).collect():
-        hashes = [(h % 2**64) >> 21 for h in r.g]
+    rows = df.select(winnow.as_string(F.col("f")).alias("s"), "w").collect()
+
+    def polynomial(run):
+        """Each word's hash turned left by the number of words after it."""
+        out = 0
+        for j, h in enumerate(run):
+            n, h = (len(run) - 1 - j) % 64, h % 2**64
+            out ^= (h << n | h >> (64 - n)) % 2**64 if n else h
+        return out - 2**64 if out >= 2**63 else out
+
+    raw = [[polynomial(r.w[i:i + k]) for i in range(len(r.w) - k + 1)] if len(r.w) >= k else [polynomial(r.w)] if r.w else [] for r in rows]
+    flat = spark.createDataFrame([(x,) for x in {h for g in raw for h in g}], "x long").select("x", F.xxhash64("x").alias("m"))
+    mixed = {r.x: (r.m % 2**64) >> 1 for r in flat.collect()}
+    for r, g in zip(rows, raw, strict=True):
+        hashes = [mixed[h] for h in g]
         assert r.s == ",".join(f"{hashes[i]:x}:{i}" for i in kept(hashes, w))
 
 
+def test_positions_of_a_very_long_text(spark):
+    """Beyond 2**20 words: positions are whole and ties still go to the right."""
+    n = 2**20 + 40
+    docs = spark.range(1).select(F.lit(1).alias("doc_id"), F.array_join(F.concat(
+        F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.concat(F.lit("w"), i.cast("string"))), F.array_repeat(F.lit("same"), 30)), " ").alias("text"))
+    last = winnow.with_fingerprint(docs, "text", "f").select(F.slice(F.transform("f", lambda v: -v["p"]), -40, 40).alias("p"), F.size("f").alias("n")).first()
+    assert last.p == sorted(last.p) and last.p[-1] == n + 30 - winnow.K and last.p[0] > 2**20 - 400 and last.n > n / winnow.W
+    tail = [p for p in last.p if p >= n]
+    assert tail == list(range(min(tail), n + 30 - winnow.K + 1))
+
+
 def test_edits_and_neighbours(make_docs):
     docs = dict(texts(9)) | {300: "", 301: "x", 302: "one two three four five six seven eight nine ten", 303: "one two three four five six seven eight nine ten"}
     got = {r.doc_id: r for r in winnow.compare_with_edits(make_docs(*docs.items())).collect()}
@@ -69,6 +91,17 @@ def test_odd_rows(make_docs):
     assert result((5, "abc"), (5, "abc"), (1, "xyz")) == sorted([(1, 3, sha("xya")), (5, 3, sha("aba")), (5, 3, sha("abx"))], key=str)
 
 
+def test_null_ids_are_dealt_by_text(make_docs, spark):
+    pairs = [(None, f"text number {i} of many") for i in range(60)] + [(i, f"known {i}") for i in range(10)]
+    dealt = winnow.with_next(make_docs(*pairs))
+    assert dealt.filter("doc_id is null and not guest").select("bucket").distinct().count() > 8
+    order = [t for _, t in sorted(((-i, t) for i, t in pairs if i is not None))]
+    hashed = spark.createDataFrame([(t,) for i, t in pairs if i is None], "t string").orderBy(F.xxhash64("t")).collect()
+    order += [r.t for r in hashed]
+    want = sorted(hashlib.sha256((t[:len(t) - len(t) // 3] + n[:len(t) // 3]).encode()).hexdigest() for t, n in zip(order, [*order[1:], order[0]], strict=True))
+    assert sorted(r.edited_sha256 for r in winnow.compare_with_edits(make_docs(*pairs)).collect()) == want
+
+
 def test_no_python_in_plan(make_docs):
     plan = winnow.compare_with_edits(make_docs((1, "a b"), (2, "c")))._jdf.queryExecution().toString()
     assert "Python" not in plan and "ArrowEval" not in plan

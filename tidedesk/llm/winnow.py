@@ -1,17 +1,14 @@
 """Document fingerprints by winnowing word k-grams; DataFrame functions only.
 
-Every run of ``k`` words has a hash; in every window of ``w`` such hashes the smallest is kept, the
+Every run of ``k`` words has a rolling hash: the cyclic polynomial of its words' hashes, in which a step to the next run
+turns all bits and takes one word out and one in, here for all runs of a text at once. In every window of ``w`` such hashes the smallest is kept, the
 rightmost one if several are equal. Two texts that share ``w + k - 1`` words in a row share a kept
 hash. A fingerprint lists the kept hashes with their word positions: ``hash:position``, in hex and
-decimal, comma-joined in order of position.
-
-Hashes and positions live in one long, 43 bits of hash above 20 bits that fall as the position
-rises, so that a plain minimum settles ties. (Positions count modulo 2**20 there: only equal hashes
-on either side of such a step, in texts of more than a million words, would be ordered otherwise.)
+decimal, comma-joined in order of position. Hashes have 63 bits and positions are those of the whole text, however long.
 
 Defined cases: a null or empty text has no words and an empty fingerprint; a text of fewer than ``k``
 words is one gram, one of fewer than ``w`` grams is one window. Two empty fingerprints are alike (1),
-an empty and another are not (0).
+an empty and another are not (0). Rows without an id are neighbours in the order of a hash of their text and dealt by it.
 """
 
 from __future__ import annotations
@@ -21,11 +18,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidedesk.session import materialize
 
 K, W = 5, 8
-_LOW = (1 << 20) - 1
+
+
+def _turned(h: Column) -> Column:
+    """The bits of a long turned left by one."""
+    return F.shiftleft(h, 1).bitwiseOR(F.shiftrightunsigned(h, 63))
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
-    """Adds ``out``: the packed kept hashes of the column ``text``, ascending by position.
+    """Adds ``out``: the kept ``(h, p)`` of the column ``text``, hash and negated position, in order of position.
 
     Window minima come from ``log2(w)`` steps over the array, each twice as wide; ``w`` is a power of two.
     """
@@ -34,15 +35,18 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W)
     t, g = f"_{out}_words", f"_{out}_grams"
     df = df.withColumn(t, F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), ""))
     n = F.size(t)
-
-    def packed(h: Column, i: Column) -> Column:
-        return F.shiftleft(F.shiftrightunsigned(h, 21), 20).bitwiseOR(F.lit(_LOW) - i % F.lit(_LOW + 1))
-
-    grams = F.transform(
-        F.sequence(F.lit(0), n - k), lambda i: packed(F.xxhash64(*[F.get(t, i + j) for j in range(k)]), i.cast("long")))
-    whole = F.array(packed(F.xxhash64(F.array_join(t, " ")), F.lit(0).cast("long")))
-    none = F.array().cast("array<bigint>")
-    df = df.withColumn(g, F.when(n >= k, grams).when(n > 0, whole).otherwise(none)).drop(t)
+    df = df.withColumn(t, F.transform(t, lambda word: F.xxhash64(word))).withColumn(g, F.col(t))
+
+    def gram(h: Column, i: Column) -> Column:
+        # a cyclic polynomial leaves its bits unevenly mixed, and minima need them even; the position settles ties
+        return F.struct(F.shiftrightunsigned(F.xxhash64(h), 1).alias("h"), (-i).alias("p"))
+
+    for j in range(1, k):
+        size = F.greatest(n - j, F.lit(0))
+        df = df.withColumn(g, F.zip_with(F.slice(g, 1, size), F.slice(t, j + 1, size), lambda a, b: _turned(a).bitwiseXOR(b)))
+    whole = F.aggregate(t, F.lit(0).cast("long"), lambda a, b: _turned(a).bitwiseXOR(b))
+    few_words = F.when(n > 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
+    df = df.withColumn(g, F.transform(F.when(n >= k, F.col(g)).otherwise(few_words), gram)).drop(t)
     few = f"_{out}_few"
     df = df.withColumn(few, F.when((F.size(g) > 0) & (F.size(g) < w), F.array(F.array_min(g))))
     step = 1
@@ -51,18 +55,19 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W)
         size = F.greatest(F.size(g) - step, F.lit(0))
         df = df.withColumn(g, F.zip_with(F.slice(g, 1, size), F.slice(g, step + 1, size), lambda a, b: F.least(a, b)))
         step *= 2
-    return df.withColumn(out, F.coalesce(few, F.array_distinct(g))).drop(g, few)
+    # windows that follow each other keep the same place or a later one
+    once = F.filter(g, lambda x, i: (i == 0) | (x["p"] != F.get(g, i - 1)["p"]))
+    return df.withColumn(out, F.coalesce(few, once)).drop(g, few)
 
 
-def as_string(packed: Column) -> Column:
-    """``hash:position`` list of a fingerprint of at most 2**20 words; longer texts show positions modulo that."""
-    one = F.transform(packed, lambda v: F.concat(
-        F.lower(F.hex(F.shiftright(v, 20))), F.lit(":"), (F.lit(_LOW) - v.bitwiseAND(F.lit(_LOW))).cast("string")))
+def as_string(kept: Column) -> Column:
+    """``hash:position`` list of a fingerprint."""
+    one = F.transform(kept, lambda v: F.concat(F.lower(F.hex(v["h"])), F.lit(":"), (-v["p"]).cast("string")))
     return F.array_join(one, ",")
 
 
-def kept_hashes(packed: Column) -> Column:
-    return F.array_distinct(F.transform(packed, lambda v: F.shiftright(v, 20)))
+def kept_hashes(kept: Column) -> Column:
+    return F.array_distinct(F.transform(kept, lambda v: v["h"]))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -77,24 +82,27 @@ def with_next(docs: DataFrame, per_partition: int = 4) -> DataFrame:
     Ranges come from approximate quantiles, four per shuffle partition. The row with the largest id
     of a range also stands as a guest at the end of the range above (that of the highest range at the
     end of the lowest), so that a row's successor in descending order is always in its own bucket and
-    the texts cross one shuffle. Null ids come last, in a bucket of their own.
+    the texts cross one shuffle. Null ids come last, dealt by a hash of their text.
     """
     spark = docs.sparkSession
     n = per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     cuts = base.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("c")).first()["c"] or []
     bounds = F.array(*[F.lit(c).cast("long") for c in sorted(set(cuts))]).cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), -1).otherwise(F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))))
-    tops = base.select("doc_id", bucket.alias("bucket")).groupBy("bucket").agg(F.max("doc_id").alias("top"))
+    # rows without an id follow in the order of their text's hash, cut into as many even ranges of it
+    code = F.xxhash64("text")
+    lot = F.least(F.floor((code / F.lit(2.0 ** 64) + 0.5) * n), F.lit(n - 1)).cast("int")
+    bucket = F.when(F.col("doc_id").isNull(), -1 - lot).otherwise(F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))))
+    tops = base.select("doc_id", F.when(F.col("doc_id").isNull(), code).alias("code"), bucket.alias("bucket")).groupBy("bucket").agg(
+        F.max("doc_id").alias("top"), F.min("code").alias("code"))
     rows = sorted(materialize(tops, "winnow-tops").collect(), key=lambda r: r["bucket"])  # one per bucket
-    hosts = [(r["top"], rows[(i + 1) % len(rows)]["bucket"]) for i, r in enumerate(rows)]
-    host = F.lit(None).cast("int")
-    if hosts:
-        table = F.create_map(*[F.lit(x) for top, b in hosts if top is not None for x in (top, b)]) if any(t is not None for t, _ in hosts) else None
-        null_host = next((F.lit(b) for top, b in hosts if top is None), F.lit(None)).cast("int")
-        host = F.when(F.col("doc_id").isNull(), null_host)
-        if table is not None:
-            host = host.otherwise(table[F.col("doc_id")])
+    hosts = [(r["top"], r["code"], rows[(i + 1) % len(rows)]["bucket"]) for i, r in enumerate(rows)]
+
+    def looked_up(pairs: list[tuple[int, int]], c: Column) -> Column:
+        return F.create_map(*[F.lit(x) for pair in pairs for x in pair])[c] if pairs else F.lit(None).cast("int")
+
+    host = F.when(F.col("doc_id").isNull(), looked_up([(h, b) for t, h, b in hosts if t is None], code)).otherwise(
+        looked_up([(t, b) for t, h, b in hosts if t is not None], F.col("doc_id")))
     seats = F.array_compact(F.array(
         F.struct(bucket.cast("int").alias("bucket"), F.lit(False).alias("guest")),
         F.when(host.isNotNull(), F.struct(host.alias("bucket"), F.lit(True).alias("guest")))))
