@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +101,18 @@ def test_history(make_tickets):
     t = t.withColumn("created_at", F.to_timestamp("created_at"))
     r, = a.customer_history(t, "2024-01-20 00:00:00").collect()
     assert (r.prior_tickets, r.open_tickets, r.closed_tickets, r.pending_tickets, r.days_since_contact) == (2, 1, 1, 0, 10)
+
+
+def test_status_in_effect(spark):
+
+    t = lambda s: None if s is None else dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    moments = spark.createDataFrame([(i, k, t(s), "x") for i, (k, s) in enumerate(
+        [("a", 5), ("a", 10), ("a", 11), ("a", 99), ("b", 1), ("zz", 1), (None, 1), ("a", None), ("b", 50)])],
+        "moment_id long, ticket_id string, at timestamp, new_status string")
+    updates = spark.createDataFrame([(1, "a", t(10), "pending"), (2, "a", t(10), "closed"), (3, "a", t(20), "reopened"), (4, "b", t(40), None), (5, None, t(0), "open")],
+                                    "call_id long, ticket_id string, at timestamp, new_status string")
+    tickets = spark.createDataFrame([("a", "open", 1), ("b", "closed", 1), ("b", "pending", 2), (None, "open", 3)], "ticket_id string, status string, row_seq long")
+    out = a.status_at(moments, updates, tickets)
+    assert out.columns == ["moment_id", "ticket_id", "at", "new_status", "status"]
+    assert [r.status for r in out.orderBy("moment_id").collect()] == ["open", "closed", "closed", "closed", "pending", None, None, None, "pending"]
+    assert a.status_at(moments.limit(0), updates, tickets).count() == 0

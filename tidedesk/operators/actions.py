@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidedesk.operators.keyed import attach_by_key
+from tidedesk.operators.ordered import asof_join
 from tidedesk.operators.quality import as_of_literal
 from tidedesk.operators.scoring import tally
 from tidedesk.schema import STATUSES, TOOL_ARGUMENTS, TOOL_CHOICES, TRIM_MARKER
@@ -116,6 +117,23 @@ def apply_status(tickets: DataFrame, actions: DataFrame) -> DataFrame:
     ).drop("_new")
 
 
+def status_at(moments: DataFrame, updates: DataFrame, tickets: DataFrame) -> DataFrame:
+    """``moments`` with the status in effect then: that of the ticket's last update not later, else the ticket's first status.
+
+    ``moments`` (moment_id unique, ticket_id, at), ``updates`` (call_id, ticket_id, at, new_status): of updates at one time
+    the one with the largest ``call_id`` holds; those to another status than ``STATUSES`` never took effect. ``tickets``
+    (ticket_id, status), of a repeated id the row with the largest ``row_seq``. A moment without ticket or time, or of an
+    unknown ticket without updates, gets null. One ticket may hold any share of moments and updates.
+    """
+    valid = updates.filter(F.col("new_status").isin(STATUSES)).select(
+        F.col("ticket_id").alias("_t"), F.col("at").alias("_at"), "call_id", F.col("new_status").alias("_new"))
+    found = asof_join(moments, valid, "ticket_id", "at", "_at", ["_new"], right_key="_t", right_seq="call_id", left_id="moment_id")
+    first = tickets.filter(F.col("ticket_id").isNotNull()).groupBy("ticket_id").agg(F.max_by("status", "row_seq").alias("_first"))
+    both = attach_by_key(found, "ticket_id", first, ["_first"], spread="moment_id")
+    status = F.when(F.col("at").isNotNull(), F.coalesce("_new", "_first"))
+    return both.select(*moments.columns, status.alias("status"))
+
+
 def cap_steps(calls: DataFrame, limit: int = MAX_STEPS) -> DataFrame:
     """Calls in the first ``limit`` steps of each anomaly.
 
@@ -181,15 +199,16 @@ def journal(calls: DataFrame, steps: DataFrame | None = None) -> DataFrame:
 
     ``steps`` (anomaly_id, step, stop_reason) adds the steps without a call, whose tool is null.
     """
-    first = calls.groupBy("anomaly_id", "step").agg(
-        F.min_by("tool", "pos").alias("tool_called"),
-        F.min_by("call_id", "pos").alias("tool_use_id"),
-        F.min_by("stop_reason", "pos").alias("_called_stop"),
-    )
+    key = ["anomaly_id", "step"]
     if steps is None:
-        return first.withColumnRenamed("_called_stop", "stop_reason")
-    return steps.select("anomaly_id", "step", "stop_reason").join(first, ["anomaly_id", "step"], "full").select(
-        "anomaly_id", "step", "tool_called", "tool_use_id", F.coalesce("stop_reason", "_called_stop").alias("stop_reason"))
+        both = calls.select(*key, "pos", "tool", "call_id", "stop_reason", F.lit(None).cast("string").alias("_own"))
+    else:
+        # one aggregate over both tables, so that neither is joined; nothing is null but the columns of the other
+        both = calls.select(*key, "pos", "tool", "call_id", "stop_reason").unionByName(
+            steps.select(*key, F.col("stop_reason").alias("_own")), allowMissingColumns=True)
+    return both.groupBy(*key).agg(
+        F.min_by("tool", "pos").alias("tool_called"), F.min_by("call_id", "pos").alias("tool_use_id"),
+        F.coalesce(F.max("_own"), F.min_by("stop_reason", "pos")).alias("stop_reason"))
 
 
 def action_summary(calls: DataFrame, anomalies: DataFrame, truncations: DataFrame | None = None) -> DataFrame:

@@ -747,6 +747,17 @@ def g4_apply_status(spark, d):
     return act.apply_status(tickets(spark, d), act.gate(ran(spark, d))[0]).select("row_seq", "ticket_id", "status")
 
 
+@query
+def g4_status_at(spark, d):
+    events = table(spark, d, "events").select(
+        "event_id", "event_type", F.col("ts").cast("timestamp").alias("at"),
+        F.expr("concat('00000000-0000-4000-8000-', lpad(CAST(CASE WHEN event_id % 3 = 0 THEN 6 ELSE event_id % 500 END AS VARCHAR(20)), 12, '0'))").alias("ticket_id"),
+        F.expr("CASE event_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'pending' WHEN 2 THEN 'closed' ELSE 'reopened' END").alias("new_status"))
+    updates = events.filter("event_type = 'purchase'").withColumnRenamed("event_id", "call_id")
+    moments = events.filter("event_type = 'error'").select(F.col("event_id").alias("moment_id"), "ticket_id", "at")
+    return act.status_at(moments, updates, tickets(spark, d)).select("moment_id", "ticket_id", "status")
+
+
 @query
 def g5_cap_steps(spark, d):
     return act.cap_steps(calls(spark, d)).select("call_id", "anomaly_id", "step")

@@ -204,6 +204,10 @@ FROM chosen WHERE body IS NULL""")
 cte("anom", ["scored", "statonly"], "SELECT * FROM scored UNION ALL SELECT * FROM statonly")
 
 # Actions
+cte("status_changes", ["norm"], """
+SELECT event_id, event_type, ts,
+ concat('00000000-0000-4000-8000-', lpad(CAST(CASE WHEN event_id % 3 = 0 THEN 6 ELSE event_id % 500 END AS VARCHAR(20)), 12, '0')) AS ticket_id,
+ CASE event_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'pending' WHEN 2 THEN 'closed' ELSE 'reopened' END AS new_status FROM events""")
 cte("second_run", ["flagged"], """
 SELECT ticket_id, channel, CASE WHEN row_seq % 41 = 5 THEN 'closed' ELSE status END AS status, priority, quality_flags
 FROM flagged, unnest(range(CASE WHEN row_seq % 40 = 3 THEN 0 WHEN row_seq % 43 = 7 THEN 2 ELSE 1 END)) t(k)""")
@@ -440,6 +444,12 @@ SELECT customer_id, count(*) AS prior_tickets, count(*) FILTER (status = 'open')
  count(*) FILTER (status = 'pending') AS pending_tickets, date_diff('day', max(created_at), {AS_OF}) AS days_since_contact
 FROM norm WHERE customer_id IS NOT NULL AND coalesce(created_at <= {AS_OF}, true) GROUP BY customer_id""")
     o["g4_apply_status"] = w(["norm", "updates"], "SELECT n.row_seq, n.ticket_id, coalesce(u.new_status, n.status) AS status FROM norm n LEFT JOIN updates u ON n.ticket_id = u.ticket_id")
+    o["g4_status_at"] = w(["status_changes"], """
+SELECT m.event_id AS moment_id, m.ticket_id, coalesce(u.new_status, f.status) AS status FROM status_changes m
+ASOF LEFT JOIN (SELECT ticket_id, ts, arg_max(new_status, event_id) AS new_status FROM status_changes WHERE event_type = 'purchase' AND new_status <> 'reopened'
+ GROUP BY 1, 2) u ON m.ticket_id = u.ticket_id AND m.ts >= u.ts
+LEFT JOIN (SELECT ticket_id, arg_max(status, row_seq) AS status FROM norm GROUP BY 1) f ON f.ticket_id = m.ticket_id
+WHERE m.event_type = 'error'""")
     o["g5_cap_steps"] = w(["calls"], "SELECT call_id, anomaly_id, step FROM (SELECT *, dense_rank() OVER (PARTITION BY anomaly_id ORDER BY step) AS r FROM calls) x WHERE r <= 10")
     o["g6_estimate_tokens"] = "SELECT conv_id, CAST(sum(length(text)) // 4 AS BIGINT) AS estimated_tokens FROM conversations GROUP BY conv_id"
     o["g7_trim_context"] = """
