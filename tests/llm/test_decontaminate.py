@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from tidedesk.llm import decontaminate
@@ -72,3 +73,68 @@ def test_proximity(spark, make_docs, tuples):
 def test_no_python_in_plan(spark, make_docs):
     plan = decontaminate.scan(make_docs(*DOCS), items(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def brute_near(docs, items, width, slop):
+    windows = {tuple(w[a:a + min(width, len(w))]) for _, t in items for w in [words(t)] if w for a in range(max(len(w) - width, 0) + 1)}
+    out = []
+    for i, t in docs:
+        w, n = words(t), 0
+        for v in windows:
+            if any(tuple(w[b:b + len(v)]) == v for b in range(len(w))):
+                continue
+            needed = -(-len(set(v)) * 4 // 5)
+            n += any(len(set(v) & set(w[b:b + len(v) + slop])) >= needed for b in range(len(w)))
+        out.append((i, n))
+    return sorted(out, key=str)
+
+
+def texts(rng, n):
+    vocabulary = [f"w{i}" for i in range(30)] + ["the", "of"] * 4
+    return [" ".join(rng.choice(vocabulary) for _ in range(rng.randrange(0, 60))) for _ in range(n)]
+
+
+def test_near_matches_against_brute_force(spark, make_docs, tuples, monkeypatch):
+    rng = random.Random(11)
+    bench = list(enumerate([*texts(rng, 4), "one two", "solo", None, "a a b b c"]))
+    docs = [(i, t) for i, t in enumerate(texts(rng, 25))]
+    for k, (_, t) in enumerate(bench[:4]):  # copies with words changed, left out, put in or moved
+        w = words(t)
+        for j in (2, 7):
+            docs.append((100 + 10 * k + j, " ".join([*w[:j], "other", *w[j + 1:]])))
+            docs.append((101 + 10 * k + j, " ".join([*w[:j], *w[j + 1:], "end"])))
+            docs.append((102 + 10 * k + j, " ".join([*w[:j], "put", "in", "words", *w[j:]])))
+    docs += [(5, "two x y z q one"), (None, "b c a"), (None, None), (900, ""), (901, "two one"), (901, "two one"), (902, "solo")]
+    want = brute_near(docs, bench, 10, decontaminate.SLOP)
+    assert sum(n for _, n in want) > 30
+    assert tuples(decontaminate.scan(make_docs(*docs), items(spark, bench)), "doc_id", "n_near") == want
+    assert tuples(decontaminate.scan(make_docs(*docs), items(spark, bench)), *COLUMNS) == brute(docs, bench, 10)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    assert tuples(decontaminate.scan(make_docs(*docs), items(spark, bench)), "doc_id", "n_near") == want
+
+
+def test_the_rarest_word_changed_is_found(spark, make_docs, tuples):
+    item = "the rarest zyzzyva of all words stands in this item here"
+    docs = make_docs((1, item.replace("zyzzyva", "aardvark")), (2, "zyzzyva alone"), (3, "the of all words in this"), (4, item))
+    got = tuples(decontaminate.scan(docs, items(spark, [(1, item)])), "doc_id", "n_hit", "n_near")
+    assert [(i, h > 0, n > 0) for i, h, n in got] == [(1, False, True), (2, False, False), (3, False, False), (4, True, False)]
+
+
+def test_long_text_without_broadcast(spark, make_docs, monkeypatch):
+    """Tokens take the words around them through the shuffle, not their document."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    docs = make_docs((1, " ".join(f"w{i % 5000}" for i in range(100_000))), (2, "w1 w2 w3"))
+    terms = spark.createDataFrame([("w7",), ("w4999",)], "term string")
+    index = decontaminate.postings(docs, terms, 14)
+    assert index.count() == 40 and index.filter("size(around) > 29").count() == 0
+    plan = spark._jvm.PythonSQLUtils.explainString(index._jdf.queryExecution(), "formatted")
+    for part in re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan):
+        assert "around" in part or "term" in part
+        assert not re.search(r"\bw#", part)
+
+
+def test_a_very_long_text(spark, make_docs, tuples):
+    filler = " ".join(f"x{i % 977}" for i in range(300_000))
+    docs = make_docs((1, f"{filler} one two three four five six seven eight nine ten {filler}"))
+    got = tuples(decontaminate.scan(docs, items(spark, [(1, "one two three four five six seven eight nine ten eleven")])), "n_words", "n_hit", "n_items", "n_near")
+    assert got == [(600_010, 10, 1, 1)]

@@ -5,6 +5,10 @@ that some benchmark window has as its rarest. ``around`` carries the words next
 that the lists of the other terms of a window are intersected at their adjusted offsets without a
 shuffle of their own: first the second rarest term, then the whole phrase.
 
+Beside exact phrases there are proximity matches: ``seg`` words in a row (the window's length and ``slop`` more) that
+hold at least ``NEAR`` of the window's different words, in any order. A window of d words of which m must be there is
+looked for from its d - m + 1 rarest, one of which every match holds, so no changed words can hide one.
+
 Words are maximal runs of letters, digits and non-ASCII characters after A-Z is lower-cased. A window
 is ``width`` consecutive words of an item; a shorter item is one window.
 
@@ -23,6 +27,8 @@ from tidedesk.session import materialize
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Terms and windows up to this many rows are broadcast (some 100 MB at most); beyond it Spark joins them by shuffle.
 BROADCAST_ROWS = 500_000
+#: Of a window's different words, the share a proximity match holds; words that may stand between them.
+NEAR, SLOP = 0.8, 5
 
 
 def words(text: Column) -> Column:
@@ -36,13 +42,11 @@ def _checked(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def windows(benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """``window, items``: each distinct word sequence with the ids of its items."""
-    w = benchmark.select("item_id", words(F.col("text")).alias("w")).filter(F.size("w") > 0)
+def window_items(benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """``window, item``: the word sequences of each item; a null item id is a null item."""
+    w = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("w")).filter(F.size("w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - width + 1, F.lit(1)))
-    each = w.select("item_id", "w", F.explode(starts).alias("i")).select(
-        "item_id", F.slice("w", F.col("i"), width).alias("window"))
-    return each.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
+    return w.select("item", "w", F.explode(starts).alias("i")).select(F.slice("w", F.col("i"), width).alias("window"), "item").distinct()
 
 
 def document_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -52,7 +56,7 @@ def document_frequency(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def anchored(win: DataFrame, df: DataFrame) -> DataFrame:
-    """``window, items, term, offset, term2, offset2``: the two rarest terms of each window that can occur.
+    """``window, term, offset, term2, offset2``: the two rarest terms of each window that can occur.
 
     A window with a term that no document holds is dropped: its rarest list is empty.
     """
@@ -60,34 +64,66 @@ def anchored(win: DataFrame, df: DataFrame) -> DataFrame:
     order = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term")))
     ranked = spread.groupBy("window").agg(order.alias("o")).filter(F.col("o")[0]["df"] > 0)
     second = F.coalesce(F.get("o", F.lit(1)), F.col("o")[0])
-    return win.join(ranked, "window").select(
-        "window", "items", F.col("o")[0]["term"].alias("term"), F.col("o")[0]["offset"].alias("offset"),
+    return ranked.select(
+        "window", F.col("o")[0]["term"].alias("term"), F.col("o")[0]["offset"].alias("offset"),
         second["term"].alias("term2"), second["offset"].alias("offset2"))
 
 
+def near_anchors(win: DataFrame, df: DataFrame, near: float = NEAR) -> DataFrame:
+    """``window, terms, needed, term``: the different words of each window, how many a proximity match needs, and a row for
+    each of the rarest of them, of which one at least must be there. Terms that no document holds come first and match nothing."""
+    spread = win.select("window", F.explode(F.array_distinct("window")).alias("term")).join(df, "term", "left")
+    order = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")))
+    ranked = spread.groupBy("window").agg(order.alias("o")).withColumn("needed", F.ceil(F.size("o") * F.lit(near)).cast("int"))
+    return ranked.select("window", F.transform("o", lambda x: x["term"]).alias("terms"), "needed",
+                         F.explode(F.slice("o", 1, F.size("o") - F.col("needed") + 1)).alias("a")).filter("a.df > 0").select(
+        "window", "terms", "needed", F.col("a.term").alias("term"))
+
+
 def postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
     """The index rows of ``terms``: ``term, doc_id, text_hash, pos, first, around``.
 
     Positions count from 0; ``around`` begins at position ``first`` and reaches ``reach`` words to
-    either side. With broadcast terms, tokens are filtered in the scan stage.
+    either side. With broadcast terms, tokens are filtered in the scan stage before a row is built; beyond that
+    each token crosses the shuffle with the words around it and not with its whole text.
     """
-    tokens = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w")).select(
-        "doc_id", "text_hash", "w", F.posexplode("w").alias("pos", "term"))
-    first = F.greatest(F.col("pos") - reach, F.lit(0))
-    return tokens.join(_checked(terms), "term").select(
-        "term", "doc_id", "text_hash", "pos", first.alias("first"),
-        F.slice("w", first + 1, F.col("pos") - first + reach + 1).alias("around"))
+    listed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
+    if terms.count() <= BROADCAST_ROWS:
+        tokens = listed.select("doc_id", "text_hash", "w", F.posexplode("w").alias("pos", "term"))
+        first = F.greatest(F.col("pos") - reach, F.lit(0))
+        return tokens.join(F.broadcast(terms), "term").select(
+            "term", "doc_id", "text_hash", "pos", first.alias("first"),
+            F.slice("w", first + 1, F.col("pos") - first + reach + 1).alias("around"))
+
+    def token(term: Column, pos: Column) -> Column:
+        first = F.greatest(pos - reach, F.lit(0))
+        return F.struct(term.alias("term"), pos.alias("pos"), first.alias("first"), F.slice("w", first + 1, pos - first + reach + 1).alias("around"))
+
+    tokens = listed.select("doc_id", "text_hash", F.explode(F.transform("w", token)).alias("t"))
+    return tokens.select("doc_id", "text_hash", "t.*").join(terms, "term").select("term", "doc_id", "text_hash", "pos", "first", "around")
 
 
 def phrase_matches(index: DataFrame, anchors: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, start, length, items`` of every occurrence of a window."""
+    """``doc_id, text_hash, start, length, window`` of every occurrence of a window."""
     start = F.col("pos") - F.col("offset")
     place = start - F.col("first")
     found = index.join(_checked(anchors), "term").filter(place >= 0)
     both = found.filter(F.get("around", place + F.col("offset2")) == F.col("term2"))
     # Spark may test this before the filters above; ``greatest`` keeps the start valid then
     exact = both.filter(F.slice("around", F.greatest(place, F.lit(0)) + 1, F.size("window")) == F.col("window"))
-    return exact.select("doc_id", "text_hash", start.alias("start"), F.size("window").alias("length"), "items")
+    return exact.select("doc_id", "text_hash", start.alias("start"), F.size("window").alias("length"), "window")
+
+
+def near_matches(index: DataFrame, near: DataFrame, slop: int = SLOP) -> DataFrame:
+    """``doc_id, text_hash, window`` where ``needed`` of its words stand within its length and ``slop`` more; exact phrases are
+    among them. The index must reach as far as that, less one word."""
+    found = index.join(_checked(near), "term").filter(F.size(F.array_intersect("terms", "around")) >= F.col("needed"))
+    seg = F.size("window") + slop
+    # stretches that hold the posting itself; the first starts at the beginning of what is around it
+    place = F.col("pos") - F.col("first")
+    starts = F.sequence(F.greatest(place - seg + 1, F.lit(0)), place)
+    held = F.exists(starts, lambda i: F.size(F.array_intersect(F.slice("around", i + 1, seg), F.col("terms"))) >= F.col("needed"))
+    return found.filter(held).select("doc_id", "text_hash", "window").distinct()
 
 
 def proximity_matches(index: DataFrame, anchors: DataFrame, slop: int = 5) -> DataFrame:
@@ -103,41 +139,63 @@ def proximity_matches(index: DataFrame, anchors: DataFrame, slop: int = 5) -> Da
 
 
 def build(docs: DataFrame, benchmark: DataFrame, width: int = 10, reach: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(index, anchors)``, both written tables."""
-    win = materialize(windows(benchmark, width), "benchmark-windows")
+    """``(index, anchors)`` for phrases, both written tables."""
+    index, anchors, _, _ = _built(docs, benchmark, width, reach or width, False)
+    return index, anchors
+
+
+def _built(docs: DataFrame, benchmark: DataFrame, width: int, reach: int, proximity: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The written tables ``index, anchors, near, items``; ``near`` has rows only for ``proximity``."""
+    items = materialize(window_items(benchmark, width), "benchmark-windows")
+    win = items.select("window").distinct()
     terms = materialize(win.select(F.explode("window").alias("term")).distinct(), "benchmark-terms")
     df = materialize(document_frequency(docs, terms), "benchmark-df")
     anchors = materialize(anchored(win, df), "benchmark-anchors")
-    rarest = materialize(anchors.select("term").distinct(), "benchmark-rarest")
-    return materialize(postings(docs, rarest, reach or width), "postings"), anchors
+    near = materialize(near_anchors(win if proximity else win.limit(0), df), "benchmark-near")
+    rarest = materialize(anchors.select("term").union(near.select("term")).distinct(), "benchmark-rarest")
+    return materialize(postings(docs, rarest, reach), "postings"), anchors, near, items
+
+
+_KEY = ["doc_id", "text_hash"]
 
 
-def report(docs: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``."""
-    key = ["doc_id", "text_hash"]
-    covered = matches.select(*key, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("p"))
-    hits = covered.groupBy(*key, "p").agg(F.lit(1).alias("one")).groupBy(*key).agg(F.count("*").alias("n_hit"))
-    items = matches.select(*key, F.explode("items").alias("item")).groupBy(*key).agg(
-        F.array_sort(F.collect_set("item")).alias("listed"))
+def report(docs: DataFrame, matches: DataFrame, items: DataFrame, near: DataFrame) -> DataFrame:
+    """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near``.
+
+    ``matches`` are phrase matches, ``near`` proximity matches (with or without the exact ones), ``items`` the items of windows,
+    which join once per document and window. ``n_near`` counts windows that a document holds nearly and not exactly.
+    """
+    covered = matches.select(*_KEY, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("p"))
+    hits = covered.groupBy(*_KEY, "p").agg(F.lit(1).alias("one")).groupBy(*_KEY).agg(F.count("*").alias("n_hit"))
+    exact = matches.select(*_KEY, "window").distinct()
+    listed = exact.join(_checked(items), "window").groupBy(*_KEY).agg(F.array_sort(F.collect_set("item")).alias("listed"))
+    # a window counts when only the proximity side has it
+    sides = near.select(*_KEY, "window", F.lit(0).alias("exact")).unionByName(exact.withColumn("exact", F.lit(1)))
+    only = sides.groupBy(*_KEY, "window").agg(F.max("exact").alias("exact")).filter("exact = 0").groupBy(*_KEY).agg(F.count("*").alias("n_near"))
     base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    # one row per document with any match, whatever of the three it has
+    none = {"n_hit": F.lit(None).cast("long"), "listed": F.lit(None).cast("array<string>"), "n_near": F.lit(None).cast("long")}
 
-    def attach(left: DataFrame, right: DataFrame) -> DataFrame:
-        r = right.withColumnRenamed("doc_id", "_d").withColumnRenamed("text_hash", "_h")
-        same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))
-        return left.join(r, same, "left").drop("_d", "_h")
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*_KEY, *[F.col(n) if n == name else c.alias(n) for n, c in none.items()])
 
-    joined = attach(attach(base, hits), items)
-    listed = F.coalesce("listed", F.array().cast("array<string>"))
+    found = side(hits, "n_hit").unionByName(side(listed, "listed")).unionByName(side(only, "n_near")).groupBy(
+        F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(
+        F.max("n_hit").alias("n_hit"), F.max("listed").alias("listed"), F.max("n_near").alias("n_near"))
+    joined = base.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
+    every = F.coalesce("listed", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
-        F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(every).cast("long").alias("n_items"),
+        F.sha2(F.array_join(every, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+def scan(docs: DataFrame, benchmark: DataFrame, width: int = 10, slop: int = SLOP) -> DataFrame:
     """Index, search and report in one call."""
-    index, anchors = build(docs, benchmark, width)
-    return report(docs, materialize(phrase_matches(index, anchors), "phrase-matches"))
+    index, anchors, near, items = _built(docs, benchmark, width, width + slop - 1, True)
+    exact = materialize(phrase_matches(index, anchors), "phrase-matches")
+    return report(docs, exact, items, near_matches(index, near, slop))
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:

@@ -74,9 +74,24 @@ WITH dw AS (
 ), dwin AS (
   SELECT doc_id, t.i AS start, n, w[t.i:t.i + n - 1] AS win FROM dw, lens, unnest(range(1, len(w) - n + 2)) t(i) WHERE len(w) >= n
 ), hits AS (
-  SELECT d.doc_id, d.start, d.n, b.item_id FROM dwin d JOIN bwin b ON d.win = b.win
+  SELECT d.doc_id, d.start, d.n, b.item_id, b.win FROM dwin d JOIN bwin b ON d.win = b.win
 ), pos AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(start, start + n)) t(p) GROUP BY doc_id
+), wt AS (
+  SELECT win, len(win) AS n, unnest(list_distinct(win)) AS term, CAST(ceil(len(list_distinct(win)) * 0.8::DOUBLE) AS INTEGER) AS needed
+  FROM (SELECT DISTINCT win FROM bwin) x
+), tok AS (
+  SELECT doc_id, t.p, w[t.p] AS term FROM dw, unnest(range(1, len(w) + 1)) t(p)
+), met AS (
+  SELECT tok.doc_id, wt.win, wt.n, wt.needed, tok.p, tok.term FROM tok JOIN wt USING (term)
+  JOIN (SELECT doc_id, win FROM (SELECT DISTINCT doc_id, term FROM tok) a JOIN wt USING (term) GROUP BY doc_id, win HAVING count(*) >= any_value(needed)) b
+    ON b.doc_id = tok.doc_id AND b.win = wt.win
+), close AS (
+  SELECT a.doc_id, a.win FROM met a JOIN met b ON b.doc_id = a.doc_id AND b.win = a.win AND b.p >= a.p AND b.p < a.p + a.n + 5
+  GROUP BY a.doc_id, a.win, a.p, a.needed HAVING count(DISTINCT b.term) >= a.needed
+), only_near AS (
+  SELECT doc_id, count(*) AS n_near FROM (
+    SELECT DISTINCT doc_id, win FROM close EXCEPT SELECT DISTINCT doc_id, win FROM hits) x GROUP BY doc_id
 ), its AS (
   SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS l FROM hits GROUP BY doc_id
 )
@@ -85,8 +100,8 @@ WITH dw AS (
 TWINS["op6_decontaminate"] = CONTAMINATION_CTES.format(docs="documents") + """
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(len(l), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
-FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
+       coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id) LEFT JOIN only_near USING (doc_id)
 """
 
 NEAR_CTES = r"""
