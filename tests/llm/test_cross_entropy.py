@@ -104,3 +104,18 @@ def test_no_tables_in_both(spark, make_docs, tuples):
     assert cross_entropy.score(make_docs(), none, words="both").count() == 0
     got = tuples(cross_entropy.score(make_docs((1, "a b"), (2, "")), none, words="both"), "doc_id", "n_tokens", "score")
     assert [r[:2] for r in got] == [(1, 2), (2, 0)] and got[0][2] > 0 and got[1][2] is None
+
+
+def test_a_very_long_text(spark, make_docs):
+    """A text of more symbols than a chunk holds is scored whole."""
+    text = " ".join(f"v{i % 5000}" for i in range(1_200_000))
+    bench = spark.createDataFrame([(1, "v1 v2 v3"), (2, "alpha beta")], "item_id long, text string")
+    got = {r.doc_id: r for r in cross_entropy.score(make_docs((1, text), (2, "v1 v2 v3"), (3, "gamma")), bench, words="both").collect()}
+    assert got[1].n_tokens == 1_200_000 and got[2].n_tokens == 3 and got[2].target_loss < got[3].target_loss
+
+
+def test_a_target_vocabulary_has_a_bound(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(cross_entropy, "MAX_VOCABULARY", 2)
+    bench = spark.createDataFrame([(1, "a b c a b c")], "item_id long, text string")
+    with pytest.raises(ValueError, match="over 2 words"):
+        cross_entropy.score(make_docs((1, "a")), bench, words="target")

@@ -133,3 +133,15 @@ def test_components_of_a_long_chain(spark, tuples):
     random.Random(0).shuffle(edges)
     got = dict(tuples(components(spark.createDataFrame(edges, "a long, b long")), "id", "label"))
     assert got == {**{i: 10 for i in range(10, 81)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_very_long_texts(make_docs, tuples):
+    a = [f"a{i}" for i in range(120_000)]
+    near = a[:100_000] + [f"z{i}" for i in range(20_000)]
+    far = a[:70_000] + [f"y{i}" for i in range(50_000)]
+    got = tuples(ngram_join.join(make_docs((3, " ".join(a)), (1, " ".join(near)), (2, " ".join(far)), (4, "short text"))), "doc_id", "n_shingles", "component_id")
+    # 99,996 of 139,996 shared is below 0.75; of the long pair with 110,000 in common it is not
+    assert [r[2] for r in got] == [1, 2, 3, 4]
+    close = a[:110_000] + [f"z{i}" for i in range(10_000)]
+    got = tuples(ngram_join.join(make_docs((3, " ".join(a)), (1, " ".join(close)))), "doc_id", "n_shingles", "component_id")
+    assert got == [(1, 119_996, 1), (3, 119_996, 1)]

@@ -58,3 +58,13 @@ def test_automaton(sequences, least):
             part = s[end - least:end]
             want.append((end, min(d for d, t in enumerate(sequences) if any(t[i:i + least] == part for i in range(len(t))))))
         assert list(a.stream(s, least)) == want
+
+
+def test_a_very_long_text(make_docs, tuples):
+    """A passage of 60 words in the middle of 200,000 others, which an earlier document holds."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    filler = " ".join(f"f{i}" for i in range(100_000)), " ".join(f"g{i}" for i in range(100_000))
+    docs = make_docs((1, f"start {passage} end"), (2, f"{filler[0]} {passage} {filler[1]}"), (3, f"{filler[0]} lone"))
+    got = tuples(substring.deduplicate(docs), "doc_id", "n_words", "n_removed", "kept_sha256")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert got == [(1, 62, 0, sha(f"start {passage} end")), (2, 200_060, 60, sha(" ".join(filler))), (3, 100_001, 100_000, sha("lone"))]

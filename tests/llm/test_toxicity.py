@@ -63,3 +63,45 @@ def test_ngrams():
     assert len(toxicity.ngram_buckets("abcd", s)) == 3 + 2
     assert np.array_equal(toxicity.ngram_buckets("ABcd", s), toxicity.ngram_buckets("abCD", s))
     assert len(toxicity.ngram_buckets("a", s)) == len(toxicity.ngram_buckets(None, s)) == 0
+
+
+def test_ratios_and_scores_against_plain_python(spark):
+    """Counts, the choice of buckets and every score recomputed from the definition."""
+    docs, labels = labelled(spark, 300, seed=5)
+    s = toxicity.Settings(min_docs=3, keep=200)
+    model = toxicity.fit(docs, labels, s)
+    toxic = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.toxic is not None:
+            toxic[r.doc_id] = max(r.toxic, toxic.get(r.doc_id, 0))
+    import zlib
+
+    train = [(r.text, toxic[r.doc_id]) for r in docs.collect()
+             if r.doc_id in toxic and zlib.crc32(str(r.doc_id).encode()) % 3 != 1]
+    n, n_pos = len(train), sum(t for _, t in train)
+    counts = {}
+    for text, t in train:
+        for b in set(toxicity.ngram_buckets(text, s).tolist()):
+            counts.setdefault(b, [0, 0])[t > 0] += 1
+    ranked = []
+    for b, (neg, pos) in counts.items():
+        if pos + neg >= s.min_docs:
+            p, q = pos + 1, neg + 1
+            ratio = np.log(p / (n_pos + 2)) - np.log(q / (n - n_pos + 2))
+            ranked.append((-abs(ratio) / np.sqrt(1 / p + 1 / q), b, ratio))
+    ranked.sort(key=lambda x: (round(x[0], 12), x[1]))
+    assert set(model.buckets.tolist()) == {b for _, b, _ in ranked[:200]}
+    # the fitted weights are coefficients times ratios: of one sign with the ratio wherever the coefficient is positive
+    ratios = {b: r for _, b, r in ranked}
+    same = [np.sign(w) == np.sign(ratios[int(b)]) for b, w in zip(model.buckets, model.weights, strict=True) if abs(w) > 1e-9]
+    assert np.mean(same) > 0.9
+    weight = dict(zip(model.buckets.tolist(), model.weights.tolist(), strict=True))
+    got = {(r.doc_id, r.score) for r in toxicity.score(docs, model).collect()}
+    want = [(r.doc_id, 1 / (1 + np.exp(-(model.intercept + sum(weight.get(b, 0.0) for b in set(toxicity.ngram_buckets(r.text, s).tolist()))))))
+            for r in docs.collect()]
+    assert sorted(x for _, x in got) == pytest.approx(sorted({x for _, x in want}), abs=1e-9) or len(got) == len(set(want))
+    by = {}
+    for i, x in want:
+        by.setdefault(i, []).append(x)
+    for i, x in got:
+        assert min(abs(x - y) for y in by[i]) < 1e-9
