@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Folders of the log are told apart by a hash of the key, so that a look at a few keys reads a few folders.
-BUCKETS = 64
+BUCKETS = 16
 
 
 def signed(added: DataFrame, removed: DataFrame | None = None) -> DataFrame:
