@@ -29,6 +29,8 @@ import pyarrow.compute as pc
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidedesk.session import materialize
+
 MAX_DIM = 4096
 SCALE, OFFSET = 64, 1_000_000
 #: Rows are worked on in blocks of so many entries.
@@ -86,7 +88,8 @@ def totals(rows: DataFrame, vector: str) -> tuple[int, np.ndarray]:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([d] * (d + 1)), pa.array(range(-1, d), pa.int64()), pa.array(values, pa.int64())], schema=schema)
 
-    added = rows.select(vector).mapInArrow(run, "d long, i long, v long").groupBy("d", "i").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v"))
+    parts = rows.select(vector).mapInArrow(run, "d long, i long, v long")
+    added = materialize(parts.groupBy("d", "i").agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")), "vector-sums")
     counts = added.filter((F.col("i") == -1) & (F.col("v") > 0)).orderBy(F.desc("v"), F.desc("d")).limit(1).collect()
     if not counts:
         return 0, np.empty(0, object)

@@ -4,7 +4,10 @@ Every run of ``k`` words has a rolling hash: the cyclic polynomial of its words'
 turns all bits and takes one word out and one in, here for all runs of a text at once. In every window of ``w`` such hashes the smallest is kept, the
 rightmost one if several are equal. Two texts that share ``w + k - 1`` words in a row share a kept
 hash. A fingerprint lists the kept hashes with their word positions: ``hash:position``, in hex and
-decimal, comma-joined in order of position. Hashes have 63 bits and positions are those of the whole text, however long.
+decimal, comma-joined in order of position. Hashes have 43 bits and positions are those of the whole text, however long.
+
+A hash and the low 20 bits of its position share a long, so that a plain minimum settles ties; the rest of the position
+follows from the window's own place. Windows over a step of 2**20 words, where the low bits begin anew, are compared in full.
 
 Defined cases: a null or empty text has no words and an empty fingerprint; a text of fewer than ``k``
 words is one gram, one of fewer than ``w`` grams is one window. Two empty fingerprints are alike (1),
@@ -18,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidedesk.session import materialize
 
 K, W = 5, 8
+_STEP = 1 << 20
 
 
 def _turned(h: Column) -> Column:
@@ -26,7 +30,7 @@ def _turned(h: Column) -> Column:
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W) -> DataFrame:
-    """Adds ``out``: the kept ``(h, p)`` of the column ``text``, hash and negated position, in order of position.
+    """Adds ``out``: the kept ``(h, p)`` of the column ``text``, hash and position, in order of position.
 
     Window minima come from ``log2(w)`` steps over the array, each twice as wide; ``w`` is a power of two.
     """
@@ -38,8 +42,8 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W)
     df = df.withColumn(t, F.transform(t, lambda word: F.xxhash64(word))).withColumn(g, F.col(t))
 
     def gram(h: Column, i: Column) -> Column:
-        # a cyclic polynomial leaves its bits unevenly mixed, and minima need them even; the position settles ties
-        return F.struct(F.shiftrightunsigned(F.xxhash64(h), 1).alias("h"), (-i).alias("p"))
+        # a cyclic polynomial leaves its bits unevenly mixed, and minima need them even
+        return F.shiftleft(F.shiftrightunsigned(F.xxhash64(h), 21), 20).bitwiseOR(F.lit(_STEP - 1) - i.cast("long") % F.lit(_STEP))
 
     for j in range(1, k):
         size = F.greatest(n - j, F.lit(0))
@@ -47,22 +51,36 @@ def with_fingerprint(df: DataFrame, text: str, out: str, k: int = K, w: int = W)
     whole = F.aggregate(t, F.lit(0).cast("long"), lambda a, b: _turned(a).bitwiseXOR(b))
     few_words = F.when(n > 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
     df = df.withColumn(g, F.transform(F.when(n >= k, F.col(g)).otherwise(few_words), gram)).drop(t)
-    few = f"_{out}_few"
-    df = df.withColumn(few, F.when((F.size(g) > 0) & (F.size(g) < w), F.array(F.array_min(g))))
+    m = f"_{out}_minima"
+    df = df.withColumn(m, F.col(g))
     step = 1
     while step < w:
-        # too short arrays run dry here and are served by ``few``
-        size = F.greatest(F.size(g) - step, F.lit(0))
-        df = df.withColumn(g, F.zip_with(F.slice(g, 1, size), F.slice(g, step + 1, size), lambda a, b: F.least(a, b)))
+        size = F.greatest(F.size(m) - step, F.lit(0))
+        df = df.withColumn(m, F.zip_with(F.slice(m, 1, size), F.slice(m, step + 1, size), lambda a, b: F.least(a, b)))
         step *= 2
+    # too short arrays have run dry
+    df = df.withColumn(m, F.when((F.size(g) > 0) & (F.size(g) < w), F.array(F.array_min(g))).otherwise(F.col(m)))
+
+    def place(v: Column, i: Column) -> Column:
+        low = F.lit(_STEP - 1) - v.bitwiseAND(F.lit(_STEP - 1))
+        return F.struct(F.shiftright(v, 20).alias("h"), (i + F.pmod(low - i, F.lit(_STEP))).cast("int").alias("p"))
+
+    def over_step(i: Column) -> Column:
+        least = F.array_min(F.transform(F.slice(g, i + 1, w), lambda x, j: F.struct(F.shiftright(x, 20).alias("h"), (-(i + j)).alias("p"))))
+        return F.struct(least["h"].alias("h"), (-least["p"]).cast("int").alias("p"))
+
     # windows that follow each other keep the same place or a later one
-    once = F.filter(g, lambda x, i: (i == 0) | (x["p"] != F.get(g, i - 1)["p"]))
-    return df.withColumn(out, F.coalesce(few, once)).drop(g, few)
+    changed = F.transform(m, lambda v, i: F.when(i % _STEP > _STEP - w, over_step(i)).when((i == 0) | (v != F.get(m, i - 1)), place(v, i)))
+    # columns of their own, since a lambda that held the expression would evaluate it for every element
+    df = df.withColumn(m, changed).withColumn(m, F.filter(m, lambda x: x.isNotNull()))
+    # over a step equal neighbours are left; only texts that long have them
+    once = F.when(F.size(g) > _STEP - w, F.filter(m, lambda x, i: (i == 0) | (x["p"] != F.get(m, i - 1)["p"]))).otherwise(F.col(m))
+    return df.withColumn(out, once).drop(g, m)
 
 
 def as_string(kept: Column) -> Column:
     """``hash:position`` list of a fingerprint."""
-    one = F.transform(kept, lambda v: F.concat(F.lower(F.hex(v["h"])), F.lit(":"), (-v["p"]).cast("string")))
+    one = F.transform(kept, lambda v: F.concat(F.lower(F.hex(v["h"])), F.lit(":"), v["p"].cast("string")))
     return F.array_join(one, ",")
 
 
