@@ -177,6 +177,44 @@ def test_hot_instant_is_cut(spark, no_broadcast):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
+@pytest.mark.parametrize("key", [None, "k"])
+def test_points_within_against_brute_force(spark, no_broadcast, key):
+    rng = random.Random(4)
+    a = [(i if i % 7 else None, k, x, x) for i, k, x, _ in spans(rng, 700, 0) if x is not None] + [(9999, "k0", None, None)]
+    b = spans(rng, 150, 100_000)
+    points = spark.createDataFrame([(i, k, at(x)) for i, k, x, _ in a], "id long, k string, t timestamp").repartition(3)
+    windows = spark.createDataFrame([(i, k, at(x), at(y)) for i, k, x, y in b], "other long, k string, c timestamp, d timestamp")
+    got = intervals.points_within(points, windows, "t", ("c", "d"), "id", key=key)
+    expected = []
+    for y in b:
+        ids = [x[0] for x in a if meets(x, y, key)]
+        known = [i for i in ids if i is not None]
+        if ids:
+            expected.append((y[0], y[1], at(y[2]), at(y[3]), len(ids), min(known, default=None), max(known, default=None)))
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str) and 60 < len(expected) < len(b)
+    assert {1, 2} <= {e[4] for e in expected} and max(e[4] for e in expected) > (300 if key else 600)
+
+
+def test_points_within_makes_no_pairs(spark, no_broadcast, monkeypatch):
+    # 5,000 points and 1,000 spans over three levels of blocks: two and a half million pairs
+    monkeypatch.setattr(intervals, "BLOCK_BITS", 4)
+    points = spark.range(5_000).select("id", F.timestamp_seconds("id").alias("t"))
+    windows = spark.range(1_000).select(F.col("id").alias("w"), F.timestamp_seconds("id").alias("c"), F.timestamp_seconds(F.lit(4_000) + F.col("id") % 900).alias("d"))
+    got = intervals.points_within(points, windows, "t", ("c", "d"), "id")
+    rows = got.collect()
+    assert {(r.w, r.n_points, r.least, r.most) for r in rows} == {(w, 4_000 + w % 900 - w, w, 3_999 + w % 900) for w in range(1_000)}
+
+
+def test_points_within_nothing(spark):
+    none = spark.createDataFrame([], "id long, t timestamp")
+    some = spark.createDataFrame([(1, at(0), at(1))], "o long, c timestamp, d timestamp")
+    assert intervals.points_within(none, some, "t", ("c", "d"), "id").count() == 0
+    one = spark.createDataFrame([(1, at(0))], "id long, t timestamp")
+    assert intervals.points_within(one, some.limit(0), "t", ("c", "d"), "id").count() == 0
+    with pytest.raises(ValueError, match="least"):
+        intervals.points_within(one, some.withColumnRenamed("o", "least"), "t", ("c", "d"), "id")
+
+
 def test_overlap_of_nothing(spark):
     none = spark.createDataFrame([], "id long, a timestamp, b timestamp")
     some = spark.createDataFrame([(1, at(0), at(1))], "o long, c timestamp, d timestamp")

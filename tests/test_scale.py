@@ -9,6 +9,7 @@ from tidedesk.functions.clean import parse_ts
 from tidedesk.operators import actions, anomaly, enrich, keyed, scoring
 from tidedesk.operators.normalize import normalize
 from tidedesk.plans import stages
+from tidedesk.plans.catalog import QUERIES
 from tidedesk.sources.tickets import read_tickets
 
 
@@ -108,3 +109,33 @@ def test_history_counts_tickets_without_a_date(spark):
                               "customer_id string, status string, created_at string").withColumn("created_at", F.col("created_at").cast("timestamp"))
     got = {r.customer_id: (r.prior_tickets, r.days_since_contact) for r in actions.customer_history(t, "2024-02-01 00:00:00").collect()}
     assert got == {"a": (2, 31), "b": (1, None)}
+
+
+def rows_joined(node):
+    """Rows that the joins of an executed plan have made, each counted once."""
+    children = [node.children().apply(i) for i in range(node.children().size())]
+    own = node.metrics().apply("numOutputRows").value() if "Join" in node.nodeName() else 0
+    return own + sum(rows_joined(c) for c in children)
+
+
+def test_incidents_cost_no_pairs(spark, no_broadcast, tmp_path):
+    # 3,000 events, a third of them incidents that last for hundreds of the others; the last have no end or one before they begin
+    kind = F.when(F.col("event_id") % 3 == 0, "error").otherwise("view")
+    value = F.when(F.col("event_id") == 2_997, None).when(F.col("event_id") == 2_994, -3.0).otherwise(10.0 + F.col("event_id") % 5)
+    spark.range(3_000).withColumnRenamed("id", "event_id").select(
+        "event_id", F.timestamp_seconds(1_704_067_200 + F.col("event_id") / 2).alias("ts"), kind.alias("event_type"), value.alias("value"),
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = QUERIES["i3_incident_tickets"](spark, str(tmp_path))
+        got = {r.incident_id: tuple(r)[1:] for r in out.collect()}
+        joined = rows_joined(out._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+    def want(i):
+        last = i if i in (2_994, 2_997) else min(2_999, 28_800 * 120 if i % 250 == 0 else i + (10 + i % 5) * 120 - 1)
+        return last - i + 1, i, last
+
+    assert got == {i: want(i) for i in range(0, 3_000, 3)}
+    assert 0 < joined < 20_000 < 500_000 < sum(n for n, *_ in got.values())

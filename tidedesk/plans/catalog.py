@@ -849,13 +849,13 @@ def i2_asof_orders(spark, d):
 def i3_incident_tickets(spark, d):
     events = table(spark, d, "events").withColumn("at", F.col("ts").cast("timestamp"))
     minutes = F.when(F.col("event_id") % 250 == 0, 28_800).otherwise(F.floor("value"))
+    ends = F.timestamp_micros(F.unix_micros("at") + minutes * 60_000_000)
+    # an incident without an end, or that ends before it begins, meets what comes with it
     incidents = events.filter(F.col("event_type") == "error").select(
-        F.col("event_id").alias("incident_id"), F.col("at").alias("begins"),
-        F.timestamp_micros(F.unix_micros("at") + minutes * 60_000_000).alias("ends"))
-    tickets_ = events.select(F.col("event_id").alias("ticket_seq"), "at", F.col("at").alias("until"))
-    met = intervals.overlap_join(tickets_, incidents, ("at", "until"), ("begins", "ends"), width_seconds=600)
+        F.col("event_id").alias("incident_id"), F.col("at").alias("begins"), F.greatest("at", ends).alias("ends"))
+    met = intervals.points_within(events, incidents, "at", ("begins", "ends"), "event_id")
     return met.groupBy("incident_id").agg(
-        F.count("*").alias("n_tickets"), F.min("ticket_seq").alias("first_ticket"), F.max("ticket_seq").alias("last_ticket"))
+        F.sum("n_points").alias("n_tickets"), F.min("least").alias("first_ticket"), F.max("most").alias("last_ticket"))
 
 
 @query
