@@ -75,6 +75,28 @@ def test_stream_equals_state_machine_over_a_restart(spark, tmp_path):
     assert result(lifecycles.settled(spark.createDataFrame(first + second, SCHEMA), TTL, until)) == got
 
 
+def test_tickets_that_share_a_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lifecycles, "GROUPS", 2)
+    monkeypatch.setattr(lifecycles, "ENTRY", 7)
+    # tickets of odd names, and an opening and a closing of one time and number: the closing goes first
+    first = rows(7, 150, 400) + [(t, T0 + dt.timedelta(seconds=s), k, 5000 + s) for t in ('say "é"', "🙂\n") for s, k in ((10, "open"), (60, "close"))]
+    first += [("same", T0 + dt.timedelta(seconds=s), k, 7000 + s) for s, k in ((5, "open"), (20, "open"), (20, "close"))]
+    second = [(t, at + dt.timedelta(seconds=380), k, s + 1000) for t, at, k, s in rows(8, 150, 400)]
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    timers = []
+    for name, events in (("a", first), ("b", second)):
+        put(spark, folder, name, events)
+        query = stream(spark, folder, out)
+        timers += [p.stateOperators[0].customMetrics["numRegisteredTimers"] for p in query.recentProgress if p.stateOperators]
+    got = result(spark.read.schema(lifecycles.SCHEMA).parquet(f"{out}/rows"))
+    assert lifecycles.late_rows(query) == 0
+    every = [e for e in first + second if e[0] != "same"]
+    assert [g for g in got if g[0] != "same"] == machine(every, watermark(every)) and len(got) > 50
+    assert [(g[3], g[2] - g[1]) for g in got if g[0] == "same"] == [("closed", dt.timedelta(seconds=15)), ("expired", dt.timedelta(seconds=TTL))]
+    # two timers a group and batch at most, for what comes and for what stays, however many events and tickets it has
+    assert 0 < max(timers) <= 4
+
+
 def test_late_rows_are_counted(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     put(spark, folder, "a", [("x", T0 + dt.timedelta(seconds=500), "open", 1)])
