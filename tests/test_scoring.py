@@ -1,4 +1,5 @@
 import random
+import weakref
 
 import pandas as pd
 import pytest
@@ -41,6 +42,26 @@ def test_scorer_is_built_once_per_partition(spark):
     assert {r.calls: r["count"] for r in out} == {i: 20 for i in range(1, 6)}
 
 
+def test_scored_batches_do_not_pile_up(spark):
+    def make():
+        seen = []
+
+        def score(batch: pd.DataFrame) -> pd.DataFrame:
+            text = batch["text"]
+            text.str.len()  # from now on the column refers to itself
+            seen.append(weakref.ref(text))
+            return pd.DataFrame({"held": [sum(r() is not None for r in seen)], "n": [len(batch)]})
+        return score
+
+    df = spark.range(0, 600, 1, 1).select(F.expr("repeat('x', 1000000)").alias("text"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        out = s.score_batch(df, make, "held long, n long").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sum(r.n for r in out) == 600 and len(out) == 30 and max(r.held for r in out) <= 3
+
+
 def test_tier_merge(spark, make_tickets):
     t = make_tickets(*[{}] * 8)
     t1 = results(spark, (0, "billing", "low", 0.9), (1, "billing", "low", 0.5), (2, "billing", "low", 0.5),
