@@ -138,3 +138,48 @@ def test_a_very_long_text(spark, make_docs, tuples):
     docs = make_docs((1, f"{filler} one two three four five six seven eight nine ten {filler}"))
     got = tuples(decontaminate.scan(docs, items(spark, [(1, "one two three four five six seven eight nine ten eleven")])), "n_words", "n_hit", "n_items", "n_near")
     assert got == [(600_010, 10, 1, 1)]
+
+
+def test_texts_are_split_once_for_the_index_and_not_for_the_report(spark, make_docs):
+    """Spark's filter for ``posexplode`` split each text again, and the report a third time to count its words."""
+    docs = make_docs(*DOCS)
+    terms = spark.createDataFrame([("one",), ("fox",)], "term string")
+    index = decontaminate.postings(docs, terms, 14)
+    assert index._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert "split(" not in decontaminate.scan(docs, items(spark))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lengths_come_from_the_ends(spark, make_docs, tuples, monkeypatch):
+    docs = make_docs(*DOCS)
+    terms = spark.createDataFrame([("one",), ("fox",)], "term string")
+    want = sorted(((i, len(words(t))) for i, t in DOCS), key=str)
+    plain = decontaminate.postings(docs, terms, 14).count()
+    for rows in (decontaminate.BROADCAST_ROWS, -1):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
+        index = decontaminate.postings(docs, terms, 14, ends=True)
+        assert tuples(decontaminate.text_lengths(index), "doc_id", "n_words") == want
+        assert index.count() == plain + len(DOCS)
+
+
+def test_only_postings_beside_another_rare_word_are_counted(spark, make_docs, tuples):
+    """Others are what a match must hold one of; windows that need one word have no others."""
+    df = spark.createDataFrame([("solo", 1), ("a", 2), ("b", 3), ("c", 4), ("d", 5), ("e", 6)], "term string, df long")
+    win = spark.createDataFrame([(["solo"],), (["c", "a"],), (["e", "d", "c", "b", "a"],)], "window array<string>")
+    got = {(" ".join(w), t): sorted(o) for w, t, o in tuples(decontaminate.near_anchors(win, df), "window", "term", "others")}
+    assert got == {("solo", "solo"): [], ("c a", "a"): ["c"], ("e d c b a", "a"): ["b", "c"], ("e d c b a", "b"): ["a", "c"]}
+
+
+def test_postings_without_a_companion_are_not_written(spark, make_docs, tuples, monkeypatch):
+    docs = make_docs((1, "a x x b"), (2, "a x x x"), (3, "solo"), (4, "c x x x x x x x b"), (5, "b"))
+    anchors = spark.createDataFrame([(["a", "b"], "a", 0, "b", 1), (["solo"], "solo", 0, "solo", 0)],
+                                    "window array<string>, term string, offset int, term2 string, offset2 int")
+    near = spark.createDataFrame([(["a", "b"], ["a", "b"], 2, "a", ["b"]), (["c", "b"], ["c", "b"], 2, "c", ["b"]), (["b"], ["b"], 1, "b", [])],
+                                 "window array<string>, terms array<string>, needed int, term string, others array<string>")
+    kept = decontaminate.companions(anchors, near)
+    assert dict(tuples(kept, "term", "beside")) == {"a": ["b"], "b": None, "c": ["b"], "solo": None}
+    want = [("a", 1), ("b", 1), ("b", 4), ("b", 5), ("solo", 3)]
+    assert tuples(decontaminate.postings(docs, kept, 4), "term", "doc_id") == want
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", -1)
+    assert tuples(decontaminate.postings(docs, kept, 4), "term", "doc_id") == want
+    monkeypatch.setattr(decontaminate, "COMPANIONS", 0)
+    assert {b for _, b in tuples(decontaminate.companions(anchors, near), "term", "beside")} == {None}

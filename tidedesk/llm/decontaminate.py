@@ -7,7 +7,8 @@ shuffle of their own: first the second rarest term, then the whole phrase.
 
 Beside exact phrases there are proximity matches: ``seg`` words in a row (the window's length and ``slop`` more) that
 hold at least ``NEAR`` of the window's different words, in any order. A window of d words of which m must be there is
-looked for from its d - m + 1 rarest, one of which every match holds, so no changed words can hide one.
+looked for from its d - m + 1 rarest, one of which every match holds, so no changed words can hide one. Of the
+d - m + 2 rarest every match holds two, so a posting next to which no other of them stands is not written (:func:`companions`).
 
 Words are maximal runs of letters, digits and non-ASCII characters after A-Z is lower-cased. A window
 is ``width`` consecutive words of an item; a shorter item is one window.
@@ -20,7 +21,7 @@ benchmark or table gives counts of zero or no rows. Further input columns are ig
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidedesk.session import materialize
 
@@ -29,6 +30,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_ROWS = 500_000
 #: Of a window's different words, the share a proximity match holds; words that may stand between them.
 NEAR, SLOP = 0.8, 5
+#: A term with more companions than this keeps all its postings; to look for them would cost more than it spares.
+COMPANIONS = 64
+#: The term of a text's end in an index with ``ends``; no word is empty.
+END = ""
 
 
 def words(text: Column) -> Column:
@@ -70,37 +75,73 @@ def anchored(win: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def near_anchors(win: DataFrame, df: DataFrame, near: float = NEAR) -> DataFrame:
-    """``window, terms, needed, term``: the different words of each window, how many a proximity match needs, and a row for
-    each of the rarest of them, of which one at least must be there. Terms that no document holds come first and match nothing."""
+    """``window, terms, needed, term, others``: the different words of each window, how many a proximity match needs, and a row for
+    each of the rarest of them, of which one at least must be there. Terms that no document holds come first and match nothing.
+    ``others`` are the rest of those rarest and the next one: where two words are needed, one of them stands beside ``term``."""
     spread = win.select("window", F.explode(F.array_distinct("window")).alias("term")).join(df, "term", "left")
     order = F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "term")))
     ranked = spread.groupBy("window").agg(order.alias("o")).withColumn("needed", F.ceil(F.size("o") * F.lit(near)).cast("int"))
-    return ranked.select("window", F.transform("o", lambda x: x["term"]).alias("terms"), "needed",
+    terms = F.transform("o", lambda x: x["term"])
+    return ranked.select("window", terms.alias("terms"), "needed",
                          F.explode(F.slice("o", 1, F.size("o") - F.col("needed") + 1)).alias("a")).filter("a.df > 0").select(
-        "window", "terms", "needed", F.col("a.term").alias("term"))
+        "window", "terms", "needed", F.col("a.term").alias("term"),
+        F.array_remove(F.slice("terms", 1, F.size("terms") - F.col("needed") + 2), F.col("a.term")).alias("others"))
 
 
-def postings(docs: DataFrame, terms: DataFrame, reach: int) -> DataFrame:
+def companions(anchors: DataFrame, near: DataFrame) -> DataFrame:
+    """``term, beside``: the terms to index, and the words of which one must stand around a posting that is in a match.
+
+    ``beside`` is null, and every posting needed, where a window needs no second word or there are more than ``COMPANIONS``.
+    """
+    exact = F.when(F.col("term") != F.col("term2"), F.array("term2"))
+    pairs = anchors.select("term", F.explode_outer(exact).alias("word")).union(
+        near.select("term", F.explode_outer(F.when(F.col("needed") > 1, F.col("others"))).alias("word"))).distinct()
+    # no more words of a term are gathered than can be used; a null comes first
+    n = F.row_number().over(Window.partitionBy("term").orderBy("word"))
+    few = pairs.withColumn("n", n).filter(F.col("n") <= COMPANIONS + 1).groupBy("term").agg(
+        F.collect_list("word").alias("words"), F.count("*").alias("n"), F.count("word").alias("given"))
+    return few.select("term", F.when((F.col("n") == F.col("given")) & (F.col("n") <= COMPANIONS), F.col("words")).alias("beside"))
+
+
+def postings(docs: DataFrame, terms: DataFrame, reach: int, ends: bool = False) -> DataFrame:
     """The index rows of ``terms``: ``term, doc_id, text_hash, pos, first, around``.
 
     Positions count from 0; ``around`` begins at position ``first`` and reaches ``reach`` words to
     either side. With broadcast terms, tokens are filtered in the scan stage before a row is built; beyond that
-    each token crosses the shuffle with the words around it and not with its whole text.
+    each token crosses the shuffle with the words around it and not with its whole text. With ``ends`` each
+    row of ``docs`` has a posting of ``END`` too, at the position after its last word (:func:`text_lengths`).
+    Of terms with a ``beside``, postings around which none of its words stands are left out (:func:`companions`).
     """
+    if "beside" not in terms.columns:
+        terms = terms.withColumn("beside", F.lit(None).cast("array<string>"))
+    useful = F.col("beside").isNull() | F.arrays_overlap("beside", "around")
     listed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
+    # the outer forms: for the others Spark adds a filter on the size of ``w``, which splits each text a second time
     if terms.count() <= BROADCAST_ROWS:
-        tokens = listed.select("doc_id", "text_hash", "w", F.posexplode("w").alias("pos", "term"))
+        closed = F.concat("w", F.array(F.lit(END))) if ends else F.col("w")
+        wanted = terms.union(terms.sparkSession.range(1).select(F.lit(END), F.lit(None))) if ends else terms
+        tokens = listed.select("doc_id", "text_hash", "w", F.posexplode_outer(closed).alias("pos", "term"))
         first = F.greatest(F.col("pos") - reach, F.lit(0))
-        return tokens.join(F.broadcast(terms), "term").select(
+        return tokens.join(F.broadcast(wanted), "term").select(
             "term", "doc_id", "text_hash", "pos", first.alias("first"),
-            F.slice("w", first + 1, F.col("pos") - first + reach + 1).alias("around"))
+            F.slice("w", first + 1, F.col("pos") - first + reach + 1).alias("around"), "beside").filter(useful).drop("beside")
 
     def token(term: Column, pos: Column) -> Column:
         first = F.greatest(pos - reach, F.lit(0))
         return F.struct(term.alias("term"), pos.alias("pos"), first.alias("first"), F.slice("w", first + 1, pos - first + reach + 1).alias("around"))
 
-    tokens = listed.select("doc_id", "text_hash", F.explode(F.transform("w", token)).alias("t"))
-    return tokens.select("doc_id", "text_hash", "t.*").join(terms, "term").select("term", "doc_id", "text_hash", "pos", "first", "around")
+    tokens = listed.select("doc_id", "text_hash", F.explode_outer(F.transform("w", token)).alias("t"))
+    found = tokens.select("doc_id", "text_hash", "t.*").join(terms, "term").filter(useful).select("term", "doc_id", "text_hash", "pos", "first", "around")
+    if not ends:  # ends have one term in common, so they stay out of that shuffle
+        return found
+    return found.unionByName(listed.select(
+        F.lit(END).alias("term"), "doc_id", "text_hash", F.size("w").alias("pos"), F.size("w").alias("first"),
+        F.array().cast("array<string>").alias("around")))
+
+
+def text_lengths(index: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, n_words`` of each row of the documents of an index with ``ends``."""
+    return index.filter(F.col("term") == END).select("doc_id", "text_hash", F.col("pos").cast("long").alias("n_words"))
 
 
 def phrase_matches(index: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -117,7 +158,8 @@ def phrase_matches(index: DataFrame, anchors: DataFrame) -> DataFrame:
 def near_matches(index: DataFrame, near: DataFrame, slop: int = SLOP) -> DataFrame:
     """``doc_id, text_hash, window`` where ``needed`` of its words stand within its length and ``slop`` more; exact phrases are
     among them. The index must reach as far as that, less one word."""
-    found = index.join(_checked(near), "term").filter(F.size(F.array_intersect("terms", "around")) >= F.col("needed"))
+    beside = (F.col("needed") < 2) | F.arrays_overlap("others", "around")
+    found = index.join(_checked(near), "term").filter(beside).filter(F.size(F.array_intersect("terms", "around")) >= F.col("needed"))
     seg = F.size("window") + slop
     # stretches that hold the posting itself; the first starts at the beginning of what is around it
     place = F.col("pos") - F.col("first")
@@ -145,24 +187,24 @@ def build(docs: DataFrame, benchmark: DataFrame, width: int = 10, reach: int | N
 
 
 def _built(docs: DataFrame, benchmark: DataFrame, width: int, reach: int, proximity: bool) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The written tables ``index, anchors, near, items``; ``near`` has rows only for ``proximity``."""
+    """The written tables ``index, anchors, near, items``; ``near`` has rows and the index ends only for ``proximity``."""
     items = materialize(window_items(benchmark, width), "benchmark-windows")
     win = items.select("window").distinct()
     terms = materialize(win.select(F.explode("window").alias("term")).distinct(), "benchmark-terms")
     df = materialize(document_frequency(docs, terms), "benchmark-df")
     anchors = materialize(anchored(win, df), "benchmark-anchors")
     near = materialize(near_anchors(win if proximity else win.limit(0), df), "benchmark-near")
-    rarest = materialize(anchors.select("term").union(near.select("term")).distinct(), "benchmark-rarest")
-    return materialize(postings(docs, rarest, reach), "postings"), anchors, near, items
+    rarest = materialize(companions(anchors, near), "benchmark-rarest")
+    return materialize(postings(docs, rarest, reach, ends=proximity), "postings"), anchors, near, items
 
 
 _KEY = ["doc_id", "text_hash"]
 
 
-def report(docs: DataFrame, matches: DataFrame, items: DataFrame, near: DataFrame) -> DataFrame:
+def report(lengths: DataFrame, matches: DataFrame, items: DataFrame, near: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, n_near``.
 
-    ``matches`` are phrase matches, ``near`` proximity matches (with or without the exact ones), ``items`` the items of windows,
+    ``lengths`` are the documents as in :func:`text_lengths`, ``matches`` are phrase matches, ``near`` proximity matches (with or without the exact ones), ``items`` the items of windows,
     which join once per document and window. ``n_near`` counts windows that a document holds nearly and not exactly.
     """
     covered = matches.select(*_KEY, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("p"))
@@ -172,7 +214,6 @@ def report(docs: DataFrame, matches: DataFrame, items: DataFrame, near: DataFram
     # a window counts when only the proximity side has it
     sides = near.select(*_KEY, "window", F.lit(0).alias("exact")).unionByName(exact.withColumn("exact", F.lit(1)))
     only = sides.groupBy(*_KEY, "window").agg(F.max("exact").alias("exact")).filter("exact = 0").groupBy(*_KEY).agg(F.count("*").alias("n_near"))
-    base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.size(words(F.col("text"))).cast("long").alias("n_words"))
     # one row per document with any match, whatever of the three it has
     none = {"n_hit": F.lit(None).cast("long"), "listed": F.lit(None).cast("array<string>"), "n_near": F.lit(None).cast("long")}
 
@@ -182,7 +223,7 @@ def report(docs: DataFrame, matches: DataFrame, items: DataFrame, near: DataFram
     found = side(hits, "n_hit").unionByName(side(listed, "listed")).unionByName(side(only, "n_near")).groupBy(
         F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(
         F.max("n_hit").alias("n_hit"), F.max("listed").alias("listed"), F.max("n_near").alias("n_near"))
-    joined = base.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
+    joined = lengths.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left")
     every = F.coalesce("listed", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(
@@ -195,7 +236,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = 10, slop: int = SLO
     """Index, search and report in one call."""
     index, anchors, near, items = _built(docs, benchmark, width, width + slop - 1, True)
     exact = materialize(phrase_matches(index, anchors), "phrase-matches")
-    return report(docs, exact, items, near_matches(index, near, slop))
+    return report(text_lengths(index), exact, items, near_matches(index, near, slop))
 
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
