@@ -1,6 +1,6 @@
 import hashlib
 
-from tidedesk.llm import warc
+from tidedesk.llm import queries, warc
 
 SCHEMA = "page_id long, url string, html string, response string"
 
@@ -67,3 +67,15 @@ def test_orphans_keep_a_row(spark):
     df = spark.createDataFrame([tuple(r[n] for n in names) for r in rows], warc.RECORD)
     got = {r.capture_id: (r.response is not None, r.request is not None, r.metadata is not None) for r in warc.assemble(df).collect()}
     assert got == {"r1": (True, False, False), "r2": (False, True, True)}
+
+
+def test_query_parses_archives_once(spark, tmp_path, tuples, monkeypatch):
+    """Assembly reads its records three times, so they must be a written table and not the parser's output."""
+    pages = [(1, "http://h.example/a", "x" * 200), (2, "http://h.example/b", "x" * 200), (3, None, None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    plans, assemble = [], warc.assemble
+    monkeypatch.setattr(warc, "assemble", lambda r: plans.append(r._jdf.queryExecution().toString()) or assemble(r))
+    got = queries.QUERIES["op1_warc_transactions"](spark, str(tmp_path))
+    assert tuples(got, "page_id", "payload_bytes", "record_type", "refers_to") == [
+        (1, 200, "response", None), (2, 200, "revisit", 1), (3, 0, "response", None)]
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]
