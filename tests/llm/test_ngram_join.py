@@ -84,6 +84,64 @@ def test_keep_one_judges_rows_not_ids(make_docs, tuples):
         [(4, a + " nine"), (4, b), (None, "lone words stand here by themselves now"), (None, None), (7, ""), (8, "")], key=str)
 
 
+def test_passages_in_common_make_no_blocks(make_docs, tuples, monkeypatch):
+    """Pairs of near copies in a chain: each pair has a passage in common with the next one, but links with none."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rows, deal = [], ngram_join._unit_links
+    monkeypatch.setattr(ngram_join, "_unit_links", lambda units, *a: rows.append(units.count()) or deal(units, *a))
+    docs = []
+    for g in range(40):
+        passage = [" ".join(f"p{x}_{i}" for i in range(10)) for x in (g, g + 1)]
+        own = [f"g{g}_{i}" for i in range(40)]
+        for copy in range(2):
+            docs.append((2 * g + copy, " ".join([passage[0], *own[:39], f"c{copy}" if copy else own[39], passage[1]])))
+    assert tuples(ngram_join.join(make_docs(*docs)), "doc_id", "n_shingles", "component_id") == brute(docs)
+    assert sum(rows) <= 3 * len(docs)
+
+
+def test_layers_of_sizes_and_several_pivots(make_docs, tuples, monkeypatch):
+    """A cluster that its sizes divide, with a large group in it whose sets often do not link with each other."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 6)
+    rng = random.Random(5)
+    base, docs = [f"b{i}" for i in range(60)], []
+    for _ in range(40):
+        copy = list(base)
+        for i in rng.sample(range(60), rng.randrange(0, 3)):
+            copy[i] = f"x{rng.randrange(4)}"
+        docs.append(" ".join(copy))
+    docs += [" ".join(base[:n] + [f"y{n}"]) for n in range(8, 60, 4)] + [" ".join(base * 2 + base[:n]) for n in range(0, 60, 12)]
+    docs = list(zip(rng.sample(range(1000), len(docs)), docs, strict=True))
+    assert tuples(ngram_join.join(make_docs(*docs)), "doc_id", "n_shingles", "component_id") == brute(docs)
+
+
+def test_equal_sets_are_written_once(make_docs, tuples, monkeypatch):
+    sizes, write = [], ngram_join.materialize
+
+    def measured(df, label):
+        out = write(df, label)
+        if "keys" in out.columns and label in ("join-sets", "join-classes"):
+            sizes.append(out.selectExpr("sum(octet_length(keys))").first()[0])
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialize", measured)
+    text = " ".join(f"w{i}" for i in range(104))
+    got = tuples(ngram_join.join(make_docs(*[(i, text) for i in range(30)], (None, text))), "component_id")
+    assert got == [(0,)] * 31
+    assert sizes == [800]
+
+
+def test_order_tells_rarer_shingles_apart(spark):
+    """Counts below those that are broadcast one by one still order shingles."""
+    keys = [np.array(sorted(random.Random(i).sample(range(1 << 62), 50)), np.uint64) for i in range(4)]
+    sets = [(j, keys[i]) for i, times in enumerate((2, 3, 5, 20)) for j in range(times)]
+    table = spark.createDataFrame([(j, k.tobytes()) for j, k in sets], "id long, keys binary")
+    counts = ngram_join.materialize(ngram_join.key_counts(table), "test-counts")
+    order = ngram_join.frequent_order(counts)
+    got = [order.count(k) for k in keys]
+    assert (got[3] == 20).all() and (got[2] == 4).all()
+    assert np.mean(got[0] == 0) > 0.8 and np.mean(got[1] == 0) > 0.8
+
+
 def test_empty_table(make_docs):
     assert ngram_join.join(make_docs()).count() == 0
     assert ngram_join.keep_one(make_docs()).count() == 0

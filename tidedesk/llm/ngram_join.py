@@ -6,16 +6,19 @@ least ``percent`` / 100; a component holds all documents that links reach.
 1. A set whose partner is at least 75 % alike misses at most a quarter of it, so among its shingles
    of smallest hash, a quarter and a tenth of the set, a known number occurs in another document.
    Documents with fewer such shingles are out after one pass (:mod:`repeats`).
-2. Equal sets become one class. Shingles get one global order: those of one class first (they match
-   nothing), then by hash, the frequent ones last by frequency. Sets that share none of the first
-   ``n - ceil(0.75 n) + 1`` shingles of this order cannot link.
+2. Equal sets become one class, told by a digest; only the set of one row per class is written, in a
+   second pass over the texts. Shingles get one global order: those of one class first (they match
+   nothing), the others by frequency (in steps of two where it is low), then by hash. Sets that share
+   none of the first ``n - ceil(0.75 n) + 1`` shingles of this order cannot link.
 3. Sets that such shared shingles connect form a cluster. Per cluster the ordered sets are stored in
    a prefix tree; a search walks it once per set, counts shared shingles along common paths, and
    leaves a subtree when what remains cannot reach the needed overlap, or when its sets are already
    in the component of the searching set.
-4. A cluster beyond ``BLOCK`` sets falls apart by size class, as sizes of linked sets differ by a
-   quarter at most. What is still larger is compared with its smallest id's set first, all at once;
-   only sets that do not link with it are searched against the whole, block by block.
+4. In a cluster beyond ``BLOCK`` sets only shared shingles of sets of one size class, or of two
+   neighbouring ones, connect, as sizes of linked sets differ by a quarter at most; chains over other
+   sizes no longer hold it together. What is still larger is compared with its smallest id's set
+   first, all at once, then with some of the sets found so; only sets that link with none of them are
+   searched against the whole, block by block.
 
 Defined cases: a null or empty text has an empty set and links with nothing; fewer than ``k`` words
 make one shingle; rows that repeat an id have a set each, and sets of one id that can have partners
@@ -34,13 +37,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidedesk.llm import hashing
 from tidedesk.llm.components import components
-from tidedesk.llm.repeats import Filter, build_filter, range_bits, repeated_filter, split_ranges
+from tidedesk.llm.repeats import MAX_BITS, Filter, build_filter, packed_hashes, range_bits, repeated_filter, split_ranges
 from tidedesk.session import materialize
 
 #: Sets, and shingles, of a cluster that one task compares with each other.
 BLOCK, BLOCK_TOKENS = 500, 600_000
 #: Most shingles that are ordered by their frequency (12 bytes each are broadcast); rarer ones are ordered by hash.
 FREQUENT = 1 << 20
+#: Sets of a large cluster that its others are compared with before the search by blocks.
+PIVOTS = 4
 
 
 def shingle_sets(text: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +93,7 @@ def low_keys(text: pa.Array, k: int, percent: int) -> tuple[np.ndarray, np.ndarr
 
 
 def document_sets(docs: DataFrame, seen: Filter, k: int, percent: int) -> DataFrame:
-    """``doc_id, text_hash, n, sig, keys`` of every row; ``keys`` and ``sig`` are null where no partner is possible."""
+    """``doc_id, text_hash, n, sig`` of every row; ``sig``, a digest of the set, is null where no partner is possible."""
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,15 +106,37 @@ def document_sets(docs: DataFrame, seen: Filter, k: int, percent: int) -> DataFr
                 low = np.arange(len(keys)) - first[doc] < np.minimum(n, missing(n, percent) + sure(n))[doc]
                 hits = np.bincount(doc[low], weights=known.has(hashing.mix(keys[low])), minlength=len(n))
                 least = sure(-(-n * percent // 100))  # of the smallest partner
-                packed = [keys[first[i]:first[i + 1]].tobytes() if n[i] and hits[i] >= min(least[i], n[i]) else None
-                          for i in range(len(n))]
-                sig = [hashlib.blake2b(p, digest_size=16).digest() if p else None for p in packed]
+                sig = [hashlib.blake2b(keys[first[i]:first[i + 1]].tobytes(), digest_size=16).digest()
+                       if n[i] and hits[i] >= min(least[i], n[i]) else None for i in range(len(n))]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, stop - at), batch.column(1).slice(at, stop - at), pa.array(n, pa.int64()),
-                     pa.array(sig, pa.binary()), pa.array(packed, pa.binary())], ["doc_id", "text_hash", "n", "sig", "keys"])
+                     pa.array(sig, pa.binary())], ["doc_id", "text_hash", "n", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, sig binary, keys binary")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, sig binary")
+
+
+def class_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """``id, n, keys`` of the rows that speak for the ``classes`` (``id, text_hash``; a written table). They are picked by a
+    filter, so some others may be among them, and copies of a row; a set more costs time, not results."""
+    chosen = build_filter(packed_hashes(classes.filter(F.col("id").isNotNull()).select(F.xxhash64("id", "text_hash"))))
+    shared = docs.sparkSession.sparkContext.broadcast(chosen)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, sent = shared.value, set()
+        for batch in batches:
+            rows = np.asarray(batch.column(1), np.int64).view(np.uint64)
+            some = [int(i) for i in np.flatnonzero(known.has(rows)) if rows[i] not in sent and not sent.add(rows[i])]
+            batch = batch.take(pa.array(some, pa.int64()))
+            for at, stop in hashing.slices(batch.column(2)):
+                keys, first = shingle_sets(batch.column(2).slice(at, stop - at), k)
+                n = np.diff(first)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, stop - at), pa.array(n, pa.int64()),
+                     pa.array([keys[first[i]:first[i + 1]].tobytes() for i in range(len(n))], pa.binary())], ["id", "n", "keys"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"), "text").filter("id is not null")
+    return rows.select("id", F.xxhash64("id", "text_hash").alias("row"), "text").mapInArrow(run, "id long, n long, keys binary").filter("n > 0")
 
 
 def key_counts(sets: DataFrame) -> DataFrame:
@@ -121,11 +148,12 @@ def key_counts(sets: DataFrame) -> DataFrame:
 
         def packed() -> pa.RecordBatch:
             k, n = np.unique(np.concatenate(held), return_counts=True)
-            a = split_ranges(k, bits)
-            some = [i for i in range(1 << bits) if a[i + 1] > a[i]]
+            once, many, n = k[n == 1], k[n > 1], n[n > 1].astype(np.int64)
+            a, b = split_ranges(once, bits), split_ranges(many, bits)
+            some = [i for i in range(1 << bits) if a[i + 1] > a[i] or b[i + 1] > b[i]]
             return pa.RecordBatch.from_arrays([
-                pa.array(some, pa.int32()), pa.array([k[a[i]:a[i + 1]].tobytes() for i in some], pa.binary()),
-                pa.array([n[a[i]:a[i + 1]].astype(np.int64).tobytes() for i in some], pa.binary())], ["range", "keys", "counts"])
+                pa.array(some, pa.int32()), *(pa.array([x[e[i]:e[i + 1]].tobytes() for i in some], pa.binary())
+                                              for x, e in ((once, a), (many, b), (n, b)))], ["range", "once", "keys", "counts"])
 
         for batch in batches:
             for x in batch.column(0):
@@ -138,8 +166,9 @@ def key_counts(sets: DataFrame) -> DataFrame:
             yield packed()
 
     def gather(group: pa.Table) -> pa.Table:
-        k = np.concatenate([np.frombuffer(x, np.uint64) for x in group["keys"].to_pylist()])
-        n = np.concatenate([np.frombuffer(x, np.int64) for x in group["counts"].to_pylist()])
+        once = np.concatenate([np.frombuffer(x, np.uint64) for x in group["once"].to_pylist()])
+        k = np.concatenate([once, *(np.frombuffer(x, np.uint64) for x in group["keys"].to_pylist())])
+        n = np.concatenate([np.ones(len(once), np.int64), *(np.frombuffer(x, np.int64) for x in group["counts"].to_pylist())])
         keys, inverse = np.unique(k, return_inverse=True)
         total = np.bincount(inverse, weights=n).astype(np.int64)
         keys, total = keys[total > 1], total[total > 1]
@@ -147,30 +176,40 @@ def key_counts(sets: DataFrame) -> DataFrame:
                          "counts": pa.array([total.tobytes()], pa.binary()), "n": pa.array([len(keys)], pa.int64()),
                          "sum": pa.array([int(total.sum())], pa.int64())})
 
-    sent = sets.select("keys").mapInArrow(send, "range int, keys binary, counts binary")
+    sent = sets.select("keys").mapInArrow(send, "range int, once binary, keys binary, counts binary")
     return sent.groupBy("range").applyInArrow(gather, "range int, keys binary, counts binary, n long, sum long")
 
 
 class Order:
-    """The global order of shingles: by count for the frequent ones, 0 for all others, then by hash."""
+    """The global order of shingles: by count for the frequent ones; for others by the largest of the ``levels`` (a count
+    and a filter of the shingles of so many sets, ascending) that knows them, 0 for the rest; then by hash. A filter's
+    false hits move a shingle, but alike for all sets."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        self.keys, self.counts = keys, counts
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, levels: list[tuple[int, Filter]] | None = None) -> None:
+        self.keys, self.counts, self.levels = keys, counts, levels or []
 
     def count(self, keys: np.ndarray) -> np.ndarray:
+        out, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for least, known in self.levels:
+            left = left[known.has(keys[left])]
+            out[left] = least
         if not len(self.keys):
-            return np.zeros(len(keys), np.int64)
+            return out
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, self.counts[at], 0)
+        return np.where(self.keys[at] == keys, self.counts[at], out)
 
     def sort(self, keys: np.ndarray) -> np.ndarray:
         return keys[np.lexsort((keys, self.count(keys)))]
 
 
 def frequent_order(counts: DataFrame) -> Order:
-    """The counts of at most ``FREQUENT`` shingles: those of more sets than the sum of counts over ``FREQUENT``, 8 at least."""
+    """The counts of at most ``FREQUENT`` shingles: those of more sets than the sum of counts over ``FREQUENT``, 8 at least.
+    Below that number filters of at most 32 MB in all tell those of 4, 8, 16 and so on sets. Without them all rarer
+    shingles would come in the order of their hashes, and as that number grows with the corpus, lines and passages that
+    some documents share would tie unrelated sets to clusters that grow faster than the corpus."""
     total = counts.agg(F.sum("sum")).first()[0] or 0
     least = max(8, total // FREQUENT + 1)
+    floors = [1 << i for i in range(2, int(least - 1).bit_length())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,7 +222,19 @@ def frequent_order(counts: DataFrame) -> Order:
     k = np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(r["k"], np.uint64) for r in rows]])
     n = np.concatenate([np.empty(0, np.int64), *[np.frombuffer(r["n"], np.int64) for r in rows]])
     at = np.argsort(k)
-    return Order(k[at], n[at])
+
+    def at_least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, k, n in zip(*batch.columns, strict=True):
+                k, n = np.frombuffer(k.as_py(), np.uint64), np.frombuffer(n.as_py(), np.int64)
+                some = [(floor, k[n >= floor]) for floor in floors if (n >= floor).any()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f for f, _ in some], pa.int64()), pa.array([part.as_py()] * len(some), pa.int32()),
+                     pa.array([x.tobytes() for _, x in some], pa.binary()), pa.array([len(x) for _, x in some], pa.int64())],
+                    ["floor", "range", "keys", "n"])
+
+    levels = materialize(counts.select("range", "keys", "counts").mapInArrow(at_least, "floor long, range int, keys binary, n long"), "join-levels")
+    return Order(k[at], n[at], [(f, build_filter(levels.filter(F.col("floor") == f), MAX_BITS >> (i + 3))) for i, f in enumerate(floors)])
 
 
 def prefixes(sets: DataFrame, order: Order, repeated: Filter, percent: int) -> DataFrame:
@@ -330,7 +381,7 @@ def _unit_links(units: DataFrame, order: Order, percent: int) -> DataFrame:
             yield links()
 
     cols = ["cluster", "i", "j"]
-    dealt = units.select(*cols, "id", "n", "shared").distinct().repartition(*cols).sortWithinPartitions(*cols)
+    dealt = units.select(*cols, "id", "n", "shared").repartition(*cols).sortWithinPartitions(*cols)
     return dealt.mapInArrow(run, "a long, b long")
 
 
@@ -356,12 +407,19 @@ def _sized(members: DataFrame) -> DataFrame:
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("shared") / 8) / BLOCK_TOKENS)).cast("int").alias("blocks"))
 
 
+def _ties(tokens: DataFrame) -> DataFrame:
+    """``a, b``: every ``id`` of a ``token`` that has several, and the smallest of them."""
+    # written, so that Spark can split the tokens of many sets when it joins
+    hubs = materialize(
+        tokens.groupBy("token").agg(F.min("id").alias("hub"), F.max("id").alias("_last")).filter("hub <> _last").drop("_last"), "join-hubs")
+    return tokens.join(hubs, "token").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+
+
 def links(sets: DataFrame, order: Order, repeated: Filter, percent: int = 75) -> DataFrame:
     """``a, b``: links that span the components of the sets (``id, n, keys``)."""
     ready = materialize(prefixes(sets, order, repeated, percent), "join-prefixes")
-    tokens = materialize(ready.select("id", F.explode("prefix").alias("token")), "join-tokens")
-    hubs = tokens.groupBy("token").agg(F.min("id").alias("hub"), F.max("id").alias("_last")).filter("hub <> _last").drop("_last")
-    clusters = components(tokens.join(hubs, "token").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
+    tokens = materialize(ready.select("id", "n", F.explode("prefix").alias("token")), "join-tokens")
+    clusters = components(_ties(tokens))
     columns = ["cluster", "id", "n", "shared"]
     members = materialize(
         ready.join(clusters.select(F.col("id").alias("_m"), F.col("label").alias("cluster")), F.col("id") == F.col("_m")).select(*columns),
@@ -371,12 +429,17 @@ def links(sets: DataFrame, order: Order, repeated: Filter, percent: int = 75) ->
     found = _unit_links(members.join(large, "cluster", "left_anti").select("cluster", *whole_unit, "id", "n", "shared"), order, percent)
     if not large.limit(1).count():
         return found
-    # sets that link lie in one size class or in neighbouring ones, so a large cluster falls apart by size
+    # sets that link lie in one size class or in neighbouring ones, and share a shingle of their prefixes; so in a large
+    # cluster only ties within such a layer count
     size_class = F.floor(F.log(F.col("n")) / F.log(F.lit(100.0 / percent)))
+    layers = F.explode(F.array(size_class, size_class + 1)).alias("layer")
+    within = members.join(large, "cluster")
+    layered = materialize(
+        tokens.join(within.select("id").distinct(), "id", "left_semi").select("id", "token", layers)
+        .select(F.xxhash64("id", "layer").alias("id"), F.xxhash64("token", "layer").alias("token")), "join-layers")
+    parts = components(_ties(layered)).select(F.col("id").alias("_m"), F.col("label").alias("cluster"))
     split = materialize(
-        members.join(large, "cluster").select(
-            "cluster", F.explode(F.array(size_class, size_class + 1)).alias("s"), "id", "n", "shared")
-        .select(F.xxhash64("cluster", "s").alias("cluster"), "id", "n", "shared"), "join-split")
+        within.select("id", "n", "shared", layers).join(parts, F.xxhash64("id", "layer") == F.col("_m")).select(*columns), "join-split")
     sizes = materialize(_sized(split), "join-sizes")
     huge = sizes.filter("blocks > 1")
     found = found.union(_unit_links(
@@ -384,12 +447,19 @@ def links(sets: DataFrame, order: Order, repeated: Filter, percent: int = 75) ->
     if not huge.limit(1).count():
         return found
     big = materialize(split.join(huge, "cluster"), "join-big")
-    pivots = materialize(big.groupBy("cluster").agg(F.min(F.struct("id", "n", "shared")).alias("p")).select(
-        "cluster", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.shared").alias("pivot_shared")), "join-pivots")
-    tested = materialize(_pivot_links(big, pivots.drop("pivot"), percent), "join-tested")
-    direct = tested.filter("linked").join(pivots.select("cluster", "pivot"), "cluster").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-    others = tested.filter("not linked").select("cluster", "id").distinct()
-    rest = materialize(big.join(others, ["cluster", "id"], "left_semi"), "join-rest")
+    # sets that link with one pivot are in one component; later pivots are taken from those that are in the first one's
+    others, rest, pool = big.select("cluster", "id").distinct(), big, big
+    for turn in range(PIVOTS):
+        first = F.xxhash64("id", F.lit(turn)) if turn else F.col("id")
+        pivots = materialize(pool.groupBy("cluster").agg(F.min(F.struct(first.alias("_first"), "id", "n", "shared")).alias("p")).select(
+            "cluster", F.col("p.id").alias("pivot"), F.col("p.n").alias("pivot_n"), F.col("p.shared").alias("pivot_shared")), "join-pivots")
+        tested = materialize(_pivot_links(rest, pivots.drop("pivot"), percent), "join-tested")
+        found = found.union(
+            tested.filter("linked").join(pivots.select("cluster", "pivot"), "cluster").select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+        done = tested.groupBy("cluster", "id").agg(F.min("linked").alias("_all")).filter("_all").drop("_all")
+        others = materialize(others.join(done, ["cluster", "id"], "left_anti"), "join-others")
+        rest, pool = (big.join(others, ["cluster", "id"], how) for how in ("left_semi", "left_anti"))
+    rest = materialize(rest, "join-rest")
     rest_blocks = _sized(rest.drop("blocks")).withColumnRenamed("blocks", "rest_blocks")
     rest = rest.join(rest_blocks, "cluster").select(
         "cluster", F.pmod(F.xxhash64("id"), "rest_blocks").cast("int").alias("i"),
@@ -397,18 +467,18 @@ def links(sets: DataFrame, order: Order, repeated: Filter, percent: int = 75) ->
     whole = big.join(rest_blocks, "cluster").select(
         "cluster", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("i"),
         F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("j"), "id", "n", "shared")
-    return found.union(direct).union(_unit_links(rest.union(whole), order, percent))
+    return found.union(_unit_links(rest.union(whole), order, percent))
 
 
 def join_rows(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id`` of every row of ``docs``."""
     seen = repeated_filter(docs, lambda text: low_keys(text, k, percent), "join-low-keys")
-    every = materialize(document_sets(docs, seen, k, percent), "join-sets")
+    every = materialize(document_sets(docs, seen, k, percent), "join-rows")
     candidates = every.filter(F.col("sig").isNotNull())
     classes = materialize(
-        candidates.groupBy("sig").agg(F.min(F.struct("doc_id", "n", "keys")).alias("c"), F.min("doc_id").alias("id"))
-        .select("sig", "id", F.col("c.n").alias("n"), F.col("c.keys").alias("keys")), "join-classes")
-    sets = classes.filter(F.col("id").isNotNull())
+        candidates.groupBy("sig").agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))).alias("c"))
+        .select("sig", F.col("c.doc_id").alias("id"), F.col("c.text_hash").alias("text_hash")), "join-classes")
+    sets = materialize(class_sets(docs, classes, k), "join-sets")
     counts = materialize(key_counts(sets), "join-counts")
     found = materialize(links(sets, frequent_order(counts), build_filter(counts), percent), "join-links")
     labels = components(found)

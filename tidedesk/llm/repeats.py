@@ -110,15 +110,43 @@ def _places(keys: np.ndarray, size: int) -> Iterator[np.ndarray]:
         yield ((a + _U(i) * b) & _U(size * 8 - 1)).astype(np.int64)
 
 
-def build_filter(keys: DataFrame) -> Filter:
-    """A filter of the packed ``keys`` (a written table); its pieces are made in tasks and are all that the driver gets."""
+def packed_hashes(hashes: DataFrame) -> DataFrame:
+    """``range, keys, n`` of the longs in the only column, packed and sorted; a range has a row per task, keys may repeat."""
+    bits = range_bits(hashes.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed() -> pa.RecordBatch:
+            k = np.unique(np.concatenate(held).view(np.uint64))
+            a = split_ranges(k, bits)
+            some = [i for i in range(1 << bits) if a[i + 1] > a[i]]
+            return pa.RecordBatch.from_arrays([
+                pa.array(some, pa.int32()), pa.array([k[a[i]:a[i + 1]].tobytes() for i in some], pa.binary()),
+                pa.array([a[i + 1] - a[i] for i in some], pa.int64())], ["range", "keys", "n"])
+
+        for batch in batches:
+            held.append(np.asarray(batch.column(0), np.int64))
+            size += len(held[-1])
+            if size > HELD:
+                yield packed()
+                held, size = [], 0
+        if size:
+            yield packed()
+
+    return hashes.mapInArrow(run, "range int, keys binary, n long")
+
+
+def build_filter(keys: DataFrame, most: int = MAX_BITS) -> Filter:
+    """A filter of at most ``most`` bits (a power of two) of the packed ``keys`` (a written table); its pieces are made in
+    tasks and are all that the driver gets."""
     bits = range_bits(keys.sparkSession)
     total = keys.agg(F.sum("n")).first()[0] or 0
     if not total:
         return Filter(np.empty(0, np.uint8), bits, 0)
-    wanted = min(MAX_BITS, BITS_PER_KEY * total) / (1 << bits)
+    wanted = min(most, BITS_PER_KEY * total) / (1 << bits)
     size = max(8, 1 << max(0, int(np.ceil(np.log2(wanted))) - 3))
-    size = min(size, (MAX_BITS >> bits) // 8)
+    size = max(8, min(size, (most >> bits) // 8))
 
     def piece(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
