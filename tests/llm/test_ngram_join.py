@@ -130,6 +130,16 @@ def test_equal_sets_are_written_once(make_docs, tuples, monkeypatch):
     assert sizes == [800]
 
 
+def test_keep_one_moves_few_whole_rows(make_docs, tuples, monkeypatch):
+    """Whole rows move only where filters cannot tell: repeated rows and false hits."""
+    moved, tell = [], ngram_join._membership
+    monkeypatch.setattr(ngram_join, "_membership", lambda *a: moved.append(tell(*a)) or moved[-1])
+    texts = [" ".join(f"t{i}_{j}" for j in range(30)) for i in range(40)]
+    docs = make_docs(*enumerate(texts), *[(100 + i, t + " x") for i, t in enumerate(texts)], (None, texts[5]), (None, None), (None, None))
+    assert tuples(ngram_join.keep_one(docs), "doc_id", "text") == sorted([*enumerate(texts), (None, None)], key=str)
+    assert 2 <= moved[0].filter("kept = 2").count() <= 10
+
+
 def test_order_tells_rarer_shingles_apart(spark):
     """Counts below those that are broadcast one by one still order shingles."""
     keys = [np.array(sorted(random.Random(i).sample(range(1 << 62), 50)), np.uint64) for i in range(4)]

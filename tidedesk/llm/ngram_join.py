@@ -32,6 +32,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -507,10 +508,28 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     rows = join_rows(keyed.select(F.col("key").alias("doc_id"), "text"), k, percent)
     none = F.lit(None).cast("long")
     # a sum over both tables instead of a join, so that copies of one row meet only after they are combined
-    both = rows.select(F.col("doc_id").alias("key"), "component_id", none.alias("id")).unionByName(
-        keyed.select("key", none.alias("component_id"), "id"))
-    named = both.groupBy("key").agg(F.max("component_id").alias("component_id"), F.min("id").alias("id"))
-    chosen = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("c")).select("c.key")
-    kept = keyed.select("row", "key").join(chosen, "key", "left_semi")
-    once = kept.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("key"))).filter("copy = 1")
-    return once.select("row.*")
+    both = rows.select(F.col("doc_id").alias("key"), "component_id", none.alias("id"), F.lit(0).alias("one")).unionByName(
+        keyed.select("key", none.alias("component_id"), "id", F.lit(1).alias("one")))
+    named = materialize(
+        both.groupBy("key").agg(F.max("component_id").alias("component_id"), F.min("id").alias("id"), F.sum("one").alias("times")), "join-named")
+    chosen = materialize(named.groupBy("component_id").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("c")).select("c.key"), "join-chosen")
+    doubtful = named.join(chosen, "key", "left_anti").select("key").union(named.filter("times > 1").select("key"))
+    kept = _membership(keyed, chosen, doubtful)
+    compared = kept.filter("kept = 2").select("row", "key").join(chosen, "key", "left_semi")
+    once = compared.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("key"))).filter("copy = 1")
+    return kept.filter("kept = 1").select("row.*").union(once.select("row.*"))
+
+
+def _membership(keyed: DataFrame, chosen: DataFrame, doubtful: DataFrame) -> DataFrame:
+    """``keyed`` with ``kept``: 0 where the key is not chosen, 1 where it is and not doubtful, 2 where filters cannot tell;
+    so few whole rows have to move."""
+    spark = keyed.sparkSession
+    has, may = (spark.sparkContext.broadcast(build_filter(materialize(packed_hashes(x.select("key")), "join-filter"))) for x in (chosen, doubtful))
+
+    def run(key):
+        keys = key.to_numpy().view(np.uint64)
+        known = has.value.has(keys)
+        return pd.Series(np.where(known, 1 + may.value.has(keys), 0).astype(np.int32))
+
+    return keyed.withColumn("kept", F.pandas_udf(run, "int")("key"))
