@@ -85,16 +85,16 @@ def test_keep_one_judges_rows_not_ids(make_docs, tuples):
 
 
 def test_passages_in_common_make_no_blocks(make_docs, tuples, monkeypatch):
-    """Pairs of near copies in a chain: each pair has a passage in common with the next one, but links with none."""
+    """Pairs of near copies in a ring: each pair has passages in common with its neighbours, but links with none."""
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
     rows, deal = [], ngram_join._unit_links
     monkeypatch.setattr(ngram_join, "_unit_links", lambda units, *a: rows.append(units.count()) or deal(units, *a))
     docs = []
     for g in range(40):
-        passage = [" ".join(f"p{x}_{i}" for i in range(10)) for x in (g, g + 1)]
-        own = [f"g{g}_{i}" for i in range(40)]
+        passages = [" ".join(f"p{x % 40}_{i}" for i in range(10)) for x in (g, g + 1, g + 2)]
+        own = [f"g{g}_{i}" for i in range(60)]
         for copy in range(2):
-            docs.append((2 * g + copy, " ".join([passage[0], *own[:39], f"c{copy}" if copy else own[39], passage[1]])))
+            docs.append((2 * g + copy, " ".join([passages[0], *own[:30], passages[1], *own[30:59], f"c{copy}" if copy else own[59], passages[2]])))
     assert tuples(ngram_join.join(make_docs(*docs)), "doc_id", "n_shingles", "component_id") == brute(docs)
     assert sum(rows) <= 3 * len(docs)
 
